@@ -77,9 +77,9 @@ def infer_key_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH commits AS (SELECT event_id AS query, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS status FROM events),
-         queries AS (SELECT event_id AS query, user_id * 1000 + value::BIGINT AS xid,
+         queries AS (SELECT event_id AS query, user_id * 1000 + floor(value)::BIGINT AS xid,
                             'COPY public.' || event_type || 's FROM ...' AS querytxt, ts AS starttime FROM events),
-         utility AS (SELECT user_id * 1000 + value::BIGINT AS xid,
+         utility AS (SELECT user_id * 1000 + floor(value)::BIGINT AS xid,
                             CASE WHEN event_type = 'click' THEN 'ROLLBACK' ELSE 'COMMIT  ' END AS text FROM events)
     SELECT status, status = 1 AS success, COUNT(*) AS load_count
     FROM commits JOIN queries q USING (query)
@@ -90,7 +90,7 @@ def committed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a load audit: transactions shared by several loads, some rolled back."""
     events = table(spark, sf_dir, "events")
     failed, rolled_back = F.col("event_type") == "error", F.col("event_type") == "click"
-    xid = (F.col("user_id") * 1000 + F.round("value").cast("bigint")).alias("xid")
+    xid = (F.col("user_id") * 1000 + F.floor("value")).alias("xid")
     copied = F.concat(F.lit("COPY public."), F.col("event_type"), F.lit("s FROM ..."))
     return checks.committed_loads(
         events.select(F.col("event_id").alias("query"), F.when(failed, 0).otherwise(1).alias("status")),

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from catalogue.base import CHANGED_ORDERS_SQL, changed_orders, query, table
 from catalogue.merge import ORDERS, RECONCILED_SQL, UPSERTED_SQL
 from lakesync.operators.merge import reconcile_latest
+from lakesync.plans.changed import ChangedTable
 from lakesync.plans.publish import SnapshotStore, promote_tables, publish_swap
-from lakesync.plans.replicate import frame_extract, full_import, incremental_import, incremental_reconcile, replicate
+from lakesync.plans.replicate import (
+    changed_table,
+    frame_extract,
+    full_import,
+    incremental_import,
+    incremental_reconcile,
+    replicate,
+)
 from lakesync.session import shared_dir
 from lakesync.spec import HighWaterMark, TableSpec
-from lakesync.streaming.upsert import StreamedTable, stream_upsert
+from lakesync.streaming.upsert import stream_upsert
 
 
 def _store(spark: SparkSession, label: str) -> SnapshotStore:
@@ -90,6 +98,21 @@ def incremental_import_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders")
 
 
+@query(f"""
+    WITH delta AS ({SINCE_SQL})
+    SELECT {ORDERS} FROM orders b WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = b.o_orderkey)
+    UNION ALL SELECT {ORDERS} FROM delta""")
+def incremental_changes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with only the changes written, folded into the base afterwards."""
+    store, orders = _store(spark, "changes"), table(spark, sf_dir, "orders")
+    spec = _spec(changed_orders(orders), HighWaterMark.reread("o_orderdate", extra_days=1), [orders])
+    for _ in range(2):
+        incremental_import(store, [spec], rewrite=False)
+    merged = changed_table(store, spec)
+    merged.compact()
+    return merged.current()
+
+
 @query(f"""
     WITH delta AS (SELECT {ORDERS} FROM ({CHANGED_ORDERS_SQL}) c
                    WHERE o_orderdate >= (SELECT MAX(o_orderdate) FROM orders)),
@@ -127,7 +150,7 @@ def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.replace("orders", orders)
     landing = shared_dir(spark, "landing")
     changed_orders(orders).repartition(4, "o_orderkey").write.parquet(landing)
-    streamed = StreamedTable(store, "orders", "o_orderkey", "o_orderdate")
+    streamed = ChangedTable(store, "orders", "o_orderkey", "o_orderdate")
     changes = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     stream_upsert(changes, streamed, shared_dir(spark, "stream-checkpoint")).awaitTermination()
     return streamed.current()

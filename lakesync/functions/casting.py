@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -36,11 +37,22 @@ def text_width(kind: T.DataType) -> int | None:
     return kind.length if isinstance(kind, (T.VarcharType, T.CharType)) else None
 
 
+def layout_shape(layout: str) -> str:
+    """A pattern for texts that a date layout could read: digits for numbers, letters for names."""
+    out = ""
+    for run in re.findall(r"[A-Za-z]+|[^A-Za-z]+", layout):
+        if run.startswith("MMM"):
+            out += "[A-Za-z]+"
+        else:
+            out += f"[0-9]{{{len(run)}}}" if run[0].isalpha() else re.escape(run)
+    return f"^{out}$"
+
+
 def _as_date(c: Column, kind: T.DataType, layouts: Sequence[str]) -> Column:
     # Shorter texts, a bare year say, are no date although a cast would take them as one.
-    full = F.when(F.length(c) >= 8, c)
-    iso = F.when(F.substring(c, 5, 1) == "-", full.try_cast(kind))
-    others = [F.try_to_timestamp(full, F.lit(layout)).cast(kind) for layout in layouts]
+    iso = F.when((F.substring(c, 5, 1) == "-") & (F.length(c) >= 8), c.try_cast(kind))
+    # A failed parse is costly, so a layout is tried only on texts of its shape.
+    others = [F.when(c.rlike(layout_shape(f)), F.try_to_timestamp(c, F.lit(f)).cast(kind)) for f in layouts]
     return F.coalesce(iso, *others)
 
 

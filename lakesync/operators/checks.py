@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesync.operators.merge import semi_join_keys
 from lakesync.spec import key_list
 
 TOLERANCE = 0.05
@@ -111,12 +112,13 @@ def committed_loads(
     """
     start = F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
     of_table = queries.filter(F.contains("querytxt", F.lit(table)) & (F.col("starttime") >= start))
-    committed = utility.filter(F.rtrim("text") == "COMMIT").select("xid").distinct()
-    loads = commits.select("query", "status").join(of_table.select("query", "xid"), "query")
+    committed = utility.filter(F.rtrim("text") == "COMMIT").select("xid")
+    # One load may have committed most of the files, so commits are counted before they meet anything.
+    files = commits.groupBy("query", "status").agg(F.count("*").alias("files"))
+    loads = files.join(semi_join_keys(of_table.select("query", "xid"), committed, "xid"), "query")
     return (
-        loads.join(committed, "xid", "left_semi")
-        .groupBy("status")
-        .agg(F.count("*").alias("load_count"))
+        loads.groupBy("status")
+        .agg(F.sum("files").alias("load_count"))
         .select("status", (F.col("status") == 1).alias("success"), "load_count")
     )
 

@@ -29,6 +29,7 @@ from lakesync.operators.shape import (
     select_fields,
 )
 from lakesync.plans.publish import SnapshotStore
+from lakesync.session import shared_dir
 from lakesync.sources.paged import page_records
 
 # The columns of each feed.
@@ -211,28 +212,35 @@ def clean_ticket_events(records: DataFrame) -> DataFrame:
     )
 
 
+def _landed(df: DataFrame, feed: str) -> DataFrame:
+    """Clean records written to shared storage: the pages' JSON is parsed once however often they are read."""
+    folder = shared_dir(df.sparkSession, feed)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def tickets(pages: DataFrame) -> DataFrame:
     """All tickets, newest version of each."""
     records = page_records(pages, "results", text_record(TICKET_COLUMNS))
-    return dedupe_latest(clean_tickets(records), "id", "updated_at")
+    return dedupe_latest(_landed(clean_tickets(records), "tickets"), "id", "updated_at")
 
 
 def users(pages: DataFrame) -> DataFrame:
     """All users, newest version of each."""
-    return dedupe_latest(page_records(pages, "users", text_record(USER_COLUMNS)), "id", "updated_at")
+    records = page_records(pages, "users", text_record(USER_COLUMNS))
+    return dedupe_latest(_landed(records, "users"), "id", "updated_at")
 
 
 def organizations(pages: DataFrame) -> DataFrame:
     """All organisations, newest version of each."""
     records = page_records(pages, "organizations", text_record(ORGANIZATION_COLUMNS))
-    return dedupe_latest(clean_organizations(records), "id", "updated_at")
+    return dedupe_latest(_landed(clean_organizations(records), "organizations"), "id", "updated_at")
 
 
 def ticket_events(pages: DataFrame) -> DataFrame:
     """All ticket events, each once."""
-    raw = [c for c in EVENT_COLUMNS[:9]]
-    records = page_records(pages, "ticket_events", text_record(raw))
-    return dedupe_latest(clean_ticket_events(records), "id", "created_at")
+    records = page_records(pages, "ticket_events", text_record(EVENT_COLUMNS[:9]))
+    return dedupe_latest(_landed(clean_ticket_events(records), "ticket-events"), "id", "created_at")
 
 
 def survey_answers(
@@ -283,5 +291,5 @@ def sheet_to_table(store: SnapshotStore, table: str, sheet: DataFrame) -> Report
 
 def extract_to_table(store: SnapshotStore, table: str, rows: DataFrame) -> None:
     """Rows of a SQL extract appended to a table, whole rows made distinct."""
-    both = store.read(table).unionByName(rows) if store.exists(table) else rows
-    store.replace(table, distinct_rows(both))
+    merged = store.read(table).unionByName(rows) if store.exists(table) else rows
+    store.replace(table, distinct_rows(merged))

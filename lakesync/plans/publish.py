@@ -1,9 +1,10 @@
 """Publishing: a new version of a table is written aside and then switched to.
 
-Versions are Parquet folders ``<root>/<table>/v=<n>``. A manifest, itself a small Parquet table with
-one part per publication, says which folder is current; a set of tables switches together because one
-publication is one write. Readers keep the previous version until the switch, and it stays as backup.
-One publisher per root is assumed.
+A version is one or more Parquet folders ``<root>/<table>/v=<id>``. A manifest, itself a small Parquet
+table with one part per publication, says which folders are current; a set of tables switches together
+because one publication is one write. Readers keep the previous version until the switch, and it stays
+as backup. Appending publishes the old folders plus a new one and copies nothing. One publisher per
+root is assumed.
 """
 
 from __future__ import annotations
@@ -45,20 +46,23 @@ class SnapshotStore:
                 return None
             raise
 
-    def _paths(self, table: str) -> list[str]:
-        """Current and previous folder, newest first."""
+    def _versions(self, table: str) -> list[list[str]]:
+        """The folders of the current and the previous version, newest first."""
         manifest = self._manifest()
         if manifest is None:
             return []
-        rows = manifest.filter(F.col("table") == table).orderBy(F.col("seq").desc()).select("path").limit(2)
-        return [r["path"] for r in rows.collect()]
+        mine = manifest.filter(F.col("table") == table)
+        last = [r["seq"] for r in mine.select("seq").distinct().orderBy(F.col("seq").desc()).limit(2).collect()]
+        rows = mine.filter(F.col("seq").isin(last)).orderBy("seq", "path").collect() if last else []
+        return [[r["path"] for r in rows if r["seq"] == seq] for seq in last]
 
-    def switch(self, paths: Mapping[str, str]) -> int:
+    def switch(self, paths: Mapping[str, str | Sequence[str]]) -> int:
         """Make the given folders current, all at once. Returns the publication's number."""
         manifest = self._manifest()
         last = manifest.agg(F.max("seq").alias("seq")).first()["seq"] if manifest is not None else None
         seq = (last or 0) + 1
-        rows = self.spark.createDataFrame([(seq, t, p) for t, p in paths.items()], _MANIFEST)
+        entries = [(seq, t, p) for t, given in paths.items() for p in ([given] if isinstance(given, str) else given)]
+        rows = self.spark.createDataFrame(entries, _MANIFEST)
         rows.coalesce(1).write.mode("error").parquet(f"{self.root}/_manifest/seq={seq:010d}")
         return seq
 
@@ -78,45 +82,54 @@ class SnapshotStore:
         return path
 
     def append(self, table: str, df: DataFrame) -> str:
-        """Add rows, matched by name, as a new version that holds old and new."""
-        return self.replace(table, self.read(table).unionByName(df) if self.exists(table) else df)
+        """Add rows, matched by name. Only the new rows are written."""
+        old = self.current_paths(table) if self.exists(table) else []
+        if old:
+            columns = self.read(table).columns
+            if set(columns) != set(df.columns):
+                raise ValueError(f"columns differ: {sorted(set(columns) ^ set(df.columns))}")
+            df = df.select(*columns)
+        path = self.stage(table, df)
+        self.switch({table: [*old, path]})
+        return path
 
     def exists(self, table: str) -> bool:
-        return bool(self._paths(table))
+        return bool(self._versions(table))
 
-    def current_path(self, table: str) -> str:
-        paths = self._paths(table)
-        if not paths:
+    def current_paths(self, table: str) -> list[str]:
+        versions = self._versions(table)
+        if not versions:
             raise LookupError(f"no version of {table}")
-        return paths[0]
+        return versions[0]
+
+    def _previous_paths(self, table: str) -> list[str]:
+        versions = self._versions(table)
+        if len(versions) < 2:
+            raise LookupError(f"no previous version of {table}")
+        return versions[1]
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.current_path(table))
+        return self.spark.read.parquet(*self.current_paths(table))
 
     def read_previous(self, table: str) -> DataFrame:
         """The version before the current one."""
-        paths = self._paths(table)
-        if len(paths) < 2:
-            raise LookupError(f"no previous version of {table}")
-        return self.spark.read.parquet(paths[1])
+        return self.spark.read.parquet(*self._previous_paths(table))
 
-    def rollback(self, table: str) -> str:
+    def rollback(self, table: str) -> list[str]:
         """Switch back to the previous version; the failed one becomes the backup."""
-        paths = self._paths(table)
-        if len(paths) < 2:
-            raise LookupError(f"no previous version of {table}")
-        self.switch({table: paths[1]})
-        return paths[1]
+        paths = self._previous_paths(table)
+        self.switch({table: paths})
+        return paths
 
     # -- catalog ------------------------------------------------------------------------------------
 
     def create_views(self, database: str, tables: Sequence[str], backup: str | None = None) -> None:
         """Point the catalog's views at the current versions, and backup views at the previous ones."""
         for table in tables:
-            paths = self._paths(table)
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM parquet.`{paths[0]}`")
-            if backup and len(paths) > 1:
-                self.spark.sql(f"CREATE OR REPLACE VIEW `{backup}`.`{table}` AS SELECT * FROM parquet.`{paths[1]}`")
+            for place, paths in zip((database, backup), self._versions(table)):
+                if place:
+                    folders = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
+                    self.spark.sql(f"CREATE OR REPLACE VIEW `{place}`.`{table}` AS {folders}")
 
 
 def publish_swap(store: SnapshotStore, frames: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> int:
@@ -126,13 +139,17 @@ def publish_swap(store: SnapshotStore, frames: Mapping[str, DataFrame], keys: Ma
 
 
 def promote_tables(
-    source: SnapshotStore, target: SnapshotStore, tables: Mapping[str, Sequence[str]]
+    source: SnapshotStore,
+    target: SnapshotStore,
+    tables: Mapping[str, Sequence[str]],
+    read: Callable[[str], DataFrame] | None = None,
 ) -> list[PromotionResult]:
     """Copy tables to another store, clustered by key. A failing table is reported; the rest go on."""
     results = []
     for table, keys in tables.items():
         try:
-            results.append(PromotionResult(table, target.replace(table, source.read(table), list(keys) or None), None))
+            df = read(table) if read else source.read(table)
+            results.append(PromotionResult(table, target.replace(table, df, list(keys) or None), None))
         except Exception as failure:  # noqa: BLE001 - one table must not stop the others
             results.append(PromotionResult(table, None, str(failure)))
     return results

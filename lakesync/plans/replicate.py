@@ -12,6 +12,7 @@ from lakesync.operators.checks import Report, validate_replica
 from lakesync.operators.merge import reconcile_latest, upsert
 from lakesync.operators.schema import store_as_text
 from lakesync.operators.watermark import read_high_water_mark, since_high_water
+from lakesync.plans.changed import ChangedTable
 from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap
 from lakesync.session import shared_dir
 from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan
@@ -104,8 +105,32 @@ def _merge_import(store: SnapshotStore, spec: TableSpec, merge: Merge) -> TableR
     return TableResult(spec.name, "merged", since)
 
 
-def incremental_import(store: SnapshotStore, specs: Sequence[TableSpec]) -> list[TableResult]:
-    """Per table: rows past the target's mark, upserted by key."""
+def changed_table(store: SnapshotStore, spec: TableSpec) -> ChangedTable:
+    return ChangedTable(store, spec.name, spec.keys, spec.mark.column)
+
+
+def _import_changes(store: SnapshotStore, spec: TableSpec) -> TableResult:
+    if not store.exists(spec.name):
+        store.replace(spec.name, apply_post_load(spec.extract(store.spark, spec.mark.default), spec.post_load))
+        return TableResult(spec.name, "bootstrap")
+    table = changed_table(store, spec)
+    since = read_high_water_mark(table.seen(spec.mark.column), spec.mark)
+    delta = _staged(store.spark, spec, since)
+    if delta.isEmpty():
+        return TableResult(spec.name, "unchanged", since)
+    table.merge_batch(apply_post_load(delta, spec.post_load), table.next_batch())
+    return TableResult(spec.name, "merged", since)
+
+
+def incremental_import(store: SnapshotStore, specs: Sequence[TableSpec], rewrite: bool = True) -> list[TableResult]:
+    """Per table: rows past the target's mark, upserted by key.
+
+    ``rewrite=True`` publishes the merged table each time. With ``rewrite=False`` only the changes are
+    written, newest row per key, and merged when :func:`changed_table` is read: for tables that are large
+    next to their changes.
+    """
+    if not rewrite:
+        return [_import_changes(store, s) for s in specs]
     return [_merge_import(store, s, lambda base, delta, spec: upsert(base, delta, spec.keys)) for s in specs]
 
 
@@ -127,15 +152,22 @@ def replicate(
     sources: Mapping[str, DataFrame] | None = None,
     now: datetime | None = None,
     tolerance: float = 0.05,
+    rewrite: bool = True,
 ) -> ReplicationResult:
     """Everything: upserts, full copies, promotion of the upserted tables, validation against sources.
 
     ``sources`` holds the source side of tables to validate; ``now`` is the moment freshness is judged at.
     """
     result = ReplicationResult()
-    result.tables += incremental_import(store, incremental)
+    result.tables += incremental_import(store, incremental, rewrite)
     result.tables += full_import(public, full)
-    result.promoted = promote_tables(store, public, {s.name: s.key_columns for s in incremental})
+    by_name = {s.name: s for s in incremental}
+    result.promoted = promote_tables(
+        store,
+        public,
+        {s.name: s.key_columns for s in incremental},
+        read=None if rewrite else lambda name: changed_table(store, by_name[name]).current(),
+    )
     for spec in incremental:
         if sources and now and spec.name in sources and public.exists(spec.name):
             source, target = sources[spec.name], public.read(spec.name)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesync.functions.casting import DATE_LAYOUTS, cast_text, is_date, is_text, text_width
+from lakesync.operators.merge import semi_join_keys
 from lakesync.operators.schema import (
     BLANK_LINE,
     EXTRA_COLUMN,
@@ -267,8 +268,8 @@ def errors_for_table(
 
     ``errors`` carries the registry id as ``tbl``. ``file`` narrows to one file, blanks aside.
     """
-    entry = tables.filter(F.col("name") == name).select(F.col("id").alias("tbl"), F.col("name").alias("table"))
-    return load_window(errors.join(entry, "tbl"), since, file)
+    ids = tables.filter(F.col("name") == name).select(F.col("id").alias("tbl"))
+    return load_window(semi_join_keys(errors, ids, "tbl").withColumn("table", F.lit(name)), since, file)
 
 
 def load_window(errors: DataFrame, since: datetime | None = None, file: str | None = None) -> DataFrame:
