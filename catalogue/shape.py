@@ -95,10 +95,11 @@ def report_to_query_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line, length(text)::INTEGER AS size FROM documents""")
+    SELECT doc_id, lang, line, length(line)::INTEGER AS size
+    FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents) t""")
 def unwrap_pages_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per document, a record per line."""
-    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.char_length("text").alias("size")))
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.char_length(x).alias("size")))
     pages = table(spark, sf_dir, "documents").select("doc_id", "lang", lines.alias("results"))
     return shape.unwrap_pages(pages, "results", keep=["doc_id", "lang"])
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesync.functions.text import NUMBER_TEXT
-
 # Tried in this order after the ISO layouts.
 DATE_LAYOUTS = (
     "yyyyMMdd",
@@ -51,9 +50,11 @@ def layout_shape(layout: str) -> str:
 def _as_date(c: Column, kind: T.DataType, layouts: Sequence[str]) -> Column:
     # Shorter texts, a bare year say, are no date although a cast would take them as one.
     iso = F.when((F.substring(c, 5, 1) == "-") & (F.length(c) >= 8), c.try_cast(kind))
-    # A failed parse is costly, so a layout is tried only on texts of its shape.
-    others = [F.when(c.rlike(layout_shape(f)), F.try_to_timestamp(c, F.lit(f)).cast(kind)) for f in layouts]
-    return F.coalesce(iso, *others)
+    if not layouts:
+        return iso
+    # A failed parse is costly, so the shape of the text decides which layout is tried.
+    layout = reduce(lambda found, f: found.when(c.rlike(layout_shape(f)), f), layouts, F.when(c.isNull(), None))
+    return F.coalesce(iso, F.try_to_timestamp(c, layout).cast(kind))
 
 
 def cast_text(c: Column, kind: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
@@ -63,6 +64,8 @@ def cast_text(c: Column, kind: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS
     if is_date(kind):
         return _as_date(F.trim(c), kind, layouts)
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        # The pattern keeps out spellings such as 1d or NaN that a cast would read as numbers.
-        return F.when(c.rlike(NUMBER_TEXT), c.try_cast(kind))
+        # Spellings such as 1d, NaN or 0x1p3 are no numbers although a cast would read them.
+        last = F.right(F.rtrim(c, F.lit(" \t\r\n")), F.lit(1))
+        plain = last.between(".", "9") & ~F.contains(c, F.lit("x")) & ~F.contains(c, F.lit("X"))
+        return F.when(plain, c.try_cast(kind))
     return c.try_cast(kind)

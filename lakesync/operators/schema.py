@@ -316,23 +316,29 @@ def _plain(kind: T.DataType) -> T.DataType:
 
 
 
+_INFERRED = (T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType())
+
+
 def infer_schema(df: DataFrame) -> T.StructType:
     """Types for columns of text, from all their values: long, double, boolean, timestamp or string.
 
-    One aggregate; one flag per column and type reaches the driver. Blank texts count as no value.
+    Every value gets the number of the first type that reads it, and a column the type all its values
+    share; whole numbers among fractions are doubles. One aggregate, whose row alone reaches the driver.
+    Blank texts count as no value.
     """
-    tests = (T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType())
-    flags = []
+    ranks = []
     for name in df.columns:
         text = F.col(f"`{name}`")
-        value = F.when(F.trim(text) != "", text)
-        for kind in tests:
-            flags.append(F.bool_and(cast_text(value, kind).isNotNull() | value.isNull()) & (F.count(value) > 0))
-    row = df.agg(F.array(*flags).alias("flags")).first()["flags"]
+        rank = F.when(F.trim(text) == "", None)
+        for i, kind in enumerate(_INFERRED):
+            rank = rank.when(cast_text(text, kind).isNotNull(), i)
+        ranks.append(rank.when(text.isNotNull(), len(_INFERRED)).alias(f"r{len(ranks)}"))
+    bounds = [F.array(F.min(f"r{i}"), F.max(f"r{i}")) for i in range(len(ranks))]
+    row = df.select(*ranks).agg(F.array(*bounds).alias("bounds")).first()["bounds"]
     fields = []
-    for i, name in enumerate(df.columns):
-        fitting = [kind for j, kind in enumerate(tests) if row[i * len(tests) + j]]
-        fields.append(T.StructField(name, fitting[0] if fitting else T.StringType()))
+    for name, (low, high) in zip(df.columns, row):
+        fits = low is not None and high < len(_INFERRED) and (low == high or high == 1)
+        fields.append(T.StructField(name, _INFERRED[high] if fits else T.StringType()))
     return T.StructType(fields)
 
 

@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", app: str = "lakesync", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # The JVM compiles no method above 8000 bytes; wide projections are better split than interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

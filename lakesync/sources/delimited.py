@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,8 @@ def _prepared(c: Column, kind: T.DataType, options: LoadOptions) -> Column:
     """A field's text after the options for blanks; NULL is a field without value."""
     if not is_text(kind):
         return F.when(F.trim(c) != "", c)
+    # The parser makes an empty field NULL.
+    c = F.coalesce(c, F.lit(""))
     kept = F.rtrim(c) if options.trim_blanks else c
     if options.blanks_as_null and options.empty_as_null:
         return F.when(F.trim(c) != "", kept)
@@ -114,41 +117,64 @@ def _stored(c: Column, kind: T.DataType, options: LoadOptions) -> Column:
     return cast_text(c, kind, options.date_layouts)
 
 
-def _error(reason: Column | str, field: T.StructField | None, raw: Column, count: Column) -> Column:
-    text = F.lit(reason) if isinstance(reason, str) else reason
-    width = text_width(field.dataType) if field else None
-    return F.struct(
-        text.alias("err_reason"),
-        F.lit(field.name if field else "").alias("colname"),
-        F.lit(field.dataType.simpleString() if field else "").alias("type"),
-        F.lit(str(width) if width else None).cast("string").alias("col_length"),
-        raw.alias("raw_field_value"),
-        count.cast("bigint").alias("field_count"),
-    )
-
-
-def _field_error(raw: Column, value: Column, field: T.StructField, options: LoadOptions, count: Column) -> Column | None:
-    """The error of one field as a struct, NULL when the field is fine; None if it cannot fail."""
-    kind = field.dataType
+def _failures(t: Column, v: Column, kind: T.DataType, options: LoadOptions) -> list[tuple[str, Column]]:
+    """The ways a field of this type can fail: reason and condition over its text and its value."""
     if is_text(kind):
-        failure = None
+        out = []
         width = text_width(kind)
         if width and not options.truncate_columns:
-            failure = F.when(F.char_length(raw) > width, _error(TOO_LONG, field, raw, count))
+            out.append((TOO_LONG, F.char_length(t) > width))
         if not options.replace_invalid:
-            bad = F.contains(raw, F.lit(_REPLACEMENT))
-            error = _error(INVALID_CHARACTERS, field, raw, count)
-            failure = failure.when(bad, error) if failure is not None else F.when(bad, error)
-        return failure
+            out.append((INVALID_CHARACTERS, F.contains(t, F.lit(_REPLACEMENT))))
+        return out
     if is_date(kind):
+        reason = INVALID_DATE
         if options.accept_any_date:
-            return None
-        reason = F.lit(INVALID_DATE)
-    elif isinstance(kind, T.BooleanType):
-        reason = F.lit(UNKNOWN_BOOLEAN)
+            return []
     else:
-        reason = F.concat(F.lit(f"{INVALID_DIGIT}, Value '"), raw, F.lit(f"', Type: {kind.simpleString()}"))
-    return F.when(raw.isNotNull() & value.isNull(), _error(reason, field, raw, count))
+        reason = UNKNOWN_BOOLEAN if isinstance(kind, T.BooleanType) else INVALID_DIGIT
+    return [(reason, t.isNotNull() & v.isNull())]
+
+
+def _line_error(reason: str, raw: Column, count: Column) -> Column:
+    nothing = F.lit(None).cast("string")
+    values = (F.lit(reason), F.lit(""), F.lit(""), nothing, raw, count)
+    return F.array(F.struct(*values)).cast(_ERROR_TYPE)
+
+
+def _field_errors(schema: T.StructType, options: LoadOptions) -> Column:
+    """An array with an error per bad field.
+
+    Good lines, nearly all of them, only pay for the conditions: what an error says is put together
+    from constant lists once a condition holds.
+    """
+    tests = []
+    for i, f in enumerate(schema.fields):
+        for reason, failed in _failures(F.col(f"t{i}"), F.col(f"v{i}"), f.dataType, options):
+            width = text_width(f.dataType)
+            tests.append((failed, i, reason, f.name, f.dataType.simpleString(), str(width) if width else None))
+    none = F.array().cast(_ERROR_TYPE)
+    if not tests:
+        return none
+    conditions, positions, reasons, names, types, widths = zip(*tests)
+
+    def constant(values: Sequence[object]) -> Column:
+        return F.array(*[F.lit(v).cast("string") for v in values])
+
+    texts = F.array(*[F.col(f"t{i}") for i in positions])
+
+    def entry(test: Column) -> Column:
+        def pick(values: Column) -> Column:
+            return F.get(values, test)
+
+        reason, raw, kind = pick(constant(reasons)), pick(texts), pick(constant(types))
+        quoted = F.concat(reason, F.lit(", Value '"), raw, F.lit("', Type: "), kind)
+        said = F.when(reason == INVALID_DIGIT, quoted).otherwise(reason)
+        return F.struct(said, pick(constant(names)), kind, pick(constant(widths)), raw, F.col("n"))
+
+    failed = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)]))
+    any_failed = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+    return F.when(any_failed, F.transform(failed, entry).cast(_ERROR_TYPE)).otherwise(none)
 
 
 def parse_lines(
@@ -161,42 +187,43 @@ def parse_lines(
     """
     options = options or LoadOptions()
     width = len(schema.fields)
-    slots = [f"f{i}" for i in range(width + _SPARE + 1)]
-    text = F.concat(F.col(line), F.lit(options.delimiter + _END))
-    record = F.from_csv(text, ", ".join(f"{s} string" for s in slots), options.csv)
+    slots = [f"f{i}" for i in range(width + 1)]
+    spare = [f"f{i}" for i in range(width + 1, width + 1 + _SPARE)]
+
+    def record(text: Column, names: Sequence[str]) -> Column:
+        ended = F.concat(text, F.lit(options.delimiter + _END))
+        return F.from_csv(ended, ", ".join(f"{s} string" for s in names), options.csv)
+
     # Unnesting a one-element array keeps the optimizer from copying the parse into every use of a
     # field, and a later filter on errors from copying the casts.
     parsed = lines.select(
         F.col(line).alias(RAW_LINE),
         (F.col(file) if file else F.lit(None).cast("string")).alias(FILE),
-        F.inline(F.array(record)),
+        F.inline(F.array(record(F.col(line), slots))),
     )
-    found = F.array_position(F.array(*slots), _END)
-    counted = parsed.select("*", (found - 1).alias("n"))
-    # An unquoted empty field is parsed as NULL: within the line's width it is a field all the same.
-    raw = [F.when(F.col("n") != i, F.coalesce(F.col(s), F.lit(""))) for i, s in enumerate(slots[:width])]
-    texts = [_prepared(c, f.dataType, options).alias(f"t{i}") for i, (c, f) in enumerate(zip(raw, schema.fields))]
-    extra = F.coalesce(F.col(slots[width]), F.lit("")).alias("extra")
-    prepared = counted.select(RAW_LINE, FILE, "n", F.col(slots[-1]).alias("last"), extra, *texts)
+    counted = parsed.select("*", (F.array_position(F.array(*slots), _END) - 1).alias("n"))
+    # Lines with more fields are parsed once more, to see how many.
+    wide = F.when(F.col("n") < 0, record(F.col(RAW_LINE), slots + spare))
+    texts = [_prepared(F.col(s), f.dataType, options).alias(f"t{i}") for i, (s, f) in enumerate(zip(slots, schema.fields))]
+    prepared = counted.select(RAW_LINE, FILE, "n", F.col(slots[-1]).alias("extra"), wide.alias("wide"), *texts)
     values = [_stored(F.col(f"t{i}"), f.dataType, options).alias(f"v{i}") for i, f in enumerate(schema.fields)]
     typed = prepared.select("*", *values)
 
     n = F.col("n")
-    field_errors = [
-        e
-        for i, f in enumerate(schema.fields)
-        if (e := _field_error(F.col(f"t{i}"), F.col(f"v{i}"), f, options, n)) is not None
-    ]
-    none = F.array().cast(_ERROR_TYPE)
-    of_fields = F.array_compact(F.array(*field_errors)).cast(_ERROR_TYPE) if field_errors else none
-    too_many = (n > width) | ((n < 0) & F.col("last").isNotNull())
-    at_least = F.when(n < 0, F.lit(len(slots))).otherwise(n)
+    fields = F.array(*[F.col(f"wide.{s}") for s in slots + spare])
+    seen = F.array_position(fields, _END) - 1
+    total = F.when(seen < 0, F.lit(width + 1 + _SPARE).cast("bigint")).otherwise(seen)
+    # A line whose quote never closes holds its end mark within a field; it then has too few of them.
+    too_many = (n < 0) & ((seen > width) | F.col(f"wide.{spare[-1]}").isNotNull())
     errors = (
-        F.when(F.trim(RAW_LINE) == "", F.array(_error(BLANK_LINE, None, F.lit(""), n)).cast(_ERROR_TYPE))
-        .when(too_many, F.array(_error(EXTRA_COLUMN, None, F.col("extra"), at_least)).cast(_ERROR_TYPE))
-        .when(n != width, F.array(_error(MISSING_FIELDS, None, F.lit(""), n)).cast(_ERROR_TYPE))
-        .otherwise(of_fields)
+        F.when(n == width, _field_errors(schema, options))
+        .when(F.trim(RAW_LINE) == "", _line_error(BLANK_LINE, F.lit(""), n))
+        .when(too_many, _line_error(EXTRA_COLUMN, F.coalesce("extra", F.lit("")), total))
+        .otherwise(_line_error(MISSING_FIELDS, F.lit(""), n))
     )
+    if width == 1:
+        # A blank line is then one blank field.
+        errors = F.when(F.trim(RAW_LINE) == "", _line_error(BLANK_LINE, F.lit(""), n)).otherwise(errors)
     columns = [F.col(f"v{i}").alias(f.name) for i, f in enumerate(schema.fields)]
     return typed.select(F.inline(F.array(F.struct(*columns, errors.alias(ERRORS), RAW_LINE, FILE))))
 
