@@ -49,7 +49,9 @@ def layout_shape(layout: str) -> str:
 
 def _as_date(c: Column, kind: T.DataType, layouts: Sequence[str]) -> Column:
     # Shorter texts, a bare year say, are no date although a cast would take them as one.
-    iso = F.when((F.substring(c, 5, 1) == "-") & (F.length(c) >= 8), c.try_cast(kind))
+    # A cast to date would also take any text behind the day.
+    moment = c.try_cast("timestamp_ntz").cast(kind) if isinstance(kind, T.DateType) else c.try_cast(kind)
+    iso = F.when((F.substring(c, 5, 1) == "-") & (F.length(c) >= 8), moment)
     if not layouts:
         return iso
     # A failed parse is costly, so the shape of the text decides which layout is tried.

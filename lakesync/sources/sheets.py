@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesync.functions.names import normalize_names, sheet_name
+from lakesync.functions.text import fill_empty
 
 
 def _drop_header(df: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -44,6 +45,6 @@ def sheet_rows(
 
 
 def read_sheet(spark: SparkSession, path: str, rule: Callable[[str], str] = sheet_name) -> DataFrame:
-    """A sheet exported as CSV, all columns text."""
-    df = spark.read.options(header=True, multiLine=True, quote='"', escape='"', nullValue="\u0001").csv(path)
-    return normalize_names(_drop_header(df, df.columns), rule)
+    """A sheet exported as CSV, all columns text; an empty cell is ''."""
+    df = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+    return normalize_names(fill_empty(_drop_header(df, df.columns)), rule)
