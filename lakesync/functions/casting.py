@@ -10,6 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesync.functions.text import INTEGER_TEXT, NUMBER_TEXT
+
+# The words for true and false.
+TRUE_WORDS = ("t", "true", "y", "yes", "1")
+FALSE_WORDS = ("f", "false", "n", "no", "0")
+
 # Tried in this order after the ISO layouts.
 DATE_LAYOUTS = (
     "yyyyMMdd",
@@ -65,9 +71,13 @@ def cast_text(c: Column, kind: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS
         return c
     if is_date(kind):
         return _as_date(F.trim(c), kind, layouts)
+    # A cast that fails costs a hundred times one that works, so hopeless ones are not tried. The pattern
+    # also keeps out spellings such as 1d, NaN or 0x1p3, which a cast would read as numbers.
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        # Spellings such as 1d, NaN or 0x1p3 are no numbers although a cast would read them.
-        last = F.right(F.rtrim(c, F.lit(" \t\r\n")), F.lit(1))
-        plain = last.between(".", "9") & ~F.contains(c, F.lit("x")) & ~F.contains(c, F.lit("X"))
-        return F.when(plain, c.try_cast(kind))
+        return F.when(c.rlike(NUMBER_TEXT), c.try_cast(kind))
+    if isinstance(kind, T.IntegralType):
+        return F.when(c.rlike(INTEGER_TEXT), c.try_cast(kind))
+    if isinstance(kind, T.BooleanType):
+        word = F.lower(F.trim(c))
+        return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
     return c.try_cast(kind)

@@ -55,7 +55,8 @@ def _latest_all(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     # The join is on key and timestamp, not key alone: the versions of a hot key fall apart by time,
     # and a moment that is hot itself is spread like a hot key.
     newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return _filter_by_keys(df, newest, [*keys, ts], "left_semi", hot_keys(df, [*keys, ts]), null_safe=[ts])
+    hot = _hot_hashes(df, [*keys, ts])
+    return _filter_by_keys(df, newest, [*keys, ts], "left_semi", hot, null_safe=[ts])
 
 
 def keep_latest(
@@ -137,6 +138,14 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+def _hot_hashes(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    most = int(1 / share)
+    sketch = F.expr(f"approx_top_k(__hash, {most}, {_TRACKED})")
+    hashes = df.select(_key_hash(columns).alias("__hash"))
+    row = hashes.agg(F.count("*").alias("n"), sketch.alias("top")).first()
+    return [entry["item"] for entry in row["top"] or [] if entry["count"] >= share * row["n"]]
+
+
 def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float = HOT_SHARE) -> list[int]:
     """Hashes of the keys that hold at least ``share`` of the rows: 1 / share of them at most.
 
@@ -145,11 +154,7 @@ def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float = HOT_SHARE)
     where rows go; no result depends on them.
     """
     keys = key_list(keys)
-    most = int(1 / share)
-    sketch = F.expr(f"approx_top_k(__hash, {most}, {_TRACKED})")
-    counted = df.filter(_has_key(keys)).select(_key_hash(keys).alias("__hash")).agg(F.count("*").alias("n"), sketch.alias("top"))
-    row = counted.first()
-    return [entry["item"] for entry in row["top"] or [] if entry["count"] >= share * row["n"]]
+    return _hot_hashes(df.filter(_has_key(keys)), keys, share)
 
 
 def _typed_keys(key_rows: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:

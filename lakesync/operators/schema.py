@@ -236,7 +236,7 @@ def error_profile(errors: DataFrame) -> DataFrame:
     kind = F.regexp_extract("err_reason", r"^([^,]*)", 1)
     return errors.groupBy(kind.alias("reason"), "colname").agg(
         F.count("*").alias("error_count"),
-        F.bool_and(value.try_cast("bigint").isNotNull()).alias("all_integer"),
+        F.bool_and(cast_text(value, T.LongType()).isNotNull()).alias("all_integer"),
         F.bool_and(cast_text(value, T.DoubleType()).isNotNull()).alias("all_number"),
         F.bool_and(cast_text(value, T.TimestampNTZType()).isNotNull()).alias("all_timestamp"),
         F.max("field_count").alias("field_count"),

@@ -55,7 +55,6 @@ def unwrap_pages(df: DataFrame, data_key: str, keep: Sequence[str] = ()) -> Data
 
     ``keep`` names page columns to carry along.
     """
-    # The array is read from the outermost column, so only this field of the pages is scanned.
     rows = df.select(*keep, F.explode(F.col(data_key)).alias("record"))
     if isinstance(rows.schema["record"].dataType, T.StructType):
         return rows.select(*keep, "record.*")
