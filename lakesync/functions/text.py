@@ -13,8 +13,11 @@ NUMBER_TEXT = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 def int_or_null(c: Column, kind: T.DataType | None = None) -> Column:
     """A whole number, or NULL when the value is not one. Numbers lose their fraction, true is 1.
 
-    ``kind`` is the column's type; text is assumed when it is left out.
+    ``kind`` is the column's type; text is assumed when it is left out. A variant counts as what it holds,
+    so that the JSON number 3.7 is 3 and the JSON text "3.7" is no whole number.
     """
+    if isinstance(kind, T.VariantType):
+        return F.try_variant_get(c, "$", "bigint")
     if isinstance(kind, T.BooleanType):
         return c.cast("int").cast("bigint")
     if isinstance(kind, T.NumericType):

@@ -174,9 +174,12 @@ EVENT_COLUMNS = (
 )
 
 
-def text_record(columns: Sequence[str]) -> T.StructType:
-    """A record of text fields; numbers, lists and objects arrive as their JSON text."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+def text_record(columns: Sequence[str], typed: Sequence[str] = ()) -> T.StructType:
+    """A record of text fields; numbers, lists and objects arrive as their JSON text.
+
+    ``typed`` fields are variants, which remember whether a value was a number, a text or a truth value.
+    """
+    return T.StructType([T.StructField(c, T.VariantType() if c in typed else T.StringType()) for c in columns])
 
 
 def clean_tickets(records: DataFrame) -> DataFrame:
@@ -221,7 +224,7 @@ def _landed(df: DataFrame, feed: str) -> DataFrame:
 
 def tickets(pages: DataFrame) -> DataFrame:
     """All tickets, newest version of each."""
-    records = page_records(pages, "results", text_record(TICKET_COLUMNS))
+    records = page_records(pages, "results", text_record(TICKET_COLUMNS, TICKET_NUMBERS))
     return dedupe_latest(_landed(clean_tickets(records), "tickets"), "id", "updated_at")
 
 

@@ -227,6 +227,15 @@ def test_feed_columns():
     assert set(feeds.TICKET_NUMBERS) <= set(feeds.TICKET_COLUMNS)
 
 
+def test_ticket_numbers(spark):
+    body = """{"results":[{"id":1,"updated_at":"2024-01-02","reopens":3.7,"replies":"3.7","req_id":" 12 ",
+               "assigned_stations":true,"group_stations":"x","status":"it's \\"open\\""},
+               {"id":1,"updated_at":"2024-01-01"},{"updated_at":"2024-01-01"}]}"""
+    out = feeds.tickets(spark.createDataFrame([(body,)], "body string"))
+    chosen = out.select("id", "reopens", "replies", "req_id", "assigned_stations", "group_stations", "status")
+    assert rows(chosen) == [(None,) * 7, ("1", 3, None, 12, 1, None, "its open")]
+
+
 def test_survey_over_pages(spark):
     bodies = [
         '{"responses":[{"answers":{"a":"1","b":"x"}},{"answers":{}}]}',
