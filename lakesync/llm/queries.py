@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import language_id, mixing, packing, pii, simhash
+from lakesync.llm import (
+    ann_tree,
+    histogram_sort,
+    language_id,
+    mixing,
+    packing,
+    pii,
+    simhash,
+    threshold_topk,
+    wrappers,
+)
 from lakesync.llm.common import table
 
 SURROGATE_KEY = "surrogates-1"
@@ -19,6 +29,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _every_fiftieth():
+    return F.col("vec_id") % 50 == 0
+
+
+def op2_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), _every_fiftieth(), k=5)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.held_out())
     model = language_id.fit(docs.filter("NOT held_out"))
@@ -26,16 +44,32 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(table(spark, sf_dir, "embeddings"), _every_fiftieth(), k=5, scale=256)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, bits=4)
 
 
+def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    sharded = histogram_sort.shard_by_bytes(docs.withColumn("text_crc32", F.crc32(text)), shards=16)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return sharded.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
     columns = ("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
     return pieces.select(*columns)
 
 
+def op8_page_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.replicate_to_weights(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "copy", "order_key")
@@ -48,6 +82,16 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op5_simhash_near_dedup, op7_packing, op9_poisson_mixing, op10_pii_surrogates)
+    for f in (
+        op2_kmeans_tree,
+        op3_language_id,
+        op4_threshold_topk,
+        op5_simhash_near_dedup,
+        op6_histogram_sort,
+        op7_packing,
+        op8_page_wrappers,
+        op9_poisson_mixing,
+        op10_pii_surrogates,
+    )
 }
-ORACLES: dict[str, str] = {"op9_poisson_mixing": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {"op4_threshold_topk": threshold_topk.TOP_SQL, "op9_poisson_mixing": mixing.MIX_SQL}
