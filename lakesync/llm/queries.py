@@ -15,6 +15,7 @@ from lakesync.llm import (
     packing,
     pii,
     simhash,
+    substring_dedup,
     threshold_topk,
     wrappers,
 )
@@ -29,6 +30,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def _every_fiftieth():
     return F.col("vec_id") % 50 == 0
 
@@ -83,6 +88,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_compact_windows,
         op2_kmeans_tree,
         op3_language_id,
         op4_threshold_topk,
