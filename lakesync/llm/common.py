@@ -58,6 +58,13 @@ def shingle_hashes(text: str | None, width: int, seed: int = 42) -> np.ndarray:
     return np.fromiter((digest(joined[i:j], seed) for i, j in spans), np.uint64, len(starts) - width + 1)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a few, so that little of a batch of long texts is in Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def add_columns(
     make: Callable[[pa.RecordBatch, int], dict[str, pa.Array]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -65,7 +72,7 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = 0
-        for batch in batches:
+        for batch in small(batches):
             new = make(batch, seen)
             seen += batch.num_rows
             kept = {n: batch.column(n) for n in batch.schema.names if n not in new}
