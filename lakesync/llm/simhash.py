@@ -155,7 +155,10 @@ def links(prints: DataFrame, bits: int = 4) -> DataFrame:
 
 
 def fingerprint_components(marked: DataFrame, ids: str = "doc_id", bits: int = 4) -> DataFrame:
-    """(simhash, component_id) for every fingerprint of ``marked``, a stored frame with ids and ``simhash``."""
+    """(simhash, component, component_id) for every fingerprint of ``marked``, a stored frame with ids and ``simhash``.
+
+    ``component`` is a fingerprint of the class, and tells classes apart that have no id.
+    """
     prints = stored(marked.groupBy(F.col("simhash").alias("fp")).agg(F.min(ids).alias("first_id")), "prints")
     comps = components(links(prints, bits))
     labelled = prints.join(comps, F.col("fp") == F.col("node"), "left").select(
@@ -163,7 +166,8 @@ def fingerprint_components(marked: DataFrame, ids: str = "doc_id", bits: int = 4
     )
     labelled = stored(labelled, "labelled")
     least = stored(labelled.groupBy("component").agg(F.min("first_id").alias("component_id")), "classes")
-    return stored(labelled.join(least, "component").select(F.col("fp").alias("simhash"), "component_id"), "members")
+    members = labelled.join(least, "component").select(F.col("fp").alias("simhash"), "component", "component_id")
+    return stored(members, "members")
 
 
 def near_duplicates(docs: DataFrame, ids: str = "doc_id", text: str = "text", width: int = 4, bits: int = 4) -> DataFrame:
@@ -178,8 +182,7 @@ def keep_one(docs: DataFrame, ids: str = "doc_id", text: str = "text", width: in
     marked = stored(with_fingerprints(docs, text, width), "marked")
     small = marked.select(ids, "simhash", "row_id")
     classes = fingerprint_components(small, ids, bits)
-    # A component whose ids are all null has no smallest id; its fingerprints are then told apart by row.
     first = F.min(F.struct(F.col(ids).isNull().alias("n"), F.col(ids).alias("i"), F.col("row_id").alias("r")))
     by_print = stored(small.groupBy("simhash").agg(first.alias("first")), "firsts")
-    chosen = by_print.join(classes, "simhash").groupBy("component_id").agg(F.min("first").alias("first"))
+    chosen = by_print.join(classes, "simhash").groupBy("component").agg(F.min("first").alias("first"))
     return marked.join(chosen.select(F.col("first.r").alias("row_id")), "row_id", "left_semi").select(*docs.columns)

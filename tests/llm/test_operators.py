@@ -110,6 +110,12 @@ def test_keep_one(spark, documents, odd):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4"]
 
 
+def test_keep_one_tells_rows_without_ids_apart(spark):
+    texts = ["red fox jumps over lazy dogs", "red fox jumps over lazy dogs", "blue whales sing under cold water", None]
+    kept = simhash.keep_one(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"))
+    assert {r.text for r in kept.collect()} == set(texts) and kept.count() == 3
+
+
 def test_language_held_out(spark, documents):
     marked = documents.withColumn("held_out", language_id.held_out())
     model = language_id.fit(marked.filter("NOT held_out"))
