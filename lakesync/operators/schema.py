@@ -310,6 +310,48 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def holds_all_of(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Whether every value of ``narrow`` has its exact like in ``wide``."""
+    if wide.simpleString() == narrow.simpleString() or (isinstance(wide, T.StringType) and is_text(narrow)):
+        return True
+    digits = _WHOLE_DIGITS.get(type(narrow))
+    if digits:
+        if isinstance(wide, T.DecimalType):
+            return wide.precision - wide.scale >= digits
+        return _WHOLE_DIGITS.get(type(wide), 15 if isinstance(wide, T.DoubleType) else 0) >= digits
+    if isinstance(narrow, T.DecimalType) and isinstance(wide, T.DecimalType):
+        more = wide.scale - narrow.scale
+        return more >= 0 and wide.precision - narrow.precision >= more
+    pairs = ((T.FloatType, T.DoubleType), (T.DateType, T.TimestampNTZType))
+    return isinstance(narrow, T.NullType) or (type(narrow), type(wide)) in pairs
+
+
+def conformed(df: DataFrame, schema: T.StructType, allow_new: bool = False) -> DataFrame:
+    """Rows in the columns and types of ``schema``, by name; a type is cast up where that loses nothing.
+
+    Columns on one side only are an error, as is a type that would lose values. With ``allow_new`` absent
+    columns are NULL, and new ones stand at the end.
+    """
+    other = sorted(set(schema.names) ^ set(df.columns))
+    if other and not allow_new:
+        raise ValueError(f"columns differ: {', '.join(other)}")
+    out = []
+    for f in schema.fields:
+        if f.name not in df.columns:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        mine = df.schema[f.name].dataType
+        if not holds_all_of(f.dataType, mine):
+            raise TypeError(f"column {f.name} is {mine.simpleString()}, which {f.dataType.simpleString()} cannot hold")
+        column = F.col(f"`{f.name}`")
+        same = f.dataType.simpleString() == mine.simpleString()
+        out.append(column if same else column.cast(f.dataType).alias(f.name))
+    return df.select(*out, *[F.col(f"`{c}`") for c in df.columns if c not in schema.names])
+
+
 def _plain(kind: T.DataType) -> T.DataType:
     return T.StringType() if is_text(kind) else kind
 

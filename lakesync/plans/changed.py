@@ -1,101 +1,115 @@
 """Tables kept as a published base plus batches of changes.
 
-A batch is reduced to its newest row per key and written as one folder; the base is not rewritten for
-it, so a batch costs what it holds. Reading merges base and changes, later batches winning; ``compact``
-folds the changes into a new base once in a while. Writing a batch again overwrites its own folder with
-the same rows.
+A batch is written as one folder and entered in the store's manifest; the base is not rewritten for it, so a
+batch costs what it holds. Reading merges base and changes, later batches winning; ``compact`` folds the
+changes into a new base once in a while. A batch is known by its source and that source's number for it, so
+a repeated one is skipped, and two streams never meet each other's numbers. Changes belong to the base they came
+after: when a new copy of the table is published, they are history.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from lakesync.operators.merge import keep_latest, upsert
-from lakesync.plans.publish import SnapshotStore
+from lakesync.operators.schema import conformed
+from lakesync.plans.publish import ChangeEntry, SnapshotStore
+from lakesync.session import shared_dir
 from lakesync.spec import key_list
 
 _BATCH = "lakesync_batch"
-_MARKS = "path string, batch bigint"
+_SEQ = "lakesync_seq"
 
 
 class ChangedTable:
-    """A table as a published base plus the batches that came after it."""
+    """A table as a published base plus the batches that came after it.
 
-    def __init__(self, store: SnapshotStore, name: str, keys: str | Sequence[str], ts: str):
+    With ``ts``, a batch is reduced to its newest row per key before it is written; without, all its rows are kept.
+    A batch with other columns than the table's is an error, or brings new columns with ``allow_new``.
+    """
+
+    def __init__(
+        self, store: SnapshotStore, name: str, keys: str | Sequence[str], ts: str | None = None, allow_new: bool = False
+    ):
         self.store = store
         self.name = name
         self.keys = key_list(keys)
         self.ts = ts
+        self.allow_new = allow_new
         self._changes_root = f"{store.root}/{name}/changes"
-        self._marks_root = f"{store.root}/{name}/compacted"
 
     @property
     def spark(self) -> SparkSession:
         return self.store.spark
 
-    def merge_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch. Writing it again changes nothing."""
-        newest = keep_latest(df, self.keys, self.ts)
-        newest.write.mode("overwrite").parquet(f"{self._changes_root}/{_BATCH}={batch_id}")
-
-    def _read_if_there(self, schema: T.StructType | str, root: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(root)
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _compacted(self) -> int:
-        """The newest batch the current base already holds, -1 for none."""
-        marks = self._read_if_there(_MARKS, self._marks_root)
-        if marks is None:
-            return -1
-        current = F.col("path").isin(self.store.current_paths(self.name))
-        newest = marks.filter(current).agg(F.max("batch")).first()[0]
-        return -1 if newest is None else newest
-
-    def changes(self) -> DataFrame | None:
-        """Changes that the base does not hold yet, with their batch; older batches are not scanned."""
-        schema = self.store.read(self.name).schema.add(_BATCH, T.LongType())
-        every = self._read_if_there(schema, self._changes_root)
-        return None if every is None else every.filter(F.col(_BATCH) > self._compacted())
-
-    def _merged(self, changes: DataFrame | None) -> DataFrame:
-        base = self.store.read(self.name)
-        if changes is None:
+    def merge_batch(self, df: DataFrame, batch_id: int, source: str = "") -> None:
+        """Write one batch of a source. The same batch again changes nothing."""
+        if self.store.has_change(self.name, source, batch_id):
+            return
+        df = conformed(df, self._schema(), self.allow_new)
+        if self.ts:
+            # Landed first: reading the newest rows takes two passes, and the source is asked once.
+            landing = shared_dir(df.sparkSession, f"batch-{self.name}")
+            df.write.parquet(landing)
+            df = keep_latest(df.sparkSession.read.parquet(landing), self.keys, self.ts)
+        path = f"{self._changes_root}/{_BATCH}=b{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(path)
+        self.store.add_change(self.name, path, source, batch_id, self.ts is not None)
+
+    def _schema(self) -> T.StructType:
+        """The base's columns, then those that changes brought."""
+        base, entries = self.store.read(self.name).schema, self.store.changes_since(self.name)
+        brought = self._read(entries).drop(_SEQ).schema.fields if entries else []
+        return T.StructType([*base.fields, *(f for f in brought if f.name not in base.names)])
+
+    def _read(self, entries: Sequence[ChangeEntry]) -> DataFrame:
+        """The rows of some batches in all their columns, with the number of their entry."""
+        reader = self.spark.read.options(basePath=self._changes_root, mergeSchema=True)
+        rows = reader.parquet(*[e.path for e in entries])
+        names = [e.path.rsplit("=", 1)[1] for e in entries]
+        numbers = F.create_map(*reduce(add, [[F.lit(n), F.lit(e.seq).cast("bigint")] for n, e in zip(names, entries)]))
+        return rows.withColumn(_SEQ, F.element_at(numbers, F.col(_BATCH))).drop(_BATCH)
+
+    def _with_changes(self, base: DataFrame, entries: Sequence[ChangeEntry]) -> DataFrame:
+        if not entries:
             return base
-        # One batch holds a key once, so the batch number alone decides.
-        newest = keep_latest(changes, self.keys, _BATCH, tie_breakers=[]).drop(_BATCH)
-        return upsert(base, newest, self.keys)
-
-    def next_batch(self) -> int:
-        """The number after the newest batch."""
-        changes = self.changes()
-        last = changes.agg(F.max(_BATCH)).first()[0] if changes is not None else None
-        return max(self._compacted(), -1 if last is None else last) + 1
+        changes = self._read(entries)
+        if all(e.reduced for e in entries):
+            # One batch holds a key once, so the number alone decides.
+            newest = keep_latest(changes, self.keys, _SEQ, tie_breakers=[])
+        else:
+            newest = keep_latest(changes, self.keys, _SEQ, ties="all")
+        return upsert(base, newest.drop(_SEQ), self.keys, allow_missing=True)
+
+    def changes(self) -> DataFrame:
+        """Changes that the base does not hold yet, with the number of their entry."""
+        entries = self.store.changes_since(self.name)
+        if entries:
+            return self._read(entries)
+        schema = T.StructType([*self.store.read(self.name).schema.fields, T.StructField(_SEQ, T.LongType())])
+        return self.spark.createDataFrame([], schema)
 
     def seen(self, column: str) -> DataFrame:
         """One column of all rows that ever arrived, for a high-water mark: nothing is joined for it."""
-        base, changes = self.store.read(self.name).select(column), self.changes()
-        return base if changes is None else base.unionByName(changes.select(column))
+        base, entries = self.store.read(self.name).select(column), self.store.changes_since(self.name)
+        return base.unionByName(self._read(entries).select(column)) if entries else base
 
     def current(self) -> DataFrame:
         """Base and changes merged: a change replaces every row of its key."""
-        return self._merged(self.changes())
+        return self._with_changes(self.store.read(self.name), self.store.changes_since(self.name))
 
     def compact(self) -> None:
-        """Fold the changes into a new base. A crash in between leaves changes that merge once more."""
-        changes = self.changes()
-        last = changes.agg(F.max(_BATCH)).first()[0] if changes is not None else None
-        if last is None:
+        """Fold the changes into a new base. Those that arrive meanwhile stay changes of the new one."""
+        entries = self.store.changes_since(self.name)
+        if not entries:
             return
-        path = self.store.stage(self.name, self._merged(changes.filter(F.col(_BATCH) <= last)), self.keys)
-        mark = self.spark.createDataFrame([(path, last)], _MARKS)
-        mark.coalesce(1).write.mode("append").parquet(self._marks_root)
-        self.store.switch({self.name: path})
+        merged = self._with_changes(self.store.read(self.name), entries)
+        path = self.store.stage(self.name, merged, self.keys)
+        self.store.switch({self.name: path}, {self.name: entries[-1].seq})

@@ -3,12 +3,15 @@
 A version is one or more Parquet folders ``<root>/<table>/v=<id>``. A manifest, itself a small Parquet
 table with one part per publication, says which folders are current; a set of tables switches together
 because one publication is one write. Readers keep the previous version until the switch, and it stays
-as backup. Appending publishes the old folders plus a new one and copies nothing. One publisher per
-root is assumed.
+as backup. Appending publishes the old folders plus a new one and copies nothing.
+
+Batches of changes to a table are entries of the same manifest, so their order is the manifest's. They belong
+to the version they came after: a new version starts without any, unless it says which it holds already.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -18,8 +21,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lakesync.operators.layout import clustered_layout
+from lakesync.operators.schema import conformed
+
+# ``source`` and ``batch`` tell an entry of changes, ``reduced`` that it holds a key once. ``folded`` is the
+# newest entry of changes that a version holds.
+_MANIFEST = "seq bigint, table string, path string, source string, batch bigint, reduced boolean, folded bigint"
 
-_MANIFEST = "seq bigint, table string, path string"
+
+@dataclass(frozen=True)
+class ChangeEntry:
+    seq: int
+    path: str
+    reduced: bool
 
 
 @dataclass(frozen=True)
@@ -35,6 +48,7 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._publishing = threading.Lock()
 
     # -- manifest -----------------------------------------------------------------------------------
 
@@ -46,25 +60,77 @@ class SnapshotStore:
                 return None
             raise
 
-    def _versions(self, table: str) -> list[list[str]]:
-        """The folders of the current and the previous version, newest first."""
+    def _entries(self, table: str, changes: bool) -> DataFrame | None:
         manifest = self._manifest()
         if manifest is None:
+            return None
+        return manifest.filter((F.col("table") == table) & (F.col("source").isNotNull() == F.lit(changes)))
+
+    def _last_versions(self, table: str) -> list[tuple[list[str], int]]:
+        """Folders, and newest change held, of the current and the previous version, newest first."""
+        mine = self._entries(table, changes=False)
+        if mine is None:
             return []
-        mine = manifest.filter(F.col("table") == table)
         last = [r["seq"] for r in mine.select("seq").distinct().orderBy(F.col("seq").desc()).limit(2).collect()]
         rows = mine.filter(F.col("seq").isin(last)).orderBy("seq", "path").collect() if last else []
-        return [[r["path"] for r in rows if r["seq"] == seq] for seq in last]
+        found = []
+        for seq in last:
+            own = [r for r in rows if r["seq"] == seq]
+            folded = own[0]["folded"]
+            found.append(([r["path"] for r in own], seq if folded is None else folded))
+        return found
 
-    def switch(self, paths: Mapping[str, str | Sequence[str]]) -> int:
-        """Make the given folders current, all at once. Returns the publication's number."""
-        manifest = self._manifest()
-        last = manifest.agg(F.max("seq").alias("seq")).first()["seq"] if manifest is not None else None
-        seq = (last or 0) + 1
-        entries = [(seq, t, p) for t, given in paths.items() for p in ([given] if isinstance(given, str) else given)]
-        rows = self.spark.createDataFrame(entries, _MANIFEST)
-        rows.coalesce(1).write.mode("error").parquet(f"{self.root}/_manifest/seq={seq:010d}")
-        return seq
+    def _versions(self, table: str) -> list[list[str]]:
+        """The folders of the current and the previous version, newest first."""
+        return [paths for paths, _ in self._last_versions(table)]
+
+    def _publish(self, entries: Sequence[tuple]) -> int:
+        """Write entries under the next free number."""
+        with self._publishing:
+            manifest = self._manifest()
+            last = manifest.agg(F.max("seq").alias("seq")).first()["seq"] if manifest is not None else None
+            seq = (last or 0) + 1
+            while True:
+                rows = self.spark.createDataFrame([(seq, *e) for e in entries], _MANIFEST)
+                try:
+                    rows.coalesce(1).write.mode("error").parquet(f"{self.root}/_manifest/seq={seq:010d}")
+                    return seq
+                except AnalysisException as taken:
+                    # Another publisher was faster, or one failed half way.
+                    if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                        raise
+                    seq += 1
+
+    def switch(self, paths: Mapping[str, str | Sequence[str]], folded: Mapping[str, int] | None = None) -> int:
+        """Make the given folders current, all at once. Returns the publication's number.
+
+        ``folded`` says for a table up to which entry its new version holds the changes; without it the
+        version replaces the older one and all changes to that.
+        """
+        return self._publish(
+            [
+                (t, p, None, None, None, (folded or {}).get(t))
+                for t, given in paths.items()
+                for p in ([given] if isinstance(given, str) else given)
+            ]
+        )
+
+    def add_change(self, table: str, path: str, source: str, batch: int, reduced: bool) -> int:
+        """Enter a folder of changes, number ``batch`` of ``source``."""
+        return self._publish([(table, path, source, batch, reduced, None)])
+
+    def has_change(self, table: str, source: str, batch: int) -> bool:
+        """Whether this batch of this source was ever entered."""
+        mine = self._entries(table, changes=True)
+        return mine is not None and not mine.filter((F.col("source") == source) & (F.col("batch") == batch)).isEmpty()
+
+    def changes_since(self, table: str) -> list[ChangeEntry]:
+        """The entries of changes that the current version does not hold, oldest first."""
+        versions, mine = self._last_versions(table), self._entries(table, changes=True)
+        if not versions:
+            raise LookupError(f"no version of {table}")
+        rows = mine.filter(F.col("seq") > versions[0][1]).orderBy("seq").collect()
+        return [ChangeEntry(r["seq"], r["path"], r["reduced"]) for r in rows]
 
     # -- data ---------------------------------------------------------------------------------------
 
@@ -82,15 +148,13 @@ class SnapshotStore:
         return path
 
     def append(self, table: str, df: DataFrame) -> str:
-        """Add rows, matched by name. Only the new rows are written."""
-        old = self.current_paths(table) if self.exists(table) else []
-        if old:
-            columns = self.read(table).columns
-            if set(columns) != set(df.columns):
-                raise ValueError(f"columns differ: {sorted(set(columns) ^ set(df.columns))}")
-            df = df.select(*columns)
-        path = self.stage(table, df)
-        self.switch({table: [*old, path]})
+        """Add rows, matched by name, in the table's types. Only the new rows are written."""
+        versions = self._last_versions(table)
+        if not versions:
+            return self.replace(table, df)
+        old, held = versions[0]
+        path = self.stage(table, conformed(df, self.read(table).schema))
+        self.switch({table: [*old, path]}, {table: held})
         return path
 
     def exists(self, table: str) -> bool:
@@ -118,7 +182,7 @@ class SnapshotStore:
     def rollback(self, table: str) -> list[str]:
         """Switch back to the previous version; the failed one becomes the backup."""
         paths = self._previous_paths(table)
-        self.switch({table: paths})
+        self.switch({table: paths}, {table: self._last_versions(table)[1][1]})
         return paths
 
     # -- catalog ------------------------------------------------------------------------------------
@@ -162,11 +226,8 @@ def replace_table(df: DataFrame, name: str, layout_keys: Sequence[str] | None =
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    """Append to a catalog table, columns matched by name."""
-    have = df.sparkSession.table(name).columns
-    if set(have) != set(df.columns):
-        raise ValueError(f"columns differ: {sorted(set(have) ^ set(df.columns))}")
-    df.select(*have).write.mode("append").saveAsTable(name)
+    """Append to a catalog table, columns matched by name, in the table's types."""
+    conformed(df, df.sparkSession.table(name).schema).write.mode("append").saveAsTable(name)
 
 
 def apply_post_load(df: DataFrame, post_load: Callable[[DataFrame], DataFrame] | None) -> DataFrame:

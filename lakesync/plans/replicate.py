@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from lakesync.operators.checks import Report, validate_replica
-from lakesync.operators.merge import reconcile_latest, upsert
+from lakesync.operators.merge import keep_latest, reconcile_latest, upsert
 from lakesync.operators.schema import store_as_text
 from lakesync.operators.watermark import read_high_water_mark, since_high_water
 from lakesync.plans.changed import ChangedTable
 from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap
 from lakesync.session import shared_dir
-from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan
+from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan, jdbc_table_scan
 from lakesync.spec import HighWaterMark, TableSpec
 
 Merge = Callable[[DataFrame, DataFrame, TableSpec], DataFrame]
@@ -23,11 +26,20 @@ Merge = Callable[[DataFrame, DataFrame, TableSpec], DataFrame]
 
 @dataclass(frozen=True)
 class TableResult:
-    """What happened to one table: ``full``, ``bootstrap``, ``merged`` or ``unchanged``."""
+    """What happened to one table: ``full``, ``bootstrap``, ``merged``, ``unchanged`` or ``failed``."""
 
     table: str
     action: str
     since: datetime | None = None
+    error: str | None = None
+
+
+class ImportFailed(RuntimeError):
+    """Some tables failed; ``results`` says what became of each."""
+
+    def __init__(self, results: Sequence[TableResult]):
+        self.results = list(results)
+        super().__init__("; ".join(f"{r.table}: {r.error}" for r in results if r.error))
 
 
 @dataclass
@@ -37,8 +49,17 @@ class ReplicationResult:
     reports: dict[str, Report] = field(default_factory=dict)
 
     @property
-    def ok(self) -> bool:
-        return all(p.error is None for p in self.promoted) and all(r.ok for r in self.reports.values())
+    def unvalidated(self) -> list[str]:
+        """Promoted tables that were not compared with a source."""
+        return [p.table for p in self.promoted if p.error is None and p.table not in self.reports]
+
+    @property
+    def ok(self) -> bool | None:
+        """Whether nothing failed; None when that is so but some table was not validated."""
+        failed = any(t.error for t in self.tables) or any(p.error for p in self.promoted)
+        if failed or not all(r.ok for r in self.reports.values()):
+            return False
+        return None if self.unvalidated else True
 
 
 def jdbc_extract(
@@ -47,8 +68,9 @@ def jdbc_extract(
     """An extract hook that reads a database table, past the mark when there is one."""
 
     def extract(spark: SparkSession, since: datetime | None) -> DataFrame:
-        where = mark or HighWaterMark("")
-        return store_as_text(jdbc_incremental_scan(spark, source, table, where, since, slices))
+        if mark is None:
+            return store_as_text(jdbc_table_scan(spark, source, table, slices))
+        return store_as_text(jdbc_incremental_scan(spark, source, table, mark, since, slices))
 
     return extract
 
@@ -106,42 +128,74 @@ def _merge_import(store: SnapshotStore, spec: TableSpec, merge: Merge) -> TableR
 
 
 def changed_table(store: SnapshotStore, spec: TableSpec) -> ChangedTable:
-    return ChangedTable(store, spec.name, spec.keys, spec.mark.column)
+    return ChangedTable(store, spec.name, spec.keys)
 
 
-def _import_changes(store: SnapshotStore, spec: TableSpec) -> TableResult:
+def _import_changes(store: SnapshotStore, spec: TableSpec, latest: bool) -> TableResult:
+    if spec.post_load:
+        raise ValueError(f"{spec.name}: post_load works on the merged table, which is only written with rewrite=True")
+    default = spec.mark.default if spec.mark else None
     if not store.exists(spec.name):
-        store.replace(spec.name, apply_post_load(spec.extract(store.spark, spec.mark.default), spec.post_load))
+        store.replace(spec.name, spec.extract(store.spark, default))
         return TableResult(spec.name, "bootstrap")
     table = changed_table(store, spec)
-    since = read_high_water_mark(table.seen(spec.mark.column), spec.mark)
+    since = read_high_water_mark(table.seen(spec.mark.column), spec.mark) if spec.mark else None
     delta = _staged(store.spark, spec, since)
     if delta.isEmpty():
         return TableResult(spec.name, "unchanged", since)
-    table.merge_batch(apply_post_load(delta, spec.post_load), table.next_batch())
+    if latest:
+        delta = keep_latest(delta, spec.keys, spec.mark.column)
+    # Every run is a source of its own: it asks for what comes after the mark, and is no repetition.
+    table.merge_batch(delta, 0, f"import-{uuid.uuid4().hex}")
     return TableResult(spec.name, "merged", since)
 
 
-def incremental_import(store: SnapshotStore, specs: Sequence[TableSpec], rewrite: bool = True) -> list[TableResult]:
+def _side_by_side(
+    spark: SparkSession, specs: Sequence[TableSpec], one: Callable[[TableSpec], TableResult], workers: int
+) -> list[TableResult]:
+    """Tables imported from a few driver threads, so that small ones share the cluster; failures apart."""
+
+    def guarded(spec: TableSpec) -> TableResult:
+        try:
+            return one(spec)
+        except Exception as failure:  # noqa: BLE001 - one table must not stop the others
+            return TableResult(spec.name, "failed", error=f"{type(failure).__name__}: {failure}")
+
+    with ThreadPoolExecutor(max(1, min(workers, len(specs)))) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(guarded), specs))
+    if any(r.error for r in results):
+        raise ImportFailed(results)
+    return results
+
+
+def incremental_import(
+    store: SnapshotStore, specs: Sequence[TableSpec], rewrite: bool = True, latest: bool = False, workers: int = 8
+) -> list[TableResult]:
     """Per table: rows past the target's mark, upserted by key.
 
-    ``rewrite=True`` publishes the merged table each time. With ``rewrite=False`` only the changes are
-    written, newest row per key, and merged when :func:`changed_table` is read: for tables that are large
-    next to their changes.
+    All rows of a key that the extract holds are kept, or the newest with ``latest``. ``rewrite=True`` publishes the
+    merged table each time. With ``rewrite=False`` only the changes are written, and merged when :func:`changed_table`
+    is read: for tables that are large next to their changes. Both give the same rows. All tables are tried;
+    then :class:`ImportFailed` is raised if any failed.
     """
-    if not rewrite:
-        return [_import_changes(store, s) for s in specs]
-    return [_merge_import(store, s, lambda base, delta, spec: upsert(base, delta, spec.keys)) for s in specs]
+
+    def merge(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
+        return upsert(base, delta, spec.keys, spec.mark.column if latest else None)
+
+    def one(spec: TableSpec) -> TableResult:
+        return _merge_import(store, spec, merge) if rewrite else _import_changes(store, spec, latest)
+
+    return _side_by_side(store.spark, specs, one, workers)
 
 
-def incremental_reconcile(store: SnapshotStore, specs: Sequence[TableSpec]) -> list[TableResult]:
-    """Per table: rows past the target's mark, newest row per key kept."""
+def incremental_reconcile(store: SnapshotStore, specs: Sequence[TableSpec], workers: int = 8) -> list[TableResult]:
+    """Per table: rows past the target's mark, newest row per key kept. Failures as in :func:`incremental_import`."""
 
     def newest(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
         column = spec.mark.column
         return reconcile_latest(base, delta, spec.keys, column, spec.tie_breakers, spec.ties, spec.null_keys)
 
-    return [_merge_import(store, s, newest) for s in specs]
+    return _side_by_side(store.spark, specs, lambda spec: _merge_import(store, spec, newest), workers)
 
 
 def replicate(
@@ -156,10 +210,16 @@ def replicate(
 ) -> ReplicationResult:
     """Everything: upserts, full copies, promotion of the upserted tables, validation against sources.
 
-    ``sources`` holds the source side of tables to validate; ``now`` is the moment freshness is judged at.
+    ``sources`` holds the source side of tables to validate; ``now`` is the moment freshness is judged at. A table
+    whose upsert fails is reported, and not promoted.
     """
     result = ReplicationResult()
-    result.tables += incremental_import(store, incremental, rewrite)
+    try:
+        result.tables += incremental_import(store, incremental, rewrite)
+    except ImportFailed as some:
+        result.tables += some.results
+    done = {t.table for t in result.tables if t.error is None}
+    incremental = [s for s in incremental if s.name in done]
     result.tables += full_import(public, full)
     by_name = {s.name: s for s in incremental}
     result.promoted = promote_tables(
