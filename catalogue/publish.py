@@ -1,6 +1,6 @@
 """Publishing, replication and streaming, each over freshly written tables."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,3 +164,63 @@ def reconcile_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = reconcile_latest(store.read("orders"), store.read("delta"), "o_orderkey", "o_orderdate")
     store.replace("orders", merged, ["o_orderkey"])
     return store.read("orders")
+
+
+@query(UPSERTED_SQL)
+def stream_restart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream starts from a new checkpoint, counting from zero again, after the first one's changes were folded in."""
+    store, orders = _store(spark, "restart"), table(spark, sf_dir, "orders")
+    store.replace("orders", orders)
+    streamed, changed = ChangedTable(store, "orders", "o_orderkey", "o_orderdate"), changed_orders(orders)
+    for number, part in enumerate((F.col("o_orderkey") < 0, F.col("o_orderkey") >= 0)):
+        landing = shared_dir(spark, "landing")
+        changed.filter(part).write.parquet(landing)
+        changes = spark.readStream.schema(orders.schema).parquet(landing)
+        stream_upsert(changes, streamed, shared_dir(spark, "stream-checkpoint")).awaitTermination()
+        if number == 0:
+            streamed.compact()
+    return streamed.current()
+
+
+@query(f"SELECT {ORDERS} FROM orders")
+def stream_after_full_import_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fresh copy of the table is published after the stream's changes: they are no longer applied."""
+    store, orders = _store(spark, "recopied"), table(spark, sf_dir, "orders")
+    store.replace("orders", orders)
+    streamed, landing = ChangedTable(store, "orders", "o_orderkey", "o_orderdate"), shared_dir(spark, "landing")
+    changed_orders(orders).write.parquet(landing)
+    changes = spark.readStream.schema(orders.schema).parquet(landing)
+    stream_upsert(changes, streamed, shared_dir(spark, "stream-checkpoint")).awaitTermination()
+    full_import(store, [TableSpec("orders", "o_orderkey", extract=frame_extract(lambda s: table(s, sf_dir, "orders")))])
+    return streamed.current()
+
+
+@query(f"""
+    WITH delta AS ({CHANGED_ORDERS_SQL})
+    SELECT {ORDERS}, NULL AS o_note FROM orders b WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = b.o_orderkey)
+    UNION ALL SELECT {ORDERS}, LOWER(o_orderpriority) FROM delta""")
+def changes_with_new_column_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes bring a column that the base has not."""
+    store, orders = _store(spark, "new-column"), table(spark, sf_dir, "orders")
+    store.replace("orders", orders)
+    changed = ChangedTable(store, "orders", "o_orderkey", "o_orderdate", allow_new=True)
+    delta = changed_orders(orders)
+    changed.merge_batch(delta.filter("o_orderkey < 0").withColumn("o_note", F.lower("o_orderpriority")), 0)
+    changed.merge_batch(delta.filter("o_orderkey >= 0").withColumn("o_note", F.lower("o_orderpriority")), 1)
+    return changed.current()
+
+
+@query(f"""
+    WITH delta AS (SELECT {ORDERS} FROM ({CHANGED_ORDERS_SQL}) c WHERE o_orderdate IS NOT NULL)
+    SELECT {ORDERS} FROM orders b WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = b.o_orderkey)
+    UNION ALL SELECT {ORDERS} FROM delta
+    UNION ALL SELECT {ORDERS} FROM (SELECT * REPLACE ('Y' AS o_orderstatus) FROM delta)""")
+def incremental_changes_many_versions_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract with two versions of every key: written as changes, it leaves what a rewrite leaves."""
+    store, orders = _store(spark, "versions"), table(spark, sf_dir, "orders")
+    changed = changed_orders(orders)
+    both = changed.unionByName(changed.withColumn("o_orderstatus", F.lit("Y")))
+    spec = _spec(both, HighWaterMark("o_orderdate", lookback=timedelta(days=10000)), [orders])
+    for _ in range(2):
+        incremental_import(store, [spec], rewrite=False)
+    return changed_table(store, spec).current()

@@ -177,6 +177,91 @@ def test_stream_upsert(spark, store, tmp_path):
     assert content(table.current()) == after
 
 
+def test_changes_belong_to_source_and_base(spark, store):
+    store.replace("t", frame(spark, FIRST))
+    table = ChangedTable(store, "t", "id", "ts")
+    table.merge_batch(frame(spark, [(3, 3, "c")]), 0, "one")
+    table.compact()
+    table.merge_batch(frame(spark, [(4, 4, "d")]), 0, "two")
+    table.merge_batch(frame(spark, [(5, 5, "repeated")]), 0, "one")
+    assert content(table.current()) == [*FIRST, (3, 3, "c"), (4, 4, "d")]
+    store.append("t", frame(spark, [(6, 6, "f")]))
+    assert content(table.current()) == [*FIRST, (3, 3, "c"), (4, 4, "d"), (6, 6, "f")]
+    store.replace("t", frame(spark, FIRST))
+    assert content(table.current()) == FIRST
+
+
+def test_changes_that_arrive_while_folding_are_kept(spark, store, monkeypatch):
+    store.replace("t", frame(spark, FIRST))
+    table = ChangedTable(store, "t", "id", "ts")
+    table.merge_batch(frame(spark, [(3, 3, "c")]), 0)
+    stage = store.stage
+
+    def slow(*given):
+        monkeypatch.setattr(store, "stage", stage)
+        table.merge_batch(frame(spark, [(4, 4, "d")]), 1)
+        return stage(*given)
+
+    monkeypatch.setattr(store, "stage", slow)
+    table.compact()
+    assert content(store.read("t")) == [*FIRST, (3, 3, "c")]
+    assert content(table.current()) == [*FIRST, (3, 3, "c"), (4, 4, "d")]
+
+
+def test_changes_with_other_columns(spark, store):
+    store.replace("t", frame(spark, FIRST))
+    more = frame(spark, [(2, 3, "B")]).selectExpr("*", "7 AS more")
+    with pytest.raises(ValueError, match="more"):
+        ChangedTable(store, "t", "id", "ts").merge_batch(more, 0)
+    with pytest.raises(TypeError, match="id"):
+        ChangedTable(store, "t", "id").merge_batch(frame(spark, FIRST).selectExpr("'x' AS id", "ts", "v"), 0)
+    table = ChangedTable(store, "t", "id", "ts", allow_new=True)
+    table.merge_batch(more, 0)
+    table.merge_batch(frame(spark, [(3, 1, "c")]), 1)
+    assert {(r.id, r.v, r.more) for r in table.current().collect()} == {(1, "a", None), (2, "B", 7), (3, "c", None)}
+
+
+@pytest.mark.parametrize("latest", [False, True])
+def test_both_forms_of_import_agree(spark, tmp_path, latest):
+    found = []
+    for rewrite in (True, False):
+        store = publish.SnapshotStore(spark, str(tmp_path / str(rewrite)))
+        spec = TableSpec("t", "id", HighWaterMark("ts"), source(spark, FIRST, [(2, 3, "B"), (2, 4, "C")]))
+        for _ in range(2):
+            replicate.incremental_import(store, [spec], rewrite, latest)
+        found.append(content(store.read("t") if rewrite else replicate.changed_table(store, spec).current()))
+    assert found[0] == found[1] == [(1, 1, "a"), *([] if latest else [(2, 3, "B")]), (2, 4, "C")]
+    with pytest.raises(replicate.ImportFailed, match="post_load"):
+        post = TableSpec("t", "id", HighWaterMark("ts"), source(spark, FIRST), post_load=lambda df: df)
+        replicate.incremental_import(store, [post], rewrite=False)
+
+
+def test_one_failing_table_of_three(spark, store):
+    def broken(*_):
+        raise OSError("unreachable")
+
+    specs = [TableSpec(n, "id", extract=broken if n == "b" else source(spark, FIRST)) for n in "abc"]
+    with pytest.raises(replicate.ImportFailed, match="b: OSError: unreachable") as failed:
+        replicate.incremental_import(store, specs)
+    assert [r.action for r in failed.value.results] == ["bootstrap", "failed", "bootstrap"]
+    assert content(store.read("a")) == content(store.read("c")) == FIRST
+
+
+def test_without_sources_nothing_is_validated(spark, store, tmp_path):
+    spec = TableSpec("t", "id", HighWaterMark("ts"), source(spark, FIRST, mark=HighWaterMark("ts")))
+    done = replicate.replicate(store, publish.SnapshotStore(spark, str(tmp_path / "public")), [], [spec])
+    assert done.ok is None and done.unvalidated == ["t"]
+
+
+def test_append_keeps_types(spark, store):
+    store.append("t", spark.range(2))
+    store.append("t", spark.createDataFrame([(5,)], "id int"))
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 5]
+    with pytest.raises(TypeError):
+        store.append("t", spark.createDataFrame([("x",)], "id string"))
+    assert store.read("t").count() == 3
+
+
 # ---- checks -------------------------------------------------------------------------------------
 
 
