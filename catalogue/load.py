@@ -301,3 +301,35 @@ def infer_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = [(f.name, f.dataType.simpleString()) for f in sc.infer_schema(text).fields]
     return spark.createDataFrame(rows, "column_name string, type string")
+
+
+@query("""
+    SELECT (9007199254740992 + event_id) || '.0' AS wide, 'kept' AS origin FROM events
+    UNION ALL SELECT CASE WHEN event_type = 'click' THEN user_id || '.5' ELSE (9007199254740992 + event_id) || '.0' END,
+                     'e' || event_id FROM events""")
+def repair_wide_keys_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractions arrive in a column of ids that doubles cannot tell apart: every id stays itself."""
+    events, wide = table(spark, sf_dir, "events"), F.lit(1 << 53) + F.col("event_id")
+    store, folder = SnapshotStore(spark, shared_dir(spark, "wide")), shared_dir(spark, "wide-text")
+    store.replace("ids", events.select(wide.alias("wide"), F.lit("kept").alias("origin")))
+    text = F.when(F.col("event_type") == "click", F.concat("user_id", F.lit(".5"))).otherwise(wide.cast("string"))
+    dl.write_delimited(events.select(text.alias("wide"), F.concat(F.lit("e"), "event_id").alias("origin")), folder)
+    load_with_repair(store, "ids", folder, T.StructType.fromDDL("wide bigint, origin string"), dl.LoadOptions("|"))
+    return store.read("ids").select(F.col("wide").cast("string").alias("wide"), "origin")
+
+
+@query("""
+    SELECT 'code' AS column_name, 'string' AS type UNION ALL SELECT 'long_id', 'decimal(38,0)'
+    UNION ALL SELECT 'key', 'bigint' UNION ALL SELECT 'price', 'double'
+    UNION ALL SELECT 'mixed', 'decimal(38,1)'""")
+def infer_leading_zeros_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes padded with zeros stay text, and long numbers keep their digits."""
+    key = F.col("p_partkey")
+    sheet = table(spark, sf_dir, "part").select(
+        F.lpad(key.cast("string"), 12, "0").alias("code"),
+        F.concat(F.lit("98765432109876543"), F.lpad(key.cast("string"), 8, "0")).alias("long_id"),
+        key.cast("string").alias("key"),
+        F.concat("p_size", F.lit(".25")).alias("price"),
+        F.when(F.pmod(key, F.lit(2)) == 0, F.concat(key, F.lit(".5"))).otherwise((F.lit(1 << 60) + key).cast("string")).alias("mixed"),
+    )
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in sc.infer_schema(sheet).fields], "column_name string, type string")

@@ -15,22 +15,6 @@ from lakesync.functions.text import type_base_name
 
 MAX_VARCHAR = 65535
 
-# Python, numpy and pandas type names by the type generated for them.
-GENERATED_TYPES = {
-    "TIMESTAMP": ("datetime", "time"),
-    "DATE": ("date",),
-    "INTERVAL": ("timedelta",),
-    "INTEGER": ("int", "int_", "intc", "intp", "int8", "int16", "int32"),
-    "BIGINT": ("int64", "long"),
-    "FLOAT": ("decimal", "float", "float_", "float16", "float32", "float64", "double"),
-    "BOOLEAN": ("bool", "bool_"),
-    "VARCHAR": (
-        "str", "object", "json", "tuple", "namedtuple", "set", "dict", "list", "unicode",
-        "buffer", "memoryview", "bytearray", "bytes", "uuid",
-    ),
-    "NULL": ("None", "NaN"),
-}
-
 # Target types that accept a generated type. A varying string accepts everything.
 ACCEPTED_TYPES = {
     "TIMESTAMP": ("timestamp", "timestamptz", "timestamp without time zone"),
@@ -54,14 +38,6 @@ KNOWN_TYPES = (
 )
 
 
-def family_of_name(type_name: str) -> str:
-    """The generated type for a Python, numpy or pandas type name."""
-    for family, names in GENERATED_TYPES.items():
-        if type_name in names:
-            return family
-    raise ValueError(f"unknown type name: {type_name}")
-
-
 def family_of(kind: T.DataType) -> str:
     """The generated type for a Spark type; nested and binary values are stored as text."""
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -227,33 +203,75 @@ class SchemaChange:
     new_type: str
 
 
-def error_profile(errors: DataFrame) -> DataFrame:
+# A text that is written the one way a number is: no plus sign, no zeros in front, no exponent.
+_PLAIN_NUMBER = r"^\s*-?(0|[1-9][0-9]*)([.][0-9]+)?\s*$"
+_PLAIN_WHOLE = r"^\s*-?(0|[1-9][0-9]*)\s*$"
+# Decimal digits that a double always gives back, and that the widest decimal has.
+_DOUBLE_DIGITS, _DECIMAL_DIGITS = 15, 38
+
+
+def _whole_digits(text: Column) -> Column:
+    return F.length(F.regexp_extract(text, r"^\s*[+-]?0*([0-9]*)", 1))
+
+
+def _fraction_digits(text: Column) -> Column:
+    return F.length(F.regexp_extract(text, r"[.]([0-9]*)", 1))
+
+
+def _fits_double(text: Column) -> Column:
+    """Whether a number's text has no more digits than a double gives back."""
+    digits = F.regexp_replace(F.regexp_replace(text, r"[eE].*", ""), r"[^0-9]", "")
+    return F.length(F.ltrim(digits, F.lit("0"))) <= _DOUBLE_DIGITS
+
+
+def error_profile(errors: DataFrame, digits: bool = False) -> DataFrame:
     """What all bad values of a column have in common: one row per reason kind and column.
 
-    This is all the repair sees, so its size is the schema's and not the data's.
+    This is all the repair sees, so its size is the schema's and not the data's. ``digits`` adds how many the
+    numbers have, from which a type is chosen that keeps them all.
     """
     value = F.col("raw_field_value")
     kind = F.regexp_extract("err_reason", r"^([^,]*)", 1)
+    counts = [
+        F.coalesce(F.bool_and(_fits_double(value)), F.lit(False)).alias("double_safe"),
+        F.coalesce(F.bool_and(~value.rlike("[eE]")), F.lit(False)).alias("no_exponent"),
+        F.max(_whole_digits(value)).alias("whole_digits"),
+        F.max(_fraction_digits(value)).alias("fraction_digits"),
+    ]
     return errors.groupBy(kind.alias("reason"), "colname").agg(
         F.count("*").alias("error_count"),
         F.bool_and(cast_text(value, T.LongType()).isNotNull()).alias("all_integer"),
         F.bool_and(cast_text(value, T.DoubleType()).isNotNull()).alias("all_number"),
         F.bool_and(cast_text(value, T.TimestampNTZType()).isNotNull()).alias("all_timestamp"),
         F.max("field_count").alias("field_count"),
+        *(counts if digits else []),
     )
 
 
+def _wide_decimal(whole: int, fraction: int) -> T.DataType:
+    """The decimal that has so many digits on each side, or text where none has."""
+    return T.DecimalType(_DECIMAL_DIGITS, fraction) if whole + fraction <= _DECIMAL_DIGITS else T.StringType()
+
+
 def widened(kind: T.DataType, profile: Mapping[str, object]) -> T.DataType:
-    """The next wider type that holds the old values and all the bad ones. Types only ever widen."""
+    """The next wider type that holds the old values and all the bad ones, every digit of them."""
+    if isinstance(kind, T.DateType) and profile["all_timestamp"]:
+        return T.TimestampNTZType()
+    if not profile["all_number"]:
+        return T.StringType()
+    if isinstance(kind, T.FloatType):
+        return T.DoubleType()
+    exact = (int(profile["whole_digits"]), int(profile["fraction_digits"])) if profile["no_exponent"] else None
     if isinstance(kind, T.IntegralType):
         if profile["all_integer"] and not isinstance(kind, T.LongType):
             return T.LongType()
-        if profile["all_number"]:
+        # A double holds every int, but not every bigint.
+        if profile["double_safe"] and not isinstance(kind, T.LongType):
             return T.DoubleType()
-    elif isinstance(kind, (T.DecimalType, T.FloatType)) and profile["all_number"]:
-        return T.DoubleType()
-    elif isinstance(kind, T.DateType) and profile["all_timestamp"]:
-        return T.TimestampNTZType()
+        if exact:
+            return _wide_decimal(max(exact[0], _WHOLE_DIGITS[type(kind)]), exact[1])
+    elif isinstance(kind, T.DecimalType) and exact:
+        return _wide_decimal(max(exact[0], kind.precision - kind.scale), max(exact[1], kind.scale))
     return T.StringType()
 
 
@@ -358,30 +376,49 @@ def _plain(kind: T.DataType) -> T.DataType:
 
 
 
-_INFERRED = (T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType())
-
-
 def infer_schema(df: DataFrame) -> T.StructType:
-    """Types for columns of text, from all their values: long, double, boolean, timestamp or string.
+    """Types for columns of text, from all their values, such that no value loses a digit.
 
-    Every value gets the number of the first type that reads it, and a column the type all its values
-    share; whole numbers among fractions are doubles. One aggregate, whose row alone reaches the driver.
+    Whole numbers are bigint, or decimal where they are longer; fractions are double, or decimal where a double
+    has too few digits. A column with a plus sign or zeros in front of a number, which codes have, stays text, as does
+    one with values of several kinds. Then come boolean and timestamp. One aggregate, whose row alone reaches the driver.
     Blank texts count as no value.
     """
-    ranks = []
+    measures = []
     for name in df.columns:
-        text = F.col(f"`{name}`")
-        rank = F.when(F.trim(text) == "", None)
-        for i, kind in enumerate(_INFERRED):
-            rank = rank.when(cast_text(text, kind).isNotNull(), i)
-        ranks.append(rank.when(text.isNotNull(), len(_INFERRED)).alias(f"r{len(ranks)}"))
-    bounds = [F.array(F.min(f"r{i}"), F.max(f"r{i}")) for i in range(len(ranks))]
-    row = df.select(*ranks).agg(F.array(*bounds).alias("bounds")).first()["bounds"]
-    fields = []
-    for name, (low, high) in zip(df.columns, row):
-        fits = low is not None and high < len(_INFERRED) and (low == high or high == 1)
-        fields.append(T.StructField(name, _INFERRED[high] if fits else T.StringType()))
-    return T.StructType(fields)
+        text = F.when(F.trim(F.col(f"`{name}`")) != "", F.col(f"`{name}`"))
+        there = text.isNotNull()
+        number = cast_text(text, T.DoubleType()).isNotNull()
+        signed = text.rlike(r"^\s*(?:[+]|-?0[0-9])")
+        plain = F.when(text.rlike(_PLAIN_NUMBER), text)
+        moment = cast_text(text, T.TimestampNTZType()).isNotNull()
+        truth = ~number & cast_text(text, T.BooleanType()).isNotNull()
+        measures.append(
+            F.struct(
+                F.bool_and(text.rlike(_PLAIN_WHOLE)).alias("whole"),
+                F.bool_and(F.when(there, cast_text(text, T.LongType()).isNotNull())).alias("short"),
+                F.bool_and(F.when(there, plain.isNotNull())).alias("plain"),
+                F.bool_and(F.when(there, number & ~signed & _fits_double(text))).alias("double"),
+                F.max(_whole_digits(plain)).alias("digits"),
+                F.max(_fraction_digits(plain)).alias("fraction"),
+                F.bool_and(F.when(there, truth)).alias("boolean"),
+                F.bool_and(F.when(there, ~number & ~truth & moment)).alias("timestamp"),
+            )
+        )
+    row = df.agg(F.array(*measures).alias("found")).first()["found"]
+    return T.StructType([T.StructField(name, _type_of(m)) for name, m in zip(df.columns, row)])
+
+
+def _type_of(found: Mapping[str, object]) -> T.DataType:
+    if found["whole"]:
+        return T.LongType() if found["short"] else _wide_decimal(found["digits"], 0)
+    if found["double"]:
+        return T.DoubleType()
+    if found["plain"]:
+        return _wide_decimal(found["digits"], found["fraction"])
+    if found["boolean"]:
+        return T.BooleanType()
+    return T.TimestampNTZType() if found["timestamp"] else T.StringType()
 
 
 def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

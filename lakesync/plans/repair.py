@@ -84,7 +84,7 @@ def load_with_repair(
     passes = 3 * len(schema.fields) + 10
     for _ in range(passes):
         result = staged_load(spark, paths, schema, table, options, load_start)
-        profiles = [r.asDict() for r in error_profile(result.errors).collect()]
+        profiles = [r.asDict() for r in error_profile(result.errors, digits=True).collect()]
         if not profiles:
             break
         wider, made = evolve_schema(schema, profiles, add_columns, change_types)

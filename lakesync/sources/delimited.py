@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -30,7 +31,7 @@ FILE = "_file"
 
 # Put behind every line as one more field: where it lands tells how many fields the line has.
 _END = "\u0001\u0002"
-_SPARE = 5
+_WRITTEN_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _REPLACEMENT = "�"
 
 _ERROR_TYPE = (
@@ -87,8 +88,9 @@ def write_delimited(
     compression: str = "gzip",
     mode: str = "error",
 ) -> None:
-    """Stage rows as delimited text, NULL as an empty field."""
-    writer = df.write.mode(mode).option("sep", delimiter).option("header", header).option("compression", compression)
+    """Stage rows as delimited text, NULL as an empty field, timestamps with six digits of the second."""
+    times = {"timestampFormat": _WRITTEN_TIME + "XXX", "timestampNTZFormat": _WRITTEN_TIME}
+    writer = df.write.mode(mode).options(**times).option("sep", delimiter).option("header", header).option("compression", compression)
     # The writer would trim blanks unless told not to.
     kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
     writer.option("quote", '"').option("escape", '"').options(**kept).csv(path)
@@ -188,7 +190,6 @@ def parse_lines(
     options = options or LoadOptions()
     width = len(schema.fields)
     slots = [f"f{i}" for i in range(width + 1)]
-    spare = [f"f{i}" for i in range(width + 1, width + 1 + _SPARE)]
 
     def record(text: Column, names: Sequence[str]) -> Column:
         ended = F.concat(text, F.lit(options.delimiter + _END))
@@ -202,19 +203,18 @@ def parse_lines(
         F.inline(F.array(record(F.col(line), slots))),
     )
     counted = parsed.select("*", (F.array_position(F.array(*slots), _END) - 1).alias("n"))
-    # Lines with more fields are parsed once more, to see how many.
-    wide = F.when(F.col("n") < 0, record(F.col(RAW_LINE), slots + spare))
     texts = [_prepared(F.col(s), f.dataType, options).alias(f"t{i}") for i, (s, f) in enumerate(zip(slots, schema.fields))]
-    prepared = counted.select(RAW_LINE, FILE, "n", F.col(slots[-1]).alias("extra"), wide.alias("wide"), *texts)
+    prepared = counted.select(RAW_LINE, FILE, "n", F.col(slots[-1]).alias("extra"), *texts)
     values = [_stored(F.col(f"t{i}"), f.dataType, options).alias(f"v{i}") for i, f in enumerate(schema.fields)]
     typed = prepared.select("*", *values)
 
     n = F.col("n")
-    fields = F.array(*[F.col(f"wide.{s}") for s in slots + spare])
-    seen = F.array_position(fields, _END) - 1
-    total = F.when(seen < 0, F.lit(width + 1 + _SPARE).cast("bigint")).otherwise(seen)
+    # Only lines with more fields than the table are searched for how many they have: delimiters outside quotes.
+    start = f"(^|{re.escape(options.delimiter)})"
+    unquoted = F.regexp_replace(F.col(RAW_LINE), start + r'"(?:[^"]|"")*+"', "$1")
+    total = F.when(n < 0, F.size(F.split(unquoted, re.escape(options.delimiter), -1)).cast("bigint"))
     # A line whose quote never closes holds its end mark within a field; it then has too few of them.
-    too_many = (n < 0) & ((seen > width) | F.col(f"wide.{spare[-1]}").isNotNull())
+    too_many = (n < 0) & (total > width) & ~unquoted.rlike(start + '"')
     errors = (
         F.when(n == width, _field_errors(schema, options))
         .when(F.trim(RAW_LINE) == "", _line_error(BLANK_LINE, F.lit(""), n))
@@ -245,8 +245,12 @@ def _read_lines(spark: SparkSession, paths: str | list[str], width: int, options
     lines = spark.read.text(paths).select(F.col("value").alias("line"), file)
     if not options.header:
         return lines
-    first = lines.select("line").first()
-    return lines.filter(F.col("line") != F.lit(first["line"])) if first else lines
+    # The CSV reader drops the first line of each file. It finds nothing to split or unquote in the others, and
+    # passes blank ones over, which come from a scan of their own.
+    whole = {"sep": "\u0001", "quote": "", "escape": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
+    rest = spark.read.options(**whole, header=True).schema("line string, bad string").csv(paths)
+    rest = rest.select(F.coalesce("bad", "line").alias("line"), file)
+    return rest.unionByName(lines.filter(F.trim("line") == ""))
 
 
 def load_delimited(

@@ -40,7 +40,7 @@ def test_every_line_is_good_or_rejected(spark):
 
 def test_far_too_many_fields(spark):
     parsed = parse(spark, [",".join("123456789")], ddl("a int"))
-    assert dl.load_errors(parsed, "t").first()["field_count"] == 7
+    assert dl.load_errors(parsed, "t").first()["field_count"] == 9
 
 
 def test_several_errors_in_a_line(spark):
@@ -101,6 +101,27 @@ def test_header_gzip_and_file_name(spark, tmp_path):
     assert names == {"part0.csv.gz", "part1.csv.gz"}
 
 
+def test_header_is_the_first_line_of_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"q"\nid,v\n\n2," b "\n')
+    (tmp_path / "b.csv").write_text("ID,V\n3,x\u0001y\n4\n")
+    parsed = dl.load_delimited(spark, str(tmp_path), ddl("id string, v string"), dl.LoadOptions(header=True))
+    assert rows(dl.good_rows(parsed)) == [("1", "q"), ("2", " b "), ("3", "x\u0001y"), ("id", "v")]
+    assert sorted(e[0] for e in failures(parsed)) == sorted([sc.BLANK_LINE, sc.MISSING_FIELDS])
+
+
+def test_every_field_is_counted(spark):
+    lines = [",".join(["x"] * 22), '1,"a,b",2,"c""d",5', '1,2,3,"open', '5" pipe,6" pipe,7']
+    found = {e.raw_line: e.field_count for e in dl.load_errors(parse(spark, lines, ddl("a string, b string")), "t").collect()}
+    assert (found[lines[0]], found[lines[1]], found[lines[3]]) == (22, 5, 3)
+
+
+def test_microseconds_come_back(spark, tmp_path):
+    data = [(datetime(2024, 1, 2, 3, 4, 5, 678901),), (datetime(1969, 12, 31, 23, 59, 59, 1),)]
+    dl.write_delimited(spark.createDataFrame(data, "t timestamp_ntz"), str(tmp_path / "out"))
+    parsed = dl.load_delimited(spark, str(tmp_path / "out"), ddl("t timestamp_ntz"), dl.LoadOptions("|"))
+    assert sorted(tuple(r) for r in dl.good_rows(parsed).collect()) == sorted(data)
+
+
 def test_multiline(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text('id,s\n1,"two\nlines ""quoted"""\nx,a\n2\n3,b,c\n')
@@ -179,6 +200,11 @@ def failures_of(result):
         (["99999999999"], "n int", "n bigint"),
         (["1.2.3"], "n int", "n string"),
         (["2.5", "99999999999"], "n int", "n double"),
+        (["2.5", "9007199254740993"], "n bigint", "n decimal(38,1)"),
+        (["12345678901234567890", "1"], "n bigint", "n decimal(38,0)"),
+        (["2.5", "12345678901234567890"], "n int", "n decimal(38,1)"),
+        (["1e40", "9007199254740993"], "n bigint", "n string"),
+        (["123456789.25"], "n decimal(5,1)", "n decimal(38,2)"),
         (["maybe"], "n boolean", "n string"),
         (["2024-01-01 10:00:00x"], "n date", "n string"),
         (["7,8,9"], "n int", "n int, new_column_one string, new_column_two string"),

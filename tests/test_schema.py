@@ -28,13 +28,6 @@ def test_lengths(spark):
     assert rows(sc.max_length_profile(df)) == [("n", None), ("s", 3)]
 
 
-@pytest.mark.parametrize("name, family", [("int64", "BIGINT"), ("object", "VARCHAR"), ("NaN", "NULL"), ("float_", "FLOAT")])
-def test_type_names(name, family):
-    assert sc.family_of_name(name) == family
-    with pytest.raises(ValueError):
-        sc.family_of_name("category")
-
-
 @pytest.mark.parametrize(
     "ddl, target, ok",
     [
@@ -90,6 +83,20 @@ def test_infer_schema(spark):
     assert sc.cast_columns(df, schema).schema.simpleString() == expected
 
 
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        (["123", "00123"], "string"), (["+1"], "string"), (["0", "-7", " 5 "], "bigint"), (["007.5"], "string"),
+        (["12345678901234567890", "1"], "decimal(38,0)"), (["1" * 39], "string"), (["0.5", "9007199254740993"], "decimal(38,1)"),
+        (["1e5", "2"], "double"), (["0.1234567890123456789"], "decimal(38,19)"), (["1", "yes"], "string"),
+        (["yes", "no", None], "boolean"), ([None, " "], "string"), (["1" * 30 + "." + "1" * 9], "string"),
+    ],
+)
+def test_inference_keeps_every_digit(spark, values, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert sc.infer_schema(df)["v"].dataType.simpleString() == expected
+
+
 def test_store_as_text(spark):
     df = spark.sql("SELECT array(1, 2) AS a, named_struct('x', 1) AS s, CAST('hi' AS BINARY) AS b, 5 AS n")
     assert rows(sc.store_as_text(df)) == [("[1,2]", '{"x":1}', "aGk=", 5)]
