@@ -44,8 +44,8 @@ class Report:
 
 
 def within_band(source: Column, target: Column, tolerance: float = TOLERANCE) -> Column:
-    """The source may exceed the target by the tolerance and must not fall below it."""
-    return (source >= target) & (source <= target * F.lit(1 + tolerance))
+    """The source may exceed the target by the tolerance, a share of its size, and must not fall below it."""
+    return (source >= target) & (source <= target + F.abs(target) * F.lit(tolerance))
 
 
 def _side(df: DataFrame, label: str, other: str, measures: dict[str, Column]) -> DataFrame:

@@ -140,8 +140,8 @@ def assert_report(df: DataFrame, fact_map: str = "factMap") -> None:
     """Refuse reports without details, without all data, or without a single row."""
     status = report_status(df, fact_map)
     bad = status.agg(
-        F.count_if(~F.col("has_details")).alias("no_details"),
-        F.count_if(~F.col("all_data")).alias("partial"),
+        F.count_if(~F.coalesce("has_details", F.lit(False))).alias("no_details"),
+        F.count_if(~F.coalesce("all_data", F.lit(False))).alias("partial"),
         F.sum("detail_rows").alias("rows"),
     ).first()
     if bad["no_details"]:

@@ -235,9 +235,9 @@ def users(pages: DataFrame) -> DataFrame:
 
 
 def organizations(pages: DataFrame) -> DataFrame:
-    """All organisations, newest version of each."""
+    """All organisations, newest version of each. Those without an id are no versions of one another."""
     records = page_records(pages, "organizations", text_record(ORGANIZATION_COLUMNS))
-    return dedupe_latest(_landed(clean_organizations(records), "organizations"), "id", "updated_at")
+    return clean_organizations(dedupe_latest(_landed(records, "organizations"), "id", "updated_at"))
 
 
 def ticket_events(pages: DataFrame) -> DataFrame:
@@ -247,13 +247,19 @@ def ticket_events(pages: DataFrame) -> DataFrame:
 
 
 def survey_answers(
-    pages: DataFrame, questions: Mapping[str, str], field_ids: Sequence[str] | None = None
+    pages: DataFrame, questions: Mapping[str, str], field_ids: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
     """One row per answered response, one column per question, named by the question's text.
 
-    ``questions`` maps id to text: a form's definition, not data.
+    ``questions`` maps id to text: a form's definition, not data. An answer to none of them ends the job;
+    with ``strict=False`` it is left out.
     """
     answers = page_records(pages, "responses", "struct<answers:map<string,string>>").select("answers")
+    if strict:
+        unknown = F.array_except(F.map_keys("answers"), F.array(*[F.lit(q) for q in questions]))
+        told = F.raise_error(F.concat(F.lit("answers to unknown questions: "), F.array_join(unknown, ", ")))
+        known = F.when(F.size(unknown) > 0, told.cast("map<string,string>")).otherwise(F.col("answers"))
+        answers = answers.select(known.alias("answers"))
     flat = answers.select(*[F.try_element_at("answers", F.lit(q)).alias(q) for q in questions])
     chosen = select_fields(drop_all_null_rows(flat), field_ids)
     return distinct_rows(question_names(chosen, dict(questions)))

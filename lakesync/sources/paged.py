@@ -20,6 +20,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 PAGE_SCHEMA = "resource string, position string, body string"
 
 
+# Without these a read cannot know where it ends.
+_REQUIRED = {"offset": ("total",), "count": ("pages",), "number": ("data_key", "page_size")}
+
+
 def fetch_function(name: str) -> Callable[[dict], dict]:
     module, _, function = name.partition(":")
     return getattr(import_module(module), function)
@@ -28,7 +32,7 @@ def fetch_function(name: str) -> Callable[[dict], dict]:
 class PageSlice(InputPartition):
     """A page to request or, with a successor rule, the first page of a chain."""
 
-    def __init__(self, request: dict):
+    def __init__(self, request: dict | None):
         self.request = request
 
 
@@ -61,12 +65,16 @@ class PageReader(DataSourceReader):
         self.until = options.get("until")
         if self.mode not in ("offset", "count", "number", "link", "cursor"):
             raise ValueError(f"unknown paging mode: {self.mode}")
+        absent = [o for o in _REQUIRED.get(self.mode, ()) if o not in options]
+        if absent:
+            raise ValueError(f"paging mode {self.mode} needs {', '.join(absent)}, or it would end too early")
 
     def partitions(self) -> Sequence[InputPartition]:
         if self.mode == "offset":
             return [PageSlice({"offset": i}) for i in range(0, max(self.total, 1), self.size)]
         if self.mode == "count":
-            return [PageSlice({"page": i}) for i in range(1, self.pages + 1)]
+            # A scan needs a partition, so one without a request stands for no pages.
+            return [PageSlice({"page": i}) for i in range(1, self.pages + 1)] or [PageSlice(None)]
         if self.mode == "number":
             return [PageSlice({"page": 1})]
         if self.mode == "cursor":
@@ -81,8 +89,13 @@ class PageReader(DataSourceReader):
             return {"next": link} if link else None
         if self.mode == "cursor":
             end = page.get("end_time")
-            done = not end or str(end) == str(request["start_time"]) or (self.until and int(end) >= int(self.until))
-            return None if done or page.get("count", self.size) < self.size else {"start_time": end}
+            full = page.get("count", self.size) >= self.size
+            if end and str(end) == str(request["start_time"]):
+                if full and "count" in page:
+                    raise ValueError(f"more records at {end} than a page holds: the cursor cannot pass them")
+                return None
+            done = not end or (self.until and int(end) >= int(self.until))
+            return {"start_time": end} if full and not done else None
         return None
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
@@ -159,24 +172,44 @@ def cursor_stream(spark: SparkSession, fetch: str, start: int = 0, **options: ob
     return spark.readStream.format("pages").options(fetch=fetch, start=str(start), **texts).load()
 
 
-def page_records(pages: DataFrame, data_key: str, record: str | T.StructType) -> DataFrame:
-    """The records of JSON pages under a declared record schema, or ``string`` for raw JSON."""
+def page_records(pages: DataFrame, data_key: str, record: str | T.StructType, strict: bool = True) -> DataFrame:
+    """The records of JSON pages under a declared record schema, or ``string`` for raw JSON.
+
+    A page that does not parse or has no list under ``data_key``, an error answer say, ends the job that reads
+    the records. With ``strict=False`` such pages give none; :func:`bad_pages` shows them.
+    """
     kind = record.simpleString() if isinstance(record, T.StructType) else record
-    body = F.from_json("body", f"`{data_key}` array<{kind}>")
-    rows = pages.select(F.explode(body[data_key]).alias("record"))
+    found = F.from_json("body", f"`{data_key}` array<{kind}>")[data_key]
+    if strict:
+        place = F.coalesce(F.col("position"), F.lit("?")) if "position" in pages.columns else F.lit("?")
+        said = F.concat(F.lit(f"page without a list of {data_key}, at position "), place)
+        found = F.when(found.isNull(), F.raise_error(said).cast(f"array<{kind}>")).otherwise(found)
+    rows = pages.select(F.explode(found).alias("record"))
     return rows.select("record.*") if isinstance(rows.schema["record"].dataType, T.StructType) else rows
 
 
+def bad_pages(pages: DataFrame, data_key: str) -> DataFrame:
+    """The pages that :func:`page_records` refuses."""
+    return pages.filter(F.from_json("body", f"`{data_key}` array<string>")[data_key].isNull())
+
+
 def id_fanout(
     ids: DataFrame, column: str, fetch: str, resource: str = "", tasks: int | None = None
 ) -> DataFrame:
-    """One request per distinct id, spread over ``tasks`` tasks: ``id, body``."""
+    """One request per distinct id, spread over ``tasks`` tasks: ``id, body``.
+
+    By default there are as many tasks as shuffle partitions; ids are small, and would be merged into one task otherwise.
+    """
     wanted = ids.select(F.col(column).cast("string").alias("id")).filter("id IS NOT NULL").distinct()
-    spread = wanted.repartition(tasks, "id") if tasks else wanted
+    tasks = tasks or int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = wanted.repartition(tasks, "id")
 
     def request_all(batches):
         get = fetch_function(fetch)
         for batch in batches:
-            yield batch.assign(body=[json.dumps(get({"resource": resource, "id": i})) for i in batch["id"]])
+            # A few bodies at a time: a whole batch of them may not fit.
+            for at in range(0, len(batch), 32):
+                some = batch.iloc[at : at + 32]
+                yield some.assign(body=[json.dumps(get({"resource": resource, "id": i})) for i in some["id"]])
 
     return spread.mapInPandas(request_all, "id string, body string")

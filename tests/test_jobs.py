@@ -327,11 +327,19 @@ def test_survey_over_pages(spark):
         '{"responses":[{"answers":{"b":"y","zzz":"unknown"}}]}',
     ]
     pages = spark.createDataFrame([(b,) for b in bodies], "body string")
-    out = feeds.survey_answers(pages, {"a": "How many?", "b": "Why/not"})
+    with pytest.raises(Exception, match="unknown questions: zzz"):
+        feeds.survey_answers(pages, {"a": "How many?", "b": "Why/not"}).collect()
+    out = feeds.survey_answers(pages, {"a": "How many?", "b": "Why/not"}, strict=False)
     assert out.columns == ["how_many", "whynot"]
     assert rows(out) == [(None, "y"), ("1", "x")]
 
 
+def test_organizations_without_id_stay_apart(spark):
+    body = '{"organizations":[{"name":"a"},{"name":"b"},{"id":1,"name":"c","updated_at":"2024-01-02T00:00:00Z"},{"id":1,"name":"old"}]}'
+    out = feeds.organizations(spark.createDataFrame([(body,)], "body string"))
+    assert sorted((r["id"], r["name"]) for r in out.collect()) == [("", "a"), ("", "b"), ("1", "c")]
+
+
 def test_sheet_is_refused_without_publishing(spark, store):
     sheet = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b")], "n string, s string")
     feeds.sheet_to_table(store, "sheet", sheet).assert_ok()

@@ -97,3 +97,19 @@ def test_read_sheet(spark, tmp_path):
     path.write_text('Store Name,Note\n1,"two\nlines"\nStore Name,Note\n02,\n')
     out = sheets.read_sheet(spark, str(path))
     assert out.columns == ["store_name", "note"] and rows(out) == [("02", ""), ("1", "two\nlines")]
+
+
+def test_required_paging_options(spark):
+    for mode, given in (("offset", {}), ("count", {}), ("number", {"data_key": "segments"}), ("number", {"page_size": 10})):
+        with pytest.raises(Exception, match="needs"):
+            paged.paged_source(spark, "fake_api:offsets", mode, **given).count()
+    assert paged.paged_source(spark, "fake_api:offsets", "count", pages=0).count() == 0
+
+
+@pytest.mark.parametrize("body", ['{"data":[{"n":1},{"n"', '{"error":"too many requests"}', "", None])
+def test_bad_pages_are_not_passed_over(spark, body):
+    pages = spark.createDataFrame([("1", '{"data":[{"n":1}]}'), ("2", body), ("3", '{"data":[]}')], "position string, body string")
+    with pytest.raises(Exception, match="position 2"):
+        paged.page_records(pages, "data", "struct<n:int>").collect()
+    assert paged.page_records(pages, "data", "struct<n:int>", strict=False).count() == 1
+    assert [r.position for r in paged.bad_pages(pages, "data").collect()] == ["2"]
