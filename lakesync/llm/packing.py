@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import array
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from lakesync.llm.common import schema_with, stored
 
 _CACHED = 300_000
+# A space after white space, which may be one token with it.
+_RUN_OF_SPACE = re.compile(r" (?<=\s\s)")
 _encoders: dict[str, Encoder] = {}
 
 
@@ -39,8 +42,9 @@ class Encoder:
     """A tokenizers file, read as it is, with a faster way to the same ids for byte-level BPE files.
 
     Where the file is byte-level BPE whose ids are its merge ranks, ids come from tiktoken over that file's own
-    vocabulary, and words that follow a single space are remembered, since no token crosses such a space. Otherwise, and for the first
-    texts of each process as a check, the tokenizers library encodes the text.
+    vocabulary, and words that follow a single space are remembered, since no token crosses a space after a character that is not
+    white space; texts with other spaces are encoded whole. For other files, and for the first texts of each process as a check, the
+    tokenizers library encodes the text.
     """
 
     # Fixed value: the split pattern of this byte-level family.
@@ -79,7 +83,7 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit numbers."""
         if self.fast is None:
             return self._exact(text)
-        if "  " in text or any(s in text for s in self.specials):
+        if _RUN_OF_SPACE.search(text) or any(s in text for s in self.specials):
             ids = self._quick(text)
         else:
             first, *words = text.split(" ")
