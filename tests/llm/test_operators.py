@@ -1,6 +1,7 @@
 """Each corpus operator against brute force, and its defined results for nulls, empty and repeated rows and clashing columns."""
 
 import html as html_lib
+import random
 import zlib
 
 import numpy as np
@@ -147,6 +148,15 @@ def test_mixing_odd_rows(spark, odd):
     assert {r.source for r in mixing.replicate_to_weights(odd, weights, total=500.0).collect()} == {"b"}
 
 
+def test_quick_ids_are_the_tokenizers_ids_for_any_white_space():
+    encoder = packing.Encoder(tokenizer_path())
+    encoder.left = 0
+    rng = random.Random(3)
+    parts = [" ", " ", "\n", "\t", "\r", "\x85", "\xa0", "\u2003", "\u3000", "a", "the", "it's", "12", ".", "é"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(5000)] + ["aé \xa0 \xa0", "a\n \nb", "a\n ", " "]
+    assert [t for t in texts if encoder.encode(t) != encoder._exact(t)] == []
+
+
 def test_packing_is_the_tokenizers_ids(spark, documents, odd):
     from tokenizers import Tokenizer
 
@@ -289,6 +299,13 @@ def test_pages(spark):
     assert wrappers.extract(pages.limit(0)).count() == 0
 
 
+def test_a_dropped_element_is_no_slot_of_its_neighbours():
+    pages = [f'<article><p>a</p>{"".join(blocks)}</article>' for blocks in (
+        ["<div>b</div>", "<div>c</div>"], ['<div class="ad-1">x</div>', "<div>b</div>"], ["<div>b</div>", '<div class="ad-2">x</div>'])]
+    wrapper = wrappers.Wrapper(wrappers.learn(pages))
+    assert [wrapper.text(p) for p in pages] == ["a\n\nb\n\nc", "a\n\nb", "a\n\nb"]
+
+
 def test_page_wrapper_reads_its_sample(spark):
     pages = [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(16).collect()]
     wrapper = wrappers.Wrapper(wrappers.learn(pages))
