@@ -14,8 +14,11 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -196,10 +199,19 @@ class SnapshotStore:
                     self.spark.sql(f"CREATE OR REPLACE VIEW `{place}`.`{table}` AS {folders}")
 
 
-def publish_swap(store: SnapshotStore, frames: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> int:
-    """Write all tables aside, then switch all of them together. A failed write switches none."""
-    staged = {t: store.stage(t, df, (keys or {}).get(t)) for t, df in frames.items()}
-    return store.switch(staged)
+def side_by_side(spark: SparkSession, one: Callable[[Any], Any], items: Sequence[Any], workers: int) -> list[Any]:
+    """``one`` of every item, in order, from a few driver threads, so that small tables share the cluster."""
+    with ThreadPoolExecutor(max(1, min(workers, len(items)))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(one), items))
+
+
+def publish_swap(
+    store: SnapshotStore, frames: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None, workers: int = 8
+) -> int:
+    """Write all tables aside, side by side, then switch all of them together. A failed write switches none."""
+    tables = list(frames)
+    staged = side_by_side(store.spark, lambda t: store.stage(t, frames[t], (keys or {}).get(t)), tables, workers)
+    return store.switch(dict(zip(tables, staged)))
 
 
 def promote_tables(
@@ -207,16 +219,18 @@ def promote_tables(
     target: SnapshotStore,
     tables: Mapping[str, Sequence[str]],
     read: Callable[[str], DataFrame] | None = None,
+    workers: int = 8,
 ) -> list[PromotionResult]:
-    """Copy tables to another store, clustered by key. A failing table is reported; the rest go on."""
-    results = []
-    for table, keys in tables.items():
+    """Copy tables to another store, side by side, clustered by key. A failing table is reported; the rest go on."""
+
+    def one(table: str) -> PromotionResult:
         try:
             df = read(table) if read else source.read(table)
-            results.append(PromotionResult(table, target.replace(table, df, list(keys) or None), None))
+            return PromotionResult(table, target.replace(table, df, list(tables[table]) or None), None)
         except Exception as failure:  # noqa: BLE001 - one table must not stop the others
-            results.append(PromotionResult(table, None, str(failure)))
-    return results
+            return PromotionResult(table, None, str(failure))
+
+    return side_by_side(target.spark, one, list(tables), workers)
 
 
 def replace_table(df: DataFrame, name: str, layout_keys: Sequence[str] | None = None) -> None:

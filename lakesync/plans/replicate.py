@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from lakesync.operators.checks import Report, validate_replica
@@ -16,7 +14,7 @@ from lakesync.operators.merge import keep_latest, reconcile_latest, upsert
 from lakesync.operators.schema import store_as_text
 from lakesync.operators.watermark import read_high_water_mark, since_high_water
 from lakesync.plans.changed import ChangedTable
-from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap
+from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap, side_by_side
 from lakesync.session import shared_dir
 from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan, jdbc_table_scan
 from lakesync.spec import HighWaterMark, TableSpec
@@ -161,8 +159,7 @@ def _side_by_side(
         except Exception as failure:  # noqa: BLE001 - one table must not stop the others
             return TableResult(spec.name, "failed", error=f"{type(failure).__name__}: {failure}")
 
-    with ThreadPoolExecutor(max(1, min(workers, len(specs)))) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(guarded), specs))
+    results = side_by_side(spark, guarded, specs, workers)
     if any(r.error for r in results):
         raise ImportFailed(results)
     return results

@@ -89,6 +89,17 @@ def test_promotion_goes_on_after_a_failure(spark, store, tmp_path):
     assert content(public.read("t")) == [(1, 1, "a")]
 
 
+def test_tables_staged_side_by_side_switch_together_or_not_at_all(spark, store):
+    tables = {f"t{i}": frame(spark, [(i, 1, "a")]) for i in range(5)}
+    publish.publish_swap(store, tables, workers=3)
+    assert [content(store.read(t)) for t in tables] == [[(i, 1, "a")] for i in range(5)]
+    broken = frame(spark, [(9, 9, "z")]).withColumn("v", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        publish.publish_swap(store, {"t0": frame(spark, [(8, 8, "y")]), "t1": broken})
+    assert content(store.read("t0")) == [(0, 1, "a")]
+    publish.publish_swap(store, {})
+
+
 # ---- replicate ----------------------------------------------------------------------------------
 
 
