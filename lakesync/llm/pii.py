@@ -8,8 +8,9 @@ table. A surrogate is drawn from SHA-256 over the key, the kind, the entity and
 and against the real entities; those that collide are drawn again until none does.
 
 Type and format: digits stand where digits stood; cards keep their first digit and a valid check digit; addresses keep the
-shape of the local part's digits and the top-level domain; secrets keep the class of each character; names keep title, script (Latin, Cyrillic, Greek),
-number of parts, and an ending that fits the title's gender.
+shape of the local part's digits and the top-level domain; secrets keep the class of each character, and marks as they are if at least six letters
+or digits change; names keep title, script (Latin, Cyrillic, Greek), number of parts, and an ending that fits the title's gender. Names and secrets
+that collide grow with each attempt, so their formats never run out of surrogates.
 
 Only DataFrame functions are used. Documents without mentions pass through untouched; the others are numbered and written once, their mentions
 are joined with the surrogates, and each text is put together again from the parts between mentions. A document is one group of
@@ -69,6 +70,7 @@ _ENDINGS = {
     ("greek", "male"): "νος", ("greek", "female"): "νη", ("greek", "any"): "ς",
 }
 _ATTEMPTS = 200
+_SYMBOLS = "!#$%&*+-=?@^_~"
 _DIGITS = ("card", "account", "phone", "ssn")
 
 
@@ -184,8 +186,9 @@ def _new_ip(stream: Column) -> Column:
     return F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))
 
 
-def _new_secret(entity: Column, stream: Column) -> Column:
+def _new_secret(entity: Column, stream: Column, attempt: int) -> Column:
     hexed = entity.rlike(r"\A[0-9a-f]+\z")
+    few = F.length(F.regexp_replace(entity, r"[^\p{L}0-9]", "")) < 6
     keep = F.length(F.regexp_extract(entity, r"\A(?:AKIA|ASIA)(?=[0-9A-Z]{16}\z)", 0))
 
     def char(i: Column) -> Column:
@@ -196,13 +199,15 @@ def _new_secret(entity: Column, stream: Column) -> Column:
             .when(c.rlike("[0-9]"), _pick(stream, i, "0123456789"))
             .when(c.rlike(r"\p{Lu}"), _pick(stream, i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
             .when(c.rlike(r"\p{L}"), _pick(stream, i, "abcdefghijklmnopqrstuvwxyz"))
+            .when(few, _pick(stream, i, _SYMBOLS))
             .otherwise(c)
         )
 
-    return _join(_upto(F.length(entity)), char)
+    more = [_pick(stream, F.length(entity) + i, "0123456789abcdef") for i in range(attempt)]
+    return F.concat(_join(_upto(F.length(entity)), char), *more)
 
 
-def _new_name(entity: Column, stream: Column) -> Column:
+def _new_name(entity: Column, stream: Column, attempt: int) -> Column:
     gender, name = F.substring_index(entity, ":", 1), F.regexp_replace(entity, r"\A[^:]*:", "")
     parts = F.split(name, " ")
 
@@ -211,8 +216,9 @@ def _new_name(entity: Column, stream: Column) -> Column:
         syllable = lambda i: F.element_at(syllables, F.pmod(_byte(stream, i), F.lit(32)) + 1)
         ending = F.when(gender == "male", _ENDINGS[script, "male"]).when(gender == "female", _ENDINGS[script, "female"])
         ending = ending.otherwise(_ENDINGS[script, "any"])
+        more = F.concat(*[syllable(F.lit(16 + i)) for i in range(attempt)], ending)
         return lambda j: F.concat(
-            syllable(4 * j), syllable(4 * j + 1), syllable(4 * j + 2), F.when(j == 0, ending).otherwise("")
+            syllable(4 * j), syllable(4 * j + 1), syllable(4 * j + 2), F.when(j == 0, more).otherwise("")
         )
 
     chosen = (
@@ -223,14 +229,14 @@ def _new_name(entity: Column, stream: Column) -> Column:
     return F.concat(gender, F.lit(":"), F.array_join(chosen, " "))
 
 
-def propose(kind: Column, entity: Column, stream: Column) -> Column:
+def propose(kind: Column, entity: Column, stream: Column, attempt: int = 0) -> Column:
     """The surrogate of an entity, from its ``stream``, before collisions are known."""
     return (
         F.when(kind == "email", _new_email(entity, stream))
         .when(kind == "card", _new_card(entity, stream))
         .when(kind == "ip", _new_ip(stream))
-        .when(kind == "secret", _new_secret(entity, stream))
-        .when(kind == "name", _new_name(entity, stream))
+        .when(kind == "secret", _new_secret(entity, stream, attempt))
+        .when(kind == "name", _new_name(entity, stream, attempt))
         .when(kind == "phone", _new_phone(entity, stream))
         .otherwise(_new_digits(stream, F.length(entity)))
     )
@@ -270,9 +276,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """
     left, settled = entities.select("kind", "entity"), None
     for attempt in range(_ATTEMPTS):
-        kind, entity, size = F.col("kind"), F.col("entity"), F.greatest(F.length("entity"), F.lit(64))
+        kind, entity, size = F.col("kind"), F.col("entity"), F.greatest(F.length("entity"), F.lit(64)) + attempt
         streams = left.withColumn("stream", _stream(key, kind, entity, F.lit(str(attempt)), size))
-        tried = streams.select("kind", "entity", propose(kind, entity, F.col("stream")).alias("surrogate"))
+        tried = streams.select("kind", "entity", propose(kind, entity, F.col("stream"), attempt).alias("surrogate"))
         taken = entities.select("kind", F.col("entity").alias("surrogate"))
         if settled is not None:
             taken = taken.unionByName(settled.select("kind", "surrogate"))

@@ -354,6 +354,18 @@ def test_surrogates_stay_apart(spark):
     assert not {r.surrogate for r in got} & {r.entity for r in got}
 
 
+def test_surrogates_never_run_out(spark):
+    """Secrets of marks alone, and more surnames than names of three syllables."""
+    texts = ["Password: ********", "password=______", "token: ------1", "secret=\u0661\u0662\u0663\u0664\u0665\u0666"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.replace_pii(docs, "k").orderBy("doc_id").collect()]
+    assert len(got) == len(set(got)) == 4 and not set(got) & set(texts)
+    assert [len(t) for t in got] == [len(t) for t in texts]
+    names = spark.range(40000).selectExpr("'name' AS kind", "concat('male:q', id) AS entity")
+    surrogates = [r.surrogate for r in pii.assign(names, "k").collect()]
+    assert len(surrogates) == len(set(surrogates)) == 40000 and all(s.endswith("n") for s in surrogates)
+
+
 def test_queries_and_pipeline(spark):
     import corpus_pipeline
 
