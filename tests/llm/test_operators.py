@@ -306,6 +306,28 @@ def test_a_dropped_element_is_no_slot_of_its_neighbours():
     assert [wrapper.text(p) for p in pages] == ["a\n\nb\n\nc", "a\n\nb", "a\n\nb"]
 
 
+def test_text_of_a_dropped_inline_element_has_slots_of_its_own():
+    link, share = "<p><a class=related>Read more</a></p>", "<span class=share>Share</span>"
+    leak = [f"<article><p>a</p><p>b</p>{link}<p>c</p></article>"] * 3
+    wrapper = wrappers.Wrapper(wrappers.learn(leak))
+    assert [wrapper.text(p) for p in leak] == ["a\n\nb\n\nc"] * 3
+    loss = [f"<article><p>{share} Text</p></article>"] * 3 + [f"<article><p>Text {share}</p></article>"]
+    wrapper = wrappers.Wrapper(wrappers.learn(loss))
+    assert [wrapper.text(p) for p in loss] == ["Text"] * 4
+
+
+def test_slots_are_judged_by_all_pages_of_a_host(spark):
+    """Most of the three pages that decide the wrapper have no text in an article, most pages of the host have."""
+    rows = [(kind, f"<div>a {i}</div><article>{'<p>b</p>' * kind}</article>") for kind in (0, 1) for i in range(30)]
+    hashed = spark.createDataFrame(rows, "kind int, html string").orderBy(F.xxhash64("html")).collect()
+    plain, full = ([r.html for r in hashed if r.kind == kind] for kind in (0, 1))
+    at = {r.html: i for i, r in enumerate(hashed)}
+    chosen = [*plain[:2], full[0], *[h for h in full[1:] if at[h] > at[plain[1]]]]
+    pages = spark.createDataFrame([("http://h.example/", h) for h in chosen], "url string, html string")
+    got = {r.html: r.text for r in wrappers.extract(pages, sample=3).collect()}
+    assert {got[h] for h in chosen[2:]} == {"b"}
+
+
 def test_page_wrapper_reads_its_sample(spark):
     pages = [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(16).collect()]
     wrapper = wrappers.Wrapper(wrappers.learn(pages))
