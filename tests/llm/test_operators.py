@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -280,6 +281,22 @@ def test_passages(spark, odd):
     assert {r.doc_id for r in substring_dedup.duplicate_passages(odd).collect()} <= {1, 4}
 
 
+def test_links_on_other_diagonals_part_no_candidate():
+    def link(f, c, hc, left=20, right=60):
+        return {"rid": 2, "hub": 1, "at": c * 8 + f, "ext": (left << 32) + right, "hub_at": hc * 8 + f, "hub_ext": (left << 32) + right}
+
+    def joined(links):
+        batch = pa.RecordBatch.from_pylist(links, pa.schema([(n, pa.int64()) for n in substring_dedup._NAMES]))
+        return [r for b in substring_dedup._join_intervals(2)(iter([batch])) for r in b.to_pylist()]
+
+    # The second is on another diagonal, as by a repeated line.
+    got = joined([link(0, 100, 100), link(2, 110, 400), link(1, 120, 120)])
+    assert got == [{"rid": 2, "hub": 1, "l": 80, "r": 180, "hl": 80, "hr": 180}]
+    # The second ends before the third begins, the first does not.
+    got = joined([link(0, 100, 100, 20, 90), link(0, 110, 110, 5, 5), link(1, 150, 150, 20, 40)])
+    assert [(r["l"], r["r"]) for r in got] == [(80, 190)]
+
+
 PAGE = (
     '<html><head><title>t</title><script>var a="</p><p>no";</script></head><body><nav><ul><li>Home<li>More</ul></nav>'
     "<div class='side sidebar'>aside</div><article><h1>A &amp; B</h1><p>one\n two<br>three<p><b>four {}</article>"
