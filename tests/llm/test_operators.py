@@ -281,6 +281,34 @@ def test_passages(spark, odd):
     assert {r.doc_id for r in substring_dedup.duplicate_passages(odd).collect()} <= {1, 4}
 
 
+def test_passages_behind_a_frequent_line(spark):
+    """Every document holds the lines whose hashes are least, the first ones without the passage that two others share around them."""
+    rng = np.random.default_rng(7)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**7, n)]
+    lines = [words(5) for _ in range(4000)]
+    hashes = np.array([common.shingle_hashes(" ".join(x), 5)[0] for x in lines])
+    least = [lines[int(np.argmin(substring_dedup._mixed(hashes, seed)))] for seed in substring_dedup._SEEDS]
+    text = lambda parts: " ".join(w for p in parts for w in p)
+    alone = lambda: [words(60), *(x for line in least for x in (line, words(60)))]
+    # No stretch of a passage's length is without all four lines, in the passage and at its ends.
+    shared = [words(3), *least, words(3), *least, words(3), *least, words(3)]
+    ends = lambda: [words(40), *least, words(9)]
+    for parts in (1, 4):
+        docs = [(i, text(alone())) for i in range(12)]
+        docs += [(20 + i, text([words(i), *ends(), *shared, *reversed(ends())])) for i in range(2)]
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(parts, "doc_id")
+        got = substring_dedup.duplicate_passages(frame).collect()
+        assert {(r.doc_id, r.match_doc_id) for r in got} in ({(20, None), (21, 20)}, {(21, None), (20, 21)})
+
+
+def test_run_hashes():
+    values = np.random.default_rng(8).integers(1, 3, 600).astype(np.uint64)
+    for length in (1, 2, 7, 11, 46):
+        got = substring_dedup._run_hashes(values, length)
+        runs = [values[i : i + length].tobytes() for i in range(len(values) - length + 1)]
+        assert len(got) == len(runs) and len(set(got.tolist())) == len(set(runs)) == len(set(zip(got.tolist(), runs)))
+
+
 def test_links_on_other_diagonals_part_no_candidate():
     def link(f, c, hc, left=20, right=60):
         return {"rid": 2, "hub": 1, "at": c * 8 + f, "ext": (left << 32) + right, "hub_at": hc * 8 + f, "hub_ext": (left << 32) + right}
