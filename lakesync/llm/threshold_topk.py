@@ -8,7 +8,8 @@ gives every query a k-th score to start from in all the others, so most of them
 Rows are dealt to blocks by their id's hash and queries to blocks of their own; each pair of blocks is one group of bounded size,
 whatever the data look like, and a window keeps the best k of a query. Depths double, so a block costs at most twice its entries.
 
-Components are floor(scale * x), x in double precision, clipped to 28 bits so that scores are exact. Vectors that are null, empty or hold a
+Components are floor(scale * x), x in double precision. Scores are exact: where doubles might not hold them, a block is scored whole in
+whole numbers, and a score that is no long is an error. Vectors that are null, empty or hold a
 null or non-finite component, or have another length than most, take no part; neither do rows without an id. Equal scores go to the smaller id.
 A query's candidates are all rows but those with its own id; with fewer than k, all are returned. An empty table gives an empty table.
 Other columns are not read.
@@ -24,14 +25,16 @@ from pyspark.sql import functions as F
 from lakesync.llm.common import stored
 
 ROWS, QUERIES, FIRST_DEPTH = 4096, 1024, 16
-_LIMIT = float(1 << 28)
+# Doubles below hold every whole number; those above have no fraction.
+_EXACT = 2.0**53
 
 
 def quantised(vectors: DataFrame, ids: str, vector: str, scale: int) -> DataFrame:
     """(id, v): whole-number components of the vectors that take part."""
     raw = F.col(vector).cast("array<double>")
     sound = F.forall(raw, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & (F.size(raw) > 0)
-    whole = F.transform(raw, lambda x: F.greatest(F.least(F.floor(F.lit(float(scale)) * x).cast("double"), F.lit(_LIMIT)), F.lit(-_LIMIT)))
+    scaled = lambda x: F.lit(float(scale)) * x
+    whole = F.transform(raw, lambda x: F.when(F.abs(scaled(x)) < _EXACT, F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
     rows = vectors.filter(F.col(ids).isNotNull() & sound).select(F.col(ids).cast("long").alias("id"), whole.alias("v"))
     most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.filter(F.size("v") == (most["n"] if most else 0))
@@ -45,14 +48,24 @@ class SortedLists:
         self.lists = np.argsort(rows, axis=0, kind="stable").T
         self.values = np.take_along_axis(rows, self.lists.T, axis=0).T
 
-    def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        got = self.rows[rows] @ query
-        if np.abs(self.rows).max(initial=0) * np.abs(query).max(initial=0) * len(query) < 2.0**53:
-            return got.astype(np.int64)  # doubles hold every partial sum exactly
-        return (self.rows[rows].astype(np.int64) * query.astype(np.int64)).sum(axis=1)
+    def exact_top(self, query: np.ndarray, own: int, k: int, floor: float, size: float) -> tuple[np.ndarray, np.ndarray]:
+        """As ``top``, for scores of up to ``size``."""
+        at = np.flatnonzero(self.ids != own)
+        if size < 2.0**62:
+            scores = (self.rows[at].astype(np.int64) * query.astype(np.int64)).sum(axis=1).tolist()
+        else:
+            whole = [int(x) for x in query]
+            scores = [sum(int(x) * y for x, y in zip(row, whole)) for row in self.rows[at]]
+        least = floor if abs(floor) < _EXACT else np.nextafter(floor, -np.inf)  # a floor that was rounded up bars no row
+        found = [(-score, i) for score, i in zip(scores, self.ids[at].tolist()) if score >= least]
+        found = sorted(found)[:k]
+        return np.array([i for _, i in found], np.int64), np.array([-score for score, _ in found], np.int64)
 
     def top(self, query: np.ndarray, own: int, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best k whose score is at least ``floor``, best first."""
+        size = np.abs(self.rows).max(initial=0) * np.abs(query).max(initial=0) * len(query)
+        if not size < _EXACT:
+            return self.exact_top(query, own, k, floor, size)
         n = len(self.ids)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         met = np.zeros(n, bool)
@@ -69,7 +82,7 @@ class SortedLists:
                 fresh = ~met  # dimensions where the query is zero tell nothing
             rows = np.flatnonzero(fresh)
             met |= fresh
-            found = self.scores(rows, query)
+            found = (self.rows[rows] @ query).astype(np.int64)
             good = found >= floor
             ids, scores = np.concatenate((ids, self.ids[rows[good]])), np.concatenate((scores, found[good]))
             if len(ids) > k:

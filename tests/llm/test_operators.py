@@ -235,6 +235,22 @@ def test_threshold_odd_rows(spark):
     assert threshold_topk.top_k(odd.limit(0), F.lit(True)).count() == 0
 
 
+def test_threshold_scores_of_large_components(spark):
+    """Beyond 2^20 and 2^45, where doubles do not hold every score."""
+    rng = np.random.default_rng(9)
+    vectors = [(i, [float(x) for x in rng.integers(-(1 << 22), 1 << 22, 3) * 2.0 ** (i % 2) + 1 / 256]) for i in range(60)]
+    whole = {i: [int(x * 256) for x in v] for i, v in vectors}
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = threshold_topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+    for q in (0, 50):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == scores
+    lists = threshold_topk.SortedLists(np.array([1, 2]), np.array([[2.0**50, 1.0], [2.0**50, 2.0]]))
+    assert [x.tolist() for x in lists.top(np.array([2.0**12, 3.0]), 0, 2, float("-inf"))] == [[2, 1], [2**62 + 6, 2**62 + 3]]
+    with pytest.raises(OverflowError):
+        lists.top(np.array([2.0**14, 1.0]), 0, 2, float("-inf"))
+
+
 def test_threshold_lists_are_exact():
     rng = np.random.default_rng(4)
     rows, ids = rng.integers(-60, 60, (900, 8)).astype(float), rng.permutation(900)
