@@ -11,10 +11,13 @@ from lakesync.llm import (
     ann_tree,
     histogram_sort,
     language_id,
+    license_scan,
     mixing,
     packing,
+    periodic_runs,
     pii,
     simhash,
+    spelling_variants,
     substring_dedup,
     threshold_topk,
     wrappers,
@@ -85,6 +88,43 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(docs, SURROGATE_KEY)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.vocabulary(table(spark, sf_dir, "documents"), change=spelling_variants.misspelt)
+    return spelling_variants.variants(words)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.looped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs, keep_text=False).withColumn("best", periodic_runs.strongest())
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, keep_text=False).withColumn("base", license_scan.of_base())
+    starts = F.transform("base", lambda p: p["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        license_scan.labels("base").alias("base_labels"),
+        license_scan.labels("places").alias("labels"),
+        F.when(F.col("n_words") == 0, 0.0).otherwise(F.col("covered") / F.col("n_words")).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +138,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_wrappers,
         op9_poisson_mixing,
         op10_pii_surrogates,
+        op11_spelling_variants,
+        op12_periodic_runs,
+        op13_license_templates,
     )
 }
-ORACLES: dict[str, str] = {"op4_threshold_topk": threshold_topk.TOP_SQL, "op9_poisson_mixing": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {
+    "op4_threshold_topk": threshold_topk.TOP_SQL,
+    "op9_poisson_mixing": mixing.MIX_SQL,
+    "op11_spelling_variants": spelling_variants.VARIANT_SQL,
+    "op13_license_templates": license_scan.scan_sql(),
+}

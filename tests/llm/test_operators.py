@@ -452,7 +452,7 @@ def test_surrogates_never_run_out(spark):
 def test_queries_and_pipeline(spark):
     import corpus_pipeline
 
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     assert pieces and all(p.ids_crc32 == zlib.crc32(p.ids) for p in pieces)
 
