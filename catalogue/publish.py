@@ -9,7 +9,7 @@ from catalogue.base import CHANGED_ORDERS_SQL, changed_orders, query, table
 from catalogue.merge import ORDERS, RECONCILED_SQL, UPSERTED_SQL
 from lakesync.operators.merge import reconcile_latest
 from lakesync.plans.changed import ChangedTable
-from lakesync.plans.publish import SnapshotStore, promote_tables, publish_swap
+from lakesync.plans.publish import SnapshotStore, promote_tables, publish_swap, side_by_side
 from lakesync.plans.replicate import (
     changed_table,
     frame_extract,
@@ -52,6 +52,67 @@ def append_table_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders")
 
 
+@query(f"SELECT {ORDERS} FROM orders UNION ALL SELECT {ORDERS} FROM ({CHANGED_ORDERS_SQL}) c")
+def append_side_by_side_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table exists; its changes come in eight appends at the same time, from stores that do not know of one another."""
+    root, orders = shared_dir(spark, "append-side-by-side"), table(spark, sf_dir, "orders")
+    SnapshotStore(spark, root).replace("orders", orders)
+    parts = [changed_orders(orders).filter(F.pmod("o_custkey", F.lit(8)) == i) for i in range(8)]
+    side_by_side(spark, lambda part: SnapshotStore(spark, root).append("orders", part), parts, workers=8)
+    return SnapshotStore(spark, root).read("orders")
+
+
+@query(f"SELECT {ORDERS} FROM orders")
+def compact_after_new_copy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """While changes are folded in, a fresh copy of the table is published: it stays."""
+    store, orders = _store(spark, "compact-late"), table(spark, sf_dir, "orders")
+    store.replace("orders", changed_orders(orders))
+    changed = ChangedTable(store, "orders", "o_orderkey")
+    changed.merge_batch(changed_orders(orders).withColumn("o_orderstatus", F.lit("Y")), 0)
+    stage = store.stage
+
+    def late(*given) -> str:
+        path = stage(*given)
+        SnapshotStore(spark, store.root).replace("orders", orders)
+        return path
+
+    store.stage = late
+    changed.compact()
+    return changed.current()
+
+
+@query(UPSERTED_SQL)
+def rollback_with_changes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes to the first version, then a second one with changes of its own: going back brings the first with its changes only."""
+    store, orders = _store(spark, "rollback"), table(spark, sf_dir, "orders")
+    changed = ChangedTable(store, "orders", "o_orderkey")
+    store.replace("orders", orders)
+    changed.merge_batch(changed_orders(orders), 0)
+    store.replace("orders", orders.withColumn("o_orderstatus", F.lit("failed")))
+    changed.merge_batch(orders.withColumn("o_orderstatus", F.lit("of the failed one")), 1)
+    store.rollback("orders")
+    return changed.current()
+
+
+@query(f"""
+    SELECT {ORDERS}, 'current' AS side FROM ({CHANGED_ORDERS_SQL}) c
+    UNION ALL SELECT {ORDERS}, 'previous' FROM orders""")
+def release_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty publications and an unpublished folder; all that is not current or previous is released, and both are still read."""
+    store, orders = _store(spark, "release"), table(spark, sf_dir, "orders")
+    for _ in range(9):
+        store.append("customer", table(spark, sf_dir, "customer"))
+        store.replace("nation", table(spark, sf_dir, "nation"))
+    store.stage("orders", orders)
+    store.replace("orders", changed_orders(orders))
+    store.replace("orders", orders)
+    store.replace("orders", changed_orders(orders))
+    store.release(datetime(9999, 1, 1))
+    again = SnapshotStore(spark, store.root)
+    sides = {"current": again.read("orders"), "previous": again.read_previous("orders")}
+    return sides["current"].withColumn("side", F.lit("current")).unionByName(sides["previous"].withColumn("side", F.lit("previous")))
+
+
 @query("SELECT * FROM lineitem")
 def promote_tables_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table is promoted although another one is missing."""

@@ -1,42 +1,34 @@
 """Publishing: a new version of a table is written aside and then switched to.
 
-A version is one or more Parquet folders ``<root>/<table>/v=<id>``. A manifest, itself a small Parquet
-table with one part per publication, says which folders are current; a set of tables switches together
-because one publication is one write. Readers keep the previous version until the switch, and it stays
+A version is one or more Parquet folders ``<root>/<table>/v=<id>``. The manifest says which folders are current; a set of tables
+switches together because one publication is one entry of it. Readers keep the previous version until the switch, and it stays
 as backup. Appending publishes the old folders plus a new one and copies nothing.
 
 Batches of changes to a table are entries of the same manifest, so their order is the manifest's. They belong
-to the version they came after: a new version starts without any, unless it says which it holds already.
+to the line of versions they came after: a new copy starts without any, and going back to a version brings back its own changes only.
+
+Publications from several threads or drivers go on top of one another: an append takes whatever is current when it is entered,
+and a version that was built on another than the current one can be refused (``built_on``).
 """
 
 from __future__ import annotations
 
-import threading
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from lakesync.operators.layout import clustered_layout
 from lakesync.operators.schema import conformed
-
-# ``source`` and ``batch`` tell an entry of changes, ``reduced`` that it holds a key once. ``folded`` is the
-# newest entry of changes that a version holds.
-_MANIFEST = "seq bigint, table string, path string, source string, batch bigint, reduced boolean, folded bigint"
-
-
-@dataclass(frozen=True)
-class ChangeEntry:
-    seq: int
-    path: str
-    reduced: bool
-
+from lakesync.plans.manifest import Change, Conflict, Manifest, State, TableState, Version
+from lakesync.plans.manifest import continued, reachable, same_version, version_entry
 
 @dataclass(frozen=True)
 class PromotionResult:
@@ -51,89 +43,85 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._publishing = threading.Lock()
+        self.manifest = Manifest(spark, self.root)
 
     # -- manifest -----------------------------------------------------------------------------------
 
-    def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest/*")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def table_state(self, table: str) -> TableState:
+        """Versions and changes of a table as they are now."""
+        return self.manifest.state().table(table)
 
-    def _entries(self, table: str, changes: bool) -> DataFrame | None:
-        manifest = self._manifest()
-        if manifest is None:
-            return None
-        return manifest.filter((F.col("table") == table) & (F.col("source").isNotNull() == F.lit(changes)))
-
-    def _last_versions(self, table: str) -> list[tuple[list[str], int]]:
-        """Folders, and newest change held, of the current and the previous version, newest first."""
-        mine = self._entries(table, changes=False)
-        if mine is None:
-            return []
-        last = [r["seq"] for r in mine.select("seq").distinct().orderBy(F.col("seq").desc()).limit(2).collect()]
-        rows = mine.filter(F.col("seq").isin(last)).orderBy("seq", "path").collect() if last else []
-        found = []
-        for seq in last:
-            own = [r for r in rows if r["seq"] == seq]
-            folded = own[0]["folded"]
-            found.append(([r["path"] for r in own], seq if folded is None else folded))
-        return found
-
-    def _versions(self, table: str) -> list[list[str]]:
-        """The folders of the current and the previous version, newest first."""
-        return [paths for paths, _ in self._last_versions(table)]
-
-    def _publish(self, entries: Sequence[tuple]) -> int:
-        """Write entries under the next free number."""
-        with self._publishing:
-            manifest = self._manifest()
-            last = manifest.agg(F.max("seq").alias("seq")).first()["seq"] if manifest is not None else None
-            seq = (last or 0) + 1
-            while True:
-                rows = self.spark.createDataFrame([(seq, *e) for e in entries], _MANIFEST)
-                try:
-                    rows.coalesce(1).write.mode("error").parquet(f"{self.root}/_manifest/seq={seq:010d}")
-                    return seq
-                except AnalysisException as taken:
-                    # Another publisher was faster, or one failed half way.
-                    if taken.getCondition() != "PATH_ALREADY_EXISTS":
-                        raise
-                    seq += 1
-
-    def switch(self, paths: Mapping[str, str | Sequence[str]], folded: Mapping[str, int] | None = None) -> int:
-        """Make the given folders current, all at once. Returns the publication's number.
-
-        ``folded`` says for a table up to which entry its new version holds the changes; without it the
-        version replaces the older one and all changes to that.
+    def _current(self, table: str) -> Version:
+        current = self.table_state(table).current
+        if current is None:
+            raise LookupError(f"no version of {table}")
+        return current
+
+    def current_seq(self, table: str) -> int:
+        """The number of the publication that made the current version; 0 without one."""
+        current = self.table_state(table).current
+        return current.seq if current else 0
+
+    def switch(
+        self,
+        paths: Mapping[str, str | Sequence[str]],
+        schemas: Mapping[str, T.StructType] | None = None,
+        built_on: Mapping[str, int] | None = None,
+        facts: Mapping[str, Mapping[str, Any]] | None = None,
+        loads: Sequence[Mapping[str, Any]] = (),
+    ) -> int | None:
+        """Make the given folders current, all at once, as new copies of their tables. Returns the publication's number.
+
+        ``built_on`` gives for a table the version (:meth:`current_seq`) that its new one was made from; if it is no
+        longer current, :class:`Conflict` is raised and nothing is switched. ``loads`` are audit rows of the same publication.
         """
-        return self._publish(
-            [
-                (t, p, None, None, None, (folded or {}).get(t))
-                for t, given in paths.items()
-                for p in ([given] if isinstance(given, str) else given)
-            ]
-        )
-
-    def add_change(self, table: str, path: str, source: str, batch: int, reduced: bool) -> int:
-        """Enter a folder of changes, number ``batch`` of ``source``."""
-        return self._publish([(table, path, source, batch, reduced, None)])
+
+        def build(state: State) -> list[dict[str, Any]] | None:
+            entries = []
+            for table, given in paths.items():
+                same_version(state, table, (built_on or {}).get(table))
+                folders = [given] if isinstance(given, str) else list(given)
+                schema = (schemas or {}).get(table)
+                entries.append(version_entry(table, folders, schema.json() if schema else None, facts=facts))
+            return entries + [{"kind": "load", **x} for x in loads] or None
+
+        return self.manifest.publish(build)
+
+    def add_change(self, table: str, path: str, source: str, batch: int, reduced: bool, schema: T.StructType) -> int | None:
+        """Enter a folder of changes, number ``batch`` of ``source``. Nothing is entered for a batch seen before."""
+
+        def build(state: State) -> list[dict[str, Any]] | None:
+            mine = state.table(table)
+            if mine.has_batch(source, batch):
+                return None
+            if mine.current is None:
+                raise LookupError(f"no version of {table}")
+            told = {"path": path, "source": source, "batch": batch, "reduced": reduced, "schema": schema.json()}
+            return [{"kind": "change", "table": table, "lineage": mine.current.lineage, **told}]
+
+        return self.manifest.publish(build)
 
     def has_change(self, table: str, source: str, batch: int) -> bool:
         """Whether this batch of this source was ever entered."""
-        mine = self._entries(table, changes=True)
-        return mine is not None and not mine.filter((F.col("source") == source) & (F.col("batch") == batch)).isEmpty()
+        return self.table_state(table).has_batch(source, batch)
 
-    def changes_since(self, table: str) -> list[ChangeEntry]:
+    def changes_since(self, table: str) -> list[Change]:
         """The entries of changes that the current version does not hold, oldest first."""
-        versions, mine = self._last_versions(table), self._entries(table, changes=True)
-        if not versions:
-            raise LookupError(f"no version of {table}")
-        rows = mine.filter(F.col("seq") > versions[0][1]).orderBy("seq").collect()
-        return [ChangeEntry(r["seq"], r["path"], r["reduced"]) for r in rows]
+        return self.table_state(table).changes_to(self._current(table))
+
+    def fold(self, table: str, path: str, schema: T.StructType, built_on: Version, held: int) -> bool:
+        """Make ``path`` current: ``built_on`` with its changes up to entry ``held`` folded in.
+
+        If another version is current by then, nothing is switched, for that version would be lost.
+        """
+
+        def build(state: State) -> list[dict[str, Any]] | None:
+            current = state.table(table).current
+            if current is None or current.seq != built_on.seq:
+                return None
+            return [continued(table, current, paths=[path], schema=schema.json(), held=held, facts={})]
+
+        return self.manifest.publish(build) is not None
 
     # -- data ---------------------------------------------------------------------------------------
 
@@ -144,56 +132,134 @@ class SnapshotStore:
         out.write.mode("error").parquet(path)
         return path
 
-    def replace(self, table: str, df: DataFrame, layout_keys: Sequence[str] | None = None) -> str:
-        """Full copy/replace of one table. ``df`` may read the table's own current version."""
+    def discard(self, path: str) -> None:
+        """Delete a staged folder that was not published."""
+        if path in reachable(self.manifest.state().tables.values()):
+            raise ValueError(f"{path} is published")
+        self.manifest.files.delete(path)
+
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        layout_keys: Sequence[str] | None = None,
+        built_on: int | None = None,
+        load: Mapping[str, Any] | None = None,
+    ) -> str:
+        """Full copy/replace of one table. ``df`` may read the table's own current version, which ``built_on`` then names.
+
+        Where another version came in between, :class:`Conflict` is raised and nothing is published.
+        """
         path = self.stage(table, df, layout_keys)
-        self.switch({table: path})
+        on = None if built_on is None else {table: built_on}
+        try:
+            self.switch({table: path}, {table: df.schema}, on, loads=[load] if load else [])
+        except Conflict:
+            self.discard(path)
+            raise
         return path
 
-    def append(self, table: str, df: DataFrame) -> str:
-        """Add rows, matched by name, in the table's types. Only the new rows are written."""
-        versions = self._last_versions(table)
-        if not versions:
-            return self.replace(table, df)
-        old, held = versions[0]
-        path = self.stage(table, conformed(df, self.read(table).schema))
-        self.switch({table: [*old, path]}, {table: held})
+    def append(self, table: str, df: DataFrame, load: Mapping[str, Any] | None = None) -> str:
+        """Add rows, matched by name, in the table's types. Only the new rows are written.
+
+        Appends side by side all take effect. Where the table got other columns meanwhile, :class:`Conflict` is raised.
+        """
+        before = self.table_state(table).current
+        wanted = self._schema(before) if before else df.schema
+        if before:
+            df = conformed(df, wanted)
+        path = self.stage(table, df)
+
+        def build(state: State) -> list[dict[str, Any]]:
+            current = state.table(table).current
+            audit = [{"kind": "load", **load}] if load else []
+            if current is None:
+                return [version_entry(table, [path], df.schema.json()), *audit]
+            newer = current.seq != (before.seq if before else 0)
+            if newer and self._schema(current).simpleString() != df.schema.simpleString():
+                raise Conflict(f"{table} got other columns meanwhile")
+            return [continued(table, current, paths=[*current.paths, path]), *audit]
+
+        try:
+            self.manifest.publish(build)
+        except Conflict:
+            self.discard(path)
+            raise
         return path
 
     def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        return self.table_state(table).current is not None
 
     def current_paths(self, table: str) -> list[str]:
-        versions = self._versions(table)
-        if not versions:
-            raise LookupError(f"no version of {table}")
-        return versions[0]
+        return list(self._current(table).paths)
 
-    def _previous_paths(self, table: str) -> list[str]:
-        versions = self._versions(table)
-        if len(versions) < 2:
+    def _previous(self, state: TableState, table: str) -> Version:
+        if len(state.versions) < 2:
             raise LookupError(f"no previous version of {table}")
-        return versions[1]
+        return state.versions[1]
+
+    def _schema(self, version: Version) -> T.StructType:
+        if version.schema is None:
+            return self.spark.read.parquet(*version.paths).schema
+        return T.StructType.fromJson(json.loads(version.schema))
+
+    def read_version(self, version: Version) -> DataFrame:
+        reader = self.spark.read
+        return (reader.schema(self._schema(version)) if version.schema else reader).parquet(*version.paths)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(*self.current_paths(table))
+        return self.read_version(self._current(table))
 
     def read_previous(self, table: str) -> DataFrame:
         """The version before the current one."""
-        return self.spark.read.parquet(*self._previous_paths(table))
+        return self.read_version(self._previous(self.table_state(table), table))
 
     def rollback(self, table: str) -> list[str]:
-        """Switch back to the previous version; the failed one becomes the backup."""
-        paths = self._previous_paths(table)
-        self.switch({table: paths}, {table: self._last_versions(table)[1][1]})
+        """Switch back to the previous version; the failed one becomes the backup.
+
+        Changes made to the failed version go with it, unless it was an append to the previous one, or that with changes folded in.
+        """
+        paths: list[str] = []
+
+        def build(state: State) -> list[dict[str, Any]]:
+            previous = self._previous(state.table(table), table)
+            paths[:] = previous.paths
+            return [continued(table, previous)]
+
+        self.manifest.publish(build)
         return paths
 
+    def release(self, before: datetime) -> list[str]:
+        """Delete folders that no reader can reach any more, and publications that written states stand for.
+
+        The current and the previous version of every table stay, and the changes to either. ``before`` is a moment (UTC if it
+        has no zone) after which nothing is touched: a folder written later may be a version about to be published, and a reader may have opened
+        a version that was current until then. Returns the deleted folders.
+        """
+        moment = before if before.tzinfo else before.replace(tzinfo=timezone.utc)
+        limit, files = int(moment.timestamp() * 1000), self.manifest.files
+        self.manifest.write_state()
+        # Listed before the state is read: what is published in between is in the state.
+        found = []
+        for table in self.manifest.state().tables:
+            for place in (f"{self.root}/{table}", f"{self.root}/{table}/changes"):
+                names = [n for n, changed in files.list(place) if changed < limit]
+                found += [f"{place}/{n}" for n in names if n.startswith(("v=", "lakesync_batch=", "sums="))]
+        state = self.manifest.state()
+        kept = reachable(state.tables.values())
+        kept |= {told["sums"] for t in state.tables.values() for v in t.versions for told in v.facts.values() if "sums" in told}
+        gone = [p for p in found if p not in kept]
+        for path in gone:
+            files.delete(path)
+        self.manifest.prune(limit)
+        return gone
+
     # -- catalog ------------------------------------------------------------------------------------
 
     def create_views(self, database: str, tables: Sequence[str], backup: str | None = None) -> None:
         """Point the catalog's views at the current versions, and backup views at the previous ones."""
         for table in tables:
-            for place, paths in zip((database, backup), self._versions(table)):
+            for place, paths in zip((database, backup), (v.paths for v in self.table_state(table).versions)):
                 if place:
                     folders = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
                     self.spark.sql(f"CREATE OR REPLACE VIEW `{place}`.`{table}` AS {folders}")
@@ -207,11 +273,11 @@ def side_by_side(spark: SparkSession, one: Callable[[Any], Any], items: Sequence
 
 def publish_swap(
     store: SnapshotStore, frames: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None, workers: int = 8
-) -> int:
+) -> int | None:
     """Write all tables aside, side by side, then switch all of them together. A failed write switches none."""
     tables = list(frames)
     staged = side_by_side(store.spark, lambda t: store.stage(t, frames[t], (keys or {}).get(t)), tables, workers)
-    return store.switch(dict(zip(tables, staged)))
+    return store.switch(dict(zip(tables, staged)), {t: frames[t].schema for t in tables})
 
 
 def promote_tables(
