@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from catalogue.base import MESSY_SQL, messy, query, table
 from lakesync.operators import schema as sc
 from lakesync.plans.publish import SnapshotStore
-from lakesync.plans.repair import copy_into, load_with_repair
+from lakesync.plans.repair import copy_into, load_with_repair, staged_load
 from lakesync.session import shared_dir
 from lakesync.sources import delimited as dl
 
@@ -119,6 +119,37 @@ def load_delimited_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _errors(spark, sf_dir).drop("filename", "line_number", "field_count")
 
 
+# Lines per file follow the key, so that every file's numbers can be told in SQL as well.
+@query(f"""
+    WITH placed AS (
+        SELECT *, event_id % 3 AS part, 1 + ROW_NUMBER() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS line_number
+        FROM ({LINES_SQL}) l)
+    SELECT part::BIGINT AS part, line_number,
+           CASE WHEN line = '' THEN 'File contains a blank line' WHEN line LIKE '%|short' THEN 'Delimiter not found'
+                ELSE 'Extra column(s) found' END AS err_reason, line AS raw_line
+    FROM placed WHERE line = '' OR line LIKE '%|short' OR line LIKE '%|more'""")
+def load_errors_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files with headers and blank lines, each read in many splits: what is wrong stands under the line it stands in."""
+    lines = spark.sql(LINES_SQL.replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
+    folder = shared_dir(spark, "numbered-lines")
+    for part in range(3):
+        mine = lines.filter(F.pmod("event_id", F.lit(3)) == part)
+        texts = mine.select("event_id", "line").unionByName(spark.createDataFrame([(-1, "a|b|c|d|e|f")], "event_id long, line string"))
+        texts.orderBy("event_id").coalesce(1).select("line").write.text(f"{folder}/part={part}")
+    files = [f"{folder}/part={part}" for part in range(3)]
+    # Small splits, as large files have on a cluster.
+    usual = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        errors = staged_load(spark, files, TARGET, "events_copy", dl.LoadOptions("|", header=True)).errors
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    part = F.regexp_extract("filename", r"part=(\d)/[^/]*$", 1).cast("bigint")
+    return errors.filter(F.col("colname") == "").select(part.alias("part"), "line_number", "err_reason", "raw_line")
+
+
 @query(f"""
     SELECT regexp_extract(err_reason, '^([^,]*)', 1) AS err_reason, colname, COUNT(*) AS error_count
     FROM ({ERRORS_SQL}) x GROUP BY 1, 2""")

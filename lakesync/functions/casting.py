@@ -16,6 +16,9 @@ from lakesync.functions.text import INTEGER_TEXT, NUMBER_TEXT
 TRUE_WORDS = ("t", "true", "y", "yes", "1")
 FALSE_WORDS = ("f", "false", "n", "no", "0")
 
+# What is written for doubles that are no finite numbers.
+NO_NUMBERS = ("NaN", "Infinity", "-Infinity")
+
 # Tried in this order after the ISO layouts.
 DATE_LAYOUTS = (
     "yyyyMMdd",
@@ -72,8 +75,10 @@ def cast_text(c: Column, kind: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS
     if is_date(kind):
         return _as_date(F.trim(c), kind, layouts)
     # A cast that fails costs a hundred times one that works, so hopeless ones are not tried. The pattern
-    # also keeps out spellings such as 1d, NaN or 0x1p3, which a cast would read as numbers.
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+    # also keeps out spellings such as 1d or 0x1p3, which a cast would read as numbers.
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(c.rlike(NUMBER_TEXT) | F.trim(c).isin(*NO_NUMBERS), c.try_cast(kind))
+    if isinstance(kind, T.DecimalType):
         return F.when(c.rlike(NUMBER_TEXT), c.try_cast(kind))
     if isinstance(kind, T.IntegralType):
         return F.when(c.rlike(INTEGER_TEXT), c.try_cast(kind))

@@ -6,13 +6,15 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesync.operators.merge import distinct_rows
 from lakesync.operators.schema import RepairError, SchemaChange, cast_to_schema, error_profile, evolve_schema
 from lakesync.plans.publish import SnapshotStore
 from lakesync.session import shared_dir
-from lakesync.sources.delimited import LoadOptions, check_max_error, good_rows, load_delimited, load_errors
+from lakesync.sources.delimited import ERRORS, LoadOptions, check_max_error, good_rows, load_delimited, load_errors
+from lakesync.sources.delimited import numbered, parse_placed, without_headers
 
 
 @dataclass
@@ -33,11 +35,21 @@ def staged_load(
     options: LoadOptions | None = None,
     load_start: datetime | None = None,
 ) -> LoadResult:
-    """Parse files once into shared storage; good rows and errors are two reads of that copy."""
+    """Parse files once into shared storage; good rows and errors, with line numbers, are reads of that copy.
+
+    Records that span lines (``multiline``) have no line numbers.
+    """
+    options = options or LoadOptions()
     folder = shared_dir(spark, f"load-{table}")
-    load_delimited(spark, paths, schema, options).write.parquet(folder)
-    parsed = spark.read.parquet(folder)
-    return LoadResult(good_rows(parsed), load_errors(parsed, table, load_start), schema)
+    read = load_delimited if options.multiline else parse_placed
+    wanted = read(spark, paths, schema, options)
+    wanted.write.parquet(folder)
+    parsed = spark.read.schema(wanted.schema).parquet(folder)
+    if options.multiline:
+        return LoadResult(good_rows(parsed), load_errors(parsed, table, load_start), schema)
+    lines = without_headers(parsed) if options.header else parsed
+    rejected = numbered(parsed, lines.filter(F.size(ERRORS) > 0))
+    return LoadResult(good_rows(lines), load_errors(rejected, table, load_start), schema)
 
 
 def copy_into(

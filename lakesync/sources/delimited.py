@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,9 @@ from lakesync.operators.schema import (
 ERRORS = "_errors"
 RAW_LINE = "_raw_line"
 FILE = "_file"
+# Where a line stands: the first byte of its split of the file, and a number that rises by one along each split.
+SPLIT = "_split"
+PLACE = "_place"
 
 # Put behind every line as one more field: where it lands tells how many fields the line has.
 _END = "\u0001\u0002"
@@ -180,12 +183,17 @@ def _field_errors(schema: T.StructType, options: LoadOptions) -> Column:
 
 
 def parse_lines(
-    lines: DataFrame, schema: T.StructType, options: LoadOptions | None = None, line: str = "line", file: str | None = None
+    lines: DataFrame,
+    schema: T.StructType,
+    options: LoadOptions | None = None,
+    line: str = "line",
+    file: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Lines of delimited text as typed rows, with the errors of each line in an array column.
 
-    Adds ``_errors``, ``_raw_line`` and ``_file``. A line without errors is a good row. Nothing is
-    shuffled: every line is parsed once, where it was read.
+    Adds ``_errors``, ``_raw_line`` (of rejected lines only) and ``_file``, and columns of ``lines`` that ``keep`` names. A line without
+    errors is a good row. Nothing is shuffled: every line is parsed once, where it was read.
     """
     options = options or LoadOptions()
     width = len(schema.fields)
@@ -200,11 +208,12 @@ def parse_lines(
     parsed = lines.select(
         F.col(line).alias(RAW_LINE),
         (F.col(file) if file else F.lit(None).cast("string")).alias(FILE),
+        *keep,
         F.inline(F.array(record(F.col(line), slots))),
     )
     counted = parsed.select("*", (F.array_position(F.array(*slots), _END) - 1).alias("n"))
     texts = [_prepared(F.col(s), f.dataType, options).alias(f"t{i}") for i, (s, f) in enumerate(zip(slots, schema.fields))]
-    prepared = counted.select(RAW_LINE, FILE, "n", F.col(slots[-1]).alias("extra"), *texts)
+    prepared = counted.select(RAW_LINE, FILE, *keep, "n", F.col(slots[-1]).alias("extra"), *texts)
     values = [_stored(F.col(f"t{i}"), f.dataType, options).alias(f"v{i}") for i, f in enumerate(schema.fields)]
     typed = prepared.select("*", *values)
 
@@ -224,8 +233,10 @@ def parse_lines(
     if width == 1:
         # A blank line is then one blank field.
         errors = F.when(F.trim(RAW_LINE) == "", _line_error(BLANK_LINE, F.lit(""), n)).otherwise(errors)
-    columns = [F.col(f"v{i}").alias(f.name) for i, f in enumerate(schema.fields)]
-    return typed.select(F.inline(F.array(F.struct(*columns, errors.alias(ERRORS), RAW_LINE, FILE))))
+    # Where the fields of a line are not as many as the table's, its end mark stands among them.
+    columns = [F.when(n == width, F.col(f"v{i}")).alias(f.name) for i, f in enumerate(schema.fields)]
+    judged = typed.select(F.inline(F.array(F.struct(*columns, errors.alias(ERRORS), RAW_LINE, FILE, *keep))))
+    return judged.withColumn(RAW_LINE, F.when(F.size(ERRORS) > 0, F.col(RAW_LINE)))
 
 
 def _read_lines(spark: SparkSession, paths: str | list[str], width: int, options: LoadOptions) -> DataFrame:
@@ -264,25 +275,67 @@ def load_delimited(
     return parse_lines(_read_lines(spark, paths, len(schema.fields), options), schema, options, "line", "file")
 
 
+def parse_placed(spark: SparkSession, paths: str | list[str], schema: T.StructType, options: LoadOptions | None = None) -> DataFrame:
+    """All lines of files, parsed in one scan, each with its file, split and place, for :func:`numbered`.
+
+    A header is parsed like any other line. Store the result before it is numbered: places are those of one scan.
+    """
+    options = options or LoadOptions()
+    if options.multiline:
+        raise ValueError("records that span lines have no places")
+    lines = spark.read.text(paths).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias(SPLIT),
+        F.monotonically_increasing_id().alias(PLACE),
+    )
+    return parse_lines(lines, schema, options, "line", "file", (SPLIT, PLACE))
+
+
+def _splits(placed: DataFrame) -> DataFrame:
+    """(file, split, first place, lines before the split in its file): a row per split, from counts made where the lines are."""
+    counts = placed.groupBy(FILE, SPLIT).agg(F.min(PLACE).alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(FILE, SPLIT, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+
+
+def without_headers(placed: DataFrame) -> DataFrame:
+    """Lines without the first one of each file. Only the first place of each file meets the lines."""
+    headers = placed.filter(F.col(SPLIT) == 0).groupBy(FILE).agg(F.min(PLACE).alias("header"))
+    return placed.join(headers.select("header"), F.col(PLACE) == F.col("header"), "left_anti")
+
+
+def numbered(placed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``rejected``, some lines of the stored ``placed``, with ``line_number`` in their files, from 1 and headers included.
+
+    A line's number is the number of lines in the splits before its own, from running sums per file, and its place in its
+    split. Only rejected lines are joined.
+    """
+    found = rejected.join(_splits(placed), [FILE, SPLIT])
+    return found.withColumn("line_number", F.col("before") + F.col(PLACE) - F.col("first") + 1).drop("before", "first")
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     """The rows of a parsed load that have no error."""
-    return parsed.filter(F.size(ERRORS) == 0).drop(ERRORS, RAW_LINE, FILE)
+    return parsed.filter(F.size(ERRORS) == 0).drop(ERRORS, RAW_LINE, FILE, SPLIT, PLACE)
 
 
 def load_errors(parsed: DataFrame, table: str, load_start: datetime | None = None) -> DataFrame:
     """The error log: one row per rejected field.
 
-    ``line_number`` is always NULL: files are read in splits, which know no line numbers, so the log
-    carries the whole line instead.
+    ``line_number`` is that of :func:`numbered` rows, else NULL: files are read in splits, which know no line numbers.
     """
     start = F.lit(load_start.isoformat(sep=" ") if load_start else None).cast("timestamp_ntz")
-    rejected = parsed.filter(F.size(ERRORS) > 0).select(F.explode(ERRORS).alias("e"), RAW_LINE, FILE)
+    number = F.col("line_number") if "line_number" in parsed.columns else F.lit(None)
+    rejected = parsed.filter(F.size(ERRORS) > 0).select(
+        F.explode(ERRORS).alias("e"), RAW_LINE, FILE, number.cast("bigint").alias("line_number")
+    )
     return rejected.select(
         F.lit(table).alias("table"),
         "e.err_reason",
         start.alias("starttime"),
         F.col(FILE).alias("filename"),
-        F.lit(None).cast("bigint").alias("line_number"),
+        "line_number",
         "e.colname",
         "e.type",
         "e.col_length",

@@ -242,3 +242,46 @@ def test_repair_can_be_limited(spark, store, tmp_path):
     path.write_text("1,2\n")
     with pytest.raises(sc.RepairError):
         load_with_repair(store, "t", str(path), ddl("n int"), add_columns=False)
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    for name, n, start in (("a", 400, 0), ("b", 3, 1000), ("empty", 0, 0)):
+        lines = ["head,er"] * (n > 0) + [("" if i % 7 == 3 else f"x{i},s" if i % 5 == 2 else f"{start + i},s") for i in range(n)]
+        (tmp_path / f"{name}.csv").write_text("".join(f"{x}\n" for x in lines))
+    usual = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        done = staged_load(spark, str(tmp_path), ddl("n int, s string"), "t", dl.LoadOptions(header=True))
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    found = {(e.filename.rsplit("/", 1)[1], e.line_number, e.raw_line) for e in done.errors.collect()}
+    wanted = {("a.csv", i + 2, "" if i % 7 == 3 else f"x{i},s") for i in range(400) if i % 7 == 3 or i % 5 == 2}
+    assert found == wanted | {("b.csv", 4, "x2,s")}
+    assert done.rows.count() == sum(i % 7 != 3 and i % 5 != 2 for i in range(400)) + 2
+    plan = done.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_line_numbers_without_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1\nx\n\n4\ny")
+    done = staged_load(spark, str(tmp_path), ddl("n int"), "t")
+    assert rows(done.errors.select("line_number", "raw_line")) == [(2, "x"), (3, ""), (5, "y")]
+    spans = staged_load(spark, str(tmp_path), ddl("n int"), "t", dl.LoadOptions(multiline=True))
+    assert {r[0] for r in spans.errors.select("line_number").collect()} == {None}
+
+
+def test_numbers_that_are_none_come_back(spark, tmp_path):
+    values = [float("nan"), float("inf"), float("-inf"), 1.5]
+    df = spark.createDataFrame([(x, x) for x in values], "d double, f float")
+    dl.write_delimited(df, str(tmp_path / "out"))
+    parsed = dl.load_delimited(spark, str(tmp_path / "out"), df.schema, dl.LoadOptions("|"))
+    assert str(rows(dl.good_rows(parsed))) == str(rows(df)) and dl.load_errors(parsed, "t").count() == 0
+    other = dl.parse_lines(spark.createDataFrame([("nan",), ("inf",), ("1d",)], "line string"), ddl("d double"))
+    assert dl.good_rows(other).count() == 0
+
+
+def test_rejected_lines_hold_no_end_mark(spark):
+    parsed = parse(spark, ["a", "a,b,c", "a,b"], ddl("k string, v string"))
+    assert rows(parsed.select("k", "v")) == [(None, None), (None, None), ("a", "b")]
