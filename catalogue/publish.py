@@ -9,6 +9,7 @@ from catalogue.base import CHANGED_ORDERS_SQL, changed_orders, query, table
 from catalogue.merge import ORDERS, RECONCILED_SQL, UPSERTED_SQL
 from lakesync.operators.merge import reconcile_latest
 from lakesync.plans.changed import ChangedTable
+from lakesync.plans.distinct import append_distinct
 from lakesync.plans.publish import SnapshotStore, promote_tables, publish_swap, side_by_side
 from lakesync.plans.replicate import (
     changed_table,
@@ -113,6 +114,17 @@ def release_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides["current"].withColumn("side", F.lit("current")).unionByName(sides["previous"].withColumn("side", F.lit("previous")))
 
 
+@query(f"SELECT {ORDERS} FROM orders UNION SELECT {ORDERS} FROM ({CHANGED_ORDERS_SQL}) c")
+def append_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, then their changes twice with half of the orders among them: each row is there once, and only new ones are written."""
+    store, orders = _store(spark, "append-distinct"), table(spark, sf_dir, "orders")
+    changed = changed_orders(orders)
+    append_distinct(store, "orders", orders.unionByName(orders))
+    append_distinct(store, "orders", changed.filter("o_custkey % 2 = 0").unionByName(orders.filter("o_orderkey % 2 = 0")))
+    append_distinct(store, "orders", changed)
+    return store.read("orders")
+
+
 @query("SELECT * FROM lineitem")
 def promote_tables_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table is promoted although another one is missing."""

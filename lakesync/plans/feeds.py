@@ -28,6 +28,7 @@ from lakesync.operators.shape import (
     project_fixed,
     select_fields,
 )
+from lakesync.plans.distinct import append_distinct
 from lakesync.plans.publish import SnapshotStore
 from lakesync.session import shared_dir
 from lakesync.sources.paged import page_records
@@ -299,6 +300,5 @@ def sheet_to_table(store: SnapshotStore, table: str, sheet: DataFrame) -> Report
 
 
 def extract_to_table(store: SnapshotStore, table: str, rows: DataFrame) -> None:
-    """Rows of a SQL extract appended to a table, whole rows made distinct."""
-    merged = store.read(table).unionByName(rows) if store.exists(table) else rows
-    store.replace(table, distinct_rows(merged))
+    """Rows of a SQL extract that a table does not hold are added to it. The target is not rewritten."""
+    append_distinct(store, table, rows)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesync.operators.merge import distinct_rows
 from lakesync.operators.schema import RepairError, SchemaChange, cast_to_schema, error_profile, evolve_schema
+from lakesync.plans.distinct import append_distinct, replace_distinct
 from lakesync.plans.publish import SnapshotStore
 from lakesync.session import shared_dir
 from lakesync.sources.delimited import ERRORS, LoadOptions, check_max_error, good_rows, load_delimited, load_errors
@@ -61,17 +61,17 @@ def copy_into(
     dedupe: bool = True,
     load_start: datetime | None = None,
 ) -> LoadResult:
-    """Load files into a table's next version, whole rows made distinct unless told otherwise.
+    """Add the rows of files to a table, whole rows made distinct unless told otherwise. The target is not rewritten.
 
     Refused, with nothing published, when the errors reach ``options.max_error``.
     """
     options = options or LoadOptions()
     result = staged_load(store.spark, paths, schema, table, options, load_start)
     check_max_error(result.errors, options.max_error)
-    rows = result.rows
-    if store.exists(table):
-        rows = store.read(table).unionByName(rows)
-    store.replace(table, distinct_rows(rows) if dedupe else rows)
+    if dedupe:
+        append_distinct(store, table, result.rows)
+    else:
+        store.append(table, result.rows)
     return result
 
 
@@ -87,8 +87,8 @@ def load_with_repair(
 ) -> LoadResult:
     """Load files; as long as there are errors, widen the schema by what failed and parse again.
 
-    Then old rows, cast to the new schema, and loaded rows are made distinct and published. The version
-    before stays readable. Types only widen and columns are only added, so the passes are few; an error
+    Then loaded rows that the table does not hold are added; if its schema got wider, old rows are cast and all are written
+    anew. The version before stays readable. Types only widen and columns are only added, so the passes are few; an error
     no change can cure raises and publishes nothing.
     """
     spark = store.spark
@@ -106,8 +106,10 @@ def load_with_repair(
         changes += made
     else:
         raise RepairError(f"{table} still has errors after {passes} passes")
-    rows = result.rows
-    if store.exists(table):
-        rows = cast_to_schema(store.read(table), schema).unionByName(rows)
-    store.replace(table, distinct_rows(rows))
+    current = store.table_state(table).current
+    if current is None or store.read_version(current).schema.simpleString() == schema.simpleString():
+        append_distinct(store, table, result.rows)
+    else:
+        rows = cast_to_schema(store.read_version(current), schema).unionByName(result.rows)
+        replace_distinct(store, table, rows, current)
     return LoadResult(result.rows, result.errors, schema, changes)
