@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.base import CHANGED_ORDERS_SQL, changed_orders, query, table
-from catalogue.merge import ORDERS, RECONCILED_SQL, UPSERTED_SQL
+from catalogue.merge import LINEITEM, ORDERS, RECONCILED_SQL, UPSERTED_SQL
 from lakesync.operators.merge import reconcile_latest
 from lakesync.plans.changed import ChangedTable
 from lakesync.plans.distinct import append_distinct
@@ -19,6 +19,7 @@ from lakesync.plans.replicate import (
     incremental_reconcile,
     replicate,
 )
+from lakesync.plans.touched import upsert_touched
 from lakesync.session import shared_dir
 from lakesync.spec import HighWaterMark, TableSpec
 from lakesync.streaming.upsert import stream_upsert
@@ -114,6 +115,34 @@ def release_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides["current"].withColumn("side", F.lit("current")).unionByName(sides["previous"].withColumn("side", F.lit("previous")))
 
 
+# Single lines of a part of the orders get new versions, and their key ranges new lines.
+TOUCHING_SQL = f"""
+    SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_linenumber + 10 ELSE l_linenumber END AS l_linenumber, 'X' AS l_linestatus)
+    FROM (SELECT {LINEITEM} FROM lineitem WHERE l_orderkey < (SELECT MAX(o_orderkey) // 10 FROM orders))"""
+
+
+@query(f"""
+    WITH delta AS ({TOUCHING_SQL})
+    SELECT {LINEITEM} FROM lineitem b
+    WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.l_orderkey = b.l_orderkey AND d.l_linenumber = b.l_linenumber)
+    UNION ALL SELECT {LINEITEM} FROM delta""")
+def upsert_touched_files_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of many files laid out by key: the changes rewrite those they fall into, twice over, and the others stay."""
+    store, lineitem = _store(spark, "touched"), table(spark, sf_dir, "lineitem")
+    path = store.stage("lineitem", lineitem.repartitionByRange(16, "l_orderkey"))
+    store.switch({"lineitem": path}, {"lineitem": lineitem.schema})
+    keys = ["l_orderkey", "l_linenumber"]
+    bound = table(spark, sf_dir, "orders").agg(F.expr("max(o_orderkey) div 10").alias("bound"))
+    part = lineitem.join(F.broadcast(bound), F.col("l_orderkey") < F.col("bound")).drop("bound")
+    number = F.when(F.col("l_returnflag") == "R", F.col("l_linenumber") + 10).otherwise(F.col("l_linenumber"))
+    delta = part.withColumns({"l_linenumber": number, "l_linestatus": F.lit("X")})
+    upsert_touched(store, "lineitem", delta.withColumn("l_linestatus", F.lit("Y")), keys)
+    done = upsert_touched(store, "lineitem", delta, keys)
+    if done.carried < 12:
+        raise RuntimeError(f"files were rewritten without need: {done}")
+    return store.read("lineitem")
+
+
 @query(f"SELECT {ORDERS} FROM orders UNION SELECT {ORDERS} FROM ({CHANGED_ORDERS_SQL}) c")
 def append_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders, then their changes twice with half of the orders among them: each row is there once, and only new ones are written."""

@@ -134,7 +134,8 @@ class SnapshotStore:
 
     def discard(self, path: str) -> None:
         """Delete a staged folder that was not published."""
-        if path in reachable(self.manifest.state().tables.values()):
+        used = reachable(self.manifest.state().tables.values())
+        if any(p == path or p.startswith(path + "/") for p in used):
             raise ValueError(f"{path} is published")
         self.manifest.files.delete(path)
 
@@ -248,7 +249,12 @@ class SnapshotStore:
         state = self.manifest.state()
         kept = reachable(state.tables.values())
         kept |= {told["sums"] for t in state.tables.values() for v in t.versions for told in v.facts.values() if "sums" in told}
-        gone = [p for p in found if p not in kept]
+        # A version may hold single files of a folder: the others of it go.
+        shared = {p.rsplit("/", 1)[0] for p in kept}
+        gone = [p for p in found if p not in kept and p not in shared]
+        for folder in shared & set(found) - kept:
+            names = [n for n, changed in files.list(folder) if changed < limit and n.startswith("part-")]
+            gone += [f"{folder}/{n}" for n in names if f"{folder}/{n}" not in kept]
         for path in gone:
             files.delete(path)
         self.manifest.prune(limit)

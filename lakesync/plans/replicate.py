@@ -15,6 +15,7 @@ from lakesync.operators.schema import store_as_text
 from lakesync.operators.watermark import read_high_water_mark, since_high_water
 from lakesync.plans.changed import ChangedTable
 from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap, side_by_side
+from lakesync.plans.touched import merge_touched
 from lakesync.session import shared_dir
 from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan, jdbc_table_scan
 from lakesync.spec import HighWaterMark, TableSpec
@@ -116,12 +117,27 @@ def _merge_import(store: SnapshotStore, spec: TableSpec, merge: Merge) -> TableR
         df = apply_post_load(spec.extract(spark, spec.mark.default if spec.mark else None), spec.post_load)
         store.replace(spec.name, df)
         return TableResult(spec.name, "bootstrap")
-    base = store.read(spec.name)
+    seen, base = store.current_seq(spec.name), store.read(spec.name)
     since = read_high_water_mark(base, spec.mark) if spec.mark else None
     delta = _staged(spark, spec, since)
     if delta.isEmpty():
         return TableResult(spec.name, "unchanged", since)
-    store.replace(spec.name, apply_post_load(merge(base, delta, spec), spec.post_load))
+    # Built on the version read above: one that came in between is not written over.
+    store.replace(spec.name, apply_post_load(merge(base, delta, spec), spec.post_load), built_on=seen)
+    return TableResult(spec.name, "merged", since)
+
+
+def _import_touched(store: SnapshotStore, spec: TableSpec, merge: Merge) -> TableResult:
+    if spec.post_load:
+        raise ValueError(f"{spec.name}: post_load works on the merged table, which is only written with rewrite=True")
+    if not store.exists(spec.name):
+        store.replace(spec.name, spec.extract(store.spark, spec.mark.default if spec.mark else None), spec.key_columns)
+        return TableResult(spec.name, "bootstrap")
+    since = read_high_water_mark(store.read(spec.name), spec.mark) if spec.mark else None
+    delta = _staged(store.spark, spec, since)
+    if delta.isEmpty():
+        return TableResult(spec.name, "unchanged", since)
+    merge_touched(store, spec.name, delta, spec.keys, lambda base, new: merge(base, new, spec))
     return TableResult(spec.name, "merged", since)
 
 
@@ -166,13 +182,14 @@ def _side_by_side(
 
 
 def incremental_import(
-    store: SnapshotStore, specs: Sequence[TableSpec], rewrite: bool = True, latest: bool = False, workers: int = 8
+    store: SnapshotStore, specs: Sequence[TableSpec], rewrite: bool | str = True, latest: bool = False, workers: int = 8
 ) -> list[TableResult]:
     """Per table: rows past the target's mark, upserted by key.
 
     All rows of a key that the extract holds are kept, or the newest with ``latest``. ``rewrite=True`` publishes the
     merged table each time. With ``rewrite=False`` only the changes are written, and merged when :func:`changed_table`
-    is read: for tables that are large next to their changes. Both give the same rows. All tables are tried;
+    is read: for tables that are large next to their changes. ``rewrite="touched"`` writes the files that the changes fall into, and
+    carries the others over. All give the same rows. All tables are tried;
     then :class:`ImportFailed` is raised if any failed.
     """
 
@@ -180,19 +197,27 @@ def incremental_import(
         return upsert(base, delta, spec.keys, spec.mark.column if latest else None)
 
     def one(spec: TableSpec) -> TableResult:
+        if rewrite == "touched":
+            return _import_touched(store, spec, merge)
         return _merge_import(store, spec, merge) if rewrite else _import_changes(store, spec, latest)
 
     return _side_by_side(store.spark, specs, one, workers)
 
 
-def incremental_reconcile(store: SnapshotStore, specs: Sequence[TableSpec], workers: int = 8) -> list[TableResult]:
-    """Per table: rows past the target's mark, newest row per key kept. Failures as in :func:`incremental_import`."""
+def incremental_reconcile(
+    store: SnapshotStore, specs: Sequence[TableSpec], workers: int = 8, rewrite: bool | str = True
+) -> list[TableResult]:
+    """Per table: rows past the target's mark, newest row per key kept. Failures as in :func:`incremental_import`.
+
+    ``rewrite="touched"`` writes only the files that the changes fall into: for tables whose rows are the newest of their keys already.
+    """
 
     def newest(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
         column = spec.mark.column
         return reconcile_latest(base, delta, spec.keys, column, spec.tie_breakers, spec.ties, spec.null_keys)
 
-    return _side_by_side(store.spark, specs, lambda spec: _merge_import(store, spec, newest), workers)
+    one = _import_touched if rewrite == "touched" else _merge_import
+    return _side_by_side(store.spark, specs, lambda spec: one(store, spec, newest), workers)
 
 
 def replicate(
@@ -203,7 +228,7 @@ def replicate(
     sources: Mapping[str, DataFrame] | None = None,
     now: datetime | None = None,
     tolerance: float = 0.05,
-    rewrite: bool = True,
+    rewrite: bool | str = True,
 ) -> ReplicationResult:
     """Everything: upserts, full copies, promotion of the upserted tables, validation against sources.
 
