@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from catalogue.base import MESSY_SQL, messy, query, table
 from lakesync.operators import schema as sc
 from lakesync.plans.publish import SnapshotStore
-from lakesync.plans.repair import copy_into, load_with_repair, staged_load
+from lakesync.plans.repair import copy_into, load_and_validate, load_with_repair, staged_load
 from lakesync.session import shared_dir
 from lakesync.sources import delimited as dl
 
@@ -364,3 +364,28 @@ def infer_leading_zeros_part(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(key, F.lit(2)) == 0, F.concat(key, F.lit(".5"))).otherwise((F.lit(1 << 60) + key).cast("string")).alias("mixed"),
     )
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in sc.infer_schema(sheet).fields], "column_name string, type string")
+
+
+@query("""
+    SELECT 'customer' AS "table", load_id, COUNT(*) AS row_count, 0::BIGINT AS error_count, TIMESTAMP '2024-02-01 12:00:00' AS starttime,
+           TRUE AS ok, (SELECT COUNT(*) FROM customer) AS table_rows
+    FROM (SELECT 'customers of ' || c_mktsegment AS load_id FROM customer) GROUP BY load_id""")
+def load_audit_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load per market segment, one of them sent twice and one refused for its errors: what the audit tells of them, and what readers see."""
+    store, customer = SnapshotStore(spark, shared_dir(spark, "audit")), table(spark, sf_dir, "customer")
+    folder = shared_dir(spark, "segments")
+    segments = sorted(r[0] for r in customer.select("c_mktsegment").distinct().collect())
+    reports = {}
+    for segment in [*segments, segments[0]]:
+        path = f"{folder}/{segment}-{len(reports)}"
+        dl.write_delimited(customer.filter(F.col("c_mktsegment") == segment), path, "|")
+        _, report = load_and_validate(
+            store, "customer", path, customer.schema, dl.LoadOptions("|"), load_start=LOAD_START, load_id=f"customers of {segment}"
+        )
+        reports[segment] = report.ok
+    broken = customer.withColumn("c_custkey", F.concat(F.lit("x"), "c_custkey"))
+    dl.write_delimited(broken, f"{folder}/broken", "|")
+    _, refused = load_and_validate(store, "customer", f"{folder}/broken", customer.schema, dl.LoadOptions("|"), load_id="refused")
+    audit = store.load_audit("customer").drop("seq", "files")
+    ok = all(reports.values()) and not refused.ok
+    return audit.withColumns({"ok": F.lit(ok), "table_rows": F.lit(store.read("customer").count()).cast("bigint")})

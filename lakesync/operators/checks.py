@@ -173,18 +173,22 @@ def validate_load(
     errors: DataFrame | None = None,
     structure: DataFrame | None = None,
     max_error: int = 0,
-    committed: bool = True,
+    audit: DataFrame | None = None,
+    load_id: str | None = None,
 ) -> Report:
     """Runs the given checks; passes only when all pass.
 
-    ``errors`` is an error log: at most ``max_error`` entries, and the load committed. ``structure`` is
-    the result of a structure check: every position fine.
+    ``errors`` is an error log: at most ``max_error`` entries. ``structure`` is the result of a structure check: every position
+    fine. ``audit`` holds the audit rows of a store's loads: ``load_id`` is among them once, so its rows were published.
     """
     report = Report()
     if errors is not None:
         found = errors.limit(max_error + 1).count()
-        report.add("load_errors", found <= max_error and committed, f"{found} error(s), committed: {committed}")
+        report.add("load_errors", found <= max_error, f"{found} error(s)")
     if structure is not None:
         bad = [r.asDict() for r in structure.filter(~F.col("ok")).collect()]
         report.add("structure", not bad, bad)
+    if audit is not None:
+        rows = [r.asDict() for r in audit.filter(F.col("load_id") == load_id).limit(2).collect()]
+        report.add("committed", len(rows) == 1, rows)
     return report

@@ -23,6 +23,7 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesync.operators.layout import clustered_layout
@@ -30,6 +31,10 @@ from lakesync.operators.schema import conformed
 from lakesync.plans.manifest import Change, Conflict, Manifest, State, TableState, Version
 from lakesync.plans.manifest import continued, reachable, same_version, version_entry
 
+_AUDIT = "seq bigint, table string, load_id string, files string, row_count bigint, error_count bigint, starttime string"
+_AUDIT_COLUMNS = [c.split(" ")[0] for c in _AUDIT.split(", ")]
+
+
 @dataclass(frozen=True)
 class PromotionResult:
     table: str
@@ -123,6 +128,15 @@ class SnapshotStore:
 
         return self.manifest.publish(build) is not None
 
+    def load_audit(self, table: str | None = None) -> DataFrame:
+        """One row per published load: each was entered by the publication that made its rows readable."""
+        rows = [r for r in self.manifest.loads() if table is None or r["table"] == table]
+        found = self.spark.createDataFrame([tuple(r.get(c) for c in _AUDIT_COLUMNS) for r in rows], _AUDIT)
+        return found.withColumn("starttime", F.col("starttime").cast("timestamp_ntz"))
+
+    def was_loaded(self, table: str, load_id: str) -> bool:
+        return any(r["table"] == table and r["load_id"] == load_id for r in self.manifest.loads())
+
     # -- data ---------------------------------------------------------------------------------------
 
     def stage(self, table: str, df: DataFrame, layout_keys: Sequence[str] | None = None) -> str:

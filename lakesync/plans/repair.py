@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -9,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesync.operators.schema import RepairError, SchemaChange, cast_to_schema, error_profile, evolve_schema
+from lakesync.operators.checks import Report, validate_load
+from lakesync.operators.schema import RepairError, SchemaChange, cast_to_schema, conformed, error_profile, evolve_schema
 from lakesync.plans.distinct import append_distinct, replace_distinct
-from lakesync.plans.publish import SnapshotStore
+from lakesync.plans.publish import SnapshotStore, apply_post_load
 from lakesync.session import shared_dir
 from lakesync.sources.delimited import ERRORS, LoadOptions, check_max_error, good_rows, load_delimited, load_errors
 from lakesync.sources.delimited import numbered, parse_placed, without_headers
@@ -24,6 +27,7 @@ class LoadResult:
     rows: DataFrame
     errors: DataFrame
     schema: T.StructType
+    load_id: str | None = None
     changes: list[SchemaChange] = field(default_factory=list)
 
 
@@ -52,6 +56,19 @@ def staged_load(
     return LoadResult(good_rows(lines), load_errors(rejected, table, load_start), schema)
 
 
+def _audit_row(
+    table: str, load_id: str, paths: str | list[str], rows: DataFrame, errors: DataFrame, load_start: datetime | None
+) -> dict[str, object]:
+    return {
+        "table": table,
+        "load_id": load_id,
+        "files": paths if isinstance(paths, str) else ",".join(paths),
+        "row_count": rows.count(),
+        "error_count": errors.count(),
+        "starttime": load_start.isoformat(sep=" ") if load_start else None,
+    }
+
+
 def copy_into(
     store: SnapshotStore,
     table: str,
@@ -60,21 +77,63 @@ def copy_into(
     options: LoadOptions | None = None,
     dedupe: bool = True,
     load_start: datetime | None = None,
+    load_id: str | None = None,
+    post_load: Callable[[DataFrame], DataFrame] | None = None,
 ) -> LoadResult:
     """Add the rows of files to a table, whole rows made distinct unless told otherwise. The target is not rewritten.
 
-    Refused, with nothing published, when the errors reach ``options.max_error``.
+    Refused, with nothing published, when the errors reach ``options.max_error``. The publication that makes the rows readable
+    enters an audit row as well, under ``load_id``; a load of that id which is there already changes nothing. ``post_load``
+    works on the good rows before they are published.
     """
-    options = options or LoadOptions()
+    options, load_id = options or LoadOptions(), load_id or uuid.uuid4().hex
     result = staged_load(store.spark, paths, schema, table, options, load_start)
     check_max_error(result.errors, options.max_error)
+    result.load_id = load_id
+    result.rows = apply_post_load(result.rows, post_load)
+    if store.was_loaded(table, load_id):
+        return result
+    audit = _audit_row(table, load_id, paths, result.rows, result.errors, load_start)
     if dedupe:
-        append_distinct(store, table, result.rows)
+        append_distinct(store, table, result.rows, audit)
     else:
-        store.append(table, result.rows)
+        store.append(table, result.rows, audit)
     return result
 
 
+def load_and_validate(
+    store: SnapshotStore,
+    table: str,
+    paths: str | list[str],
+    schema: T.StructType,
+    options: LoadOptions | None = None,
+    max_error: int = 0,
+    load_start: datetime | None = None,
+    load_id: str | None = None,
+    post_load: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[LoadResult, Report]:
+    """Load, check, publish, and look up that it was published: one path, whose report says how each check came out.
+
+    Files with over ``max_error`` rejected fields publish nothing; the report then fails and the audit has no row. So do rows that
+    ``post_load`` leaves in other columns or types than the table's.
+    """
+    options, load_id = options or LoadOptions(), load_id or uuid.uuid4().hex
+    result = staged_load(store.spark, paths, schema, table, options, load_start)
+    result.load_id = load_id
+    result.rows = apply_post_load(result.rows, post_load)
+    before = validate_load(result.errors, max_error=max_error)
+    if store.exists(table):
+        try:
+            conformed(result.rows, store.read(table).schema)
+            before.add("structure", True)
+        except (TypeError, ValueError) as other:
+            before.add("structure", False, str(other))
+    if before.ok and not store.was_loaded(table, load_id):
+        append_distinct(store, table, result.rows, _audit_row(table, load_id, paths, result.rows, result.errors, load_start))
+    committed = validate_load(audit=store.load_audit(table), load_id=load_id)
+    return result, before.add("committed", committed.ok, committed.details["committed"])
+
+
 def load_with_repair(
     store: SnapshotStore,
     table: str,
@@ -84,6 +143,7 @@ def load_with_repair(
     add_columns: bool = True,
     change_types: bool = True,
     load_start: datetime | None = None,
+    load_id: str | None = None,
 ) -> LoadResult:
     """Load files; as long as there are errors, widen the schema by what failed and parse again.
 
@@ -106,10 +166,12 @@ def load_with_repair(
         changes += made
     else:
         raise RepairError(f"{table} still has errors after {passes} passes")
+    load_id = load_id or uuid.uuid4().hex
+    audit = _audit_row(table, load_id, paths, result.rows, result.errors, load_start)
     current = store.table_state(table).current
     if current is None or store.read_version(current).schema.simpleString() == schema.simpleString():
-        append_distinct(store, table, result.rows)
+        append_distinct(store, table, result.rows, audit)
     else:
         rows = cast_to_schema(store.read_version(current), schema).unionByName(result.rows)
-        replace_distinct(store, table, rows, current)
-    return LoadResult(result.rows, result.errors, schema, changes)
+        replace_distinct(store, table, rows, current, audit)
+    return LoadResult(result.rows, result.errors, schema, load_id, changes)

@@ -297,7 +297,9 @@ def test_validate_replica(spark):
 def test_validate_load(spark):
     errors = spark.range(2)
     assert checks.validate_load(errors, max_error=2).ok
-    assert not checks.validate_load(errors, max_error=2, committed=False).ok
+    audit = spark.createDataFrame([("a",), ("b",), ("b",)], "load_id string")
+    assert checks.validate_load(errors, max_error=2, audit=audit, load_id="a").ok
+    assert [checks.validate_load(audit=audit, load_id=i).ok for i in "bc"] == [False, False]
     structure = spark.createDataFrame([(1, True), (2, False)], "pos int, ok boolean")
     with pytest.raises(checks.CheckFailed, match="structure"):
         checks.validate_load(errors.limit(0), structure).assert_ok()
