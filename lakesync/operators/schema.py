@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesync.functions.casting import cast_text, is_text
+from lakesync.functions.casting import FALSE_WORDS, NO_NUMBERS, TRUE_WORDS, cast_text, is_text
 from lakesync.functions.names import column_name
-from lakesync.functions.text import type_base_name
+from lakesync.functions.text import NUMBER_TEXT, type_base_name
 
 MAX_VARCHAR = 65535
 
@@ -206,6 +206,7 @@ class SchemaChange:
 # A text that is written the one way a number is: no plus sign, no zeros in front, no exponent.
 _PLAIN_NUMBER = r"^\s*-?(0|[1-9][0-9]*)([.][0-9]+)?\s*$"
 _PLAIN_WHOLE = r"^\s*-?(0|[1-9][0-9]*)\s*$"
+_BARE_NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?$"
 # Decimal digits that a double always gives back, and that the widest decimal has.
 _DOUBLE_DIGITS, _DECIMAL_DIGITS = 15, 38
 
@@ -374,6 +375,51 @@ def _plain(kind: T.DataType) -> T.DataType:
     return T.StringType() if is_text(kind) else kind
 
 
+# What a text can be, each a bit: a column's kinds are the bits of all its texts together.
+_SHORT, _LONG, _LONGER, _FRACTION, _LONG_FRACTION, _NUMBER, _LONG_NUMBER, _CODE, _TRUTH, _MOMENT, _TEXT = (1 << i for i in range(11))
+
+
+def _digits_and_kind(text: Column, t: Column, bare: Column) -> Column:
+    """[kind, digits before the point, digits behind it] of a text, the digits of plain numbers only; NULL for a blank one.
+
+    ``t`` is the text without blanks around it, ``bare`` whether that is a plain number. The tests stand in the order of what they
+    cost: a plain number, which most are, is told by one pattern and its length.
+    """
+    size = F.length(t) - F.startswith(t, F.lit("-")).cast("int")
+    point = F.instr(t, ".")
+    zero = F.ltrim(t, F.lit("-")).startswith("0").cast("int")
+
+    def found(kind: Column, whole: Column | None = None, fraction: Column | None = None) -> Column:
+        none = F.lit(None).cast("int")
+        return F.array(kind, none if whole is None else whole, none if fraction is None else fraction)
+
+    def safe(yes: int, no: int) -> Column:
+        # A text this short cannot have too many digits.
+        return F.when((F.length(t) <= _DOUBLE_DIGITS) | _fits_double(text), F.lit(yes)).otherwise(F.lit(no))
+
+    whole = F.when(size <= _DOUBLE_DIGITS, _SHORT).when((size <= 18) | t.try_cast("bigint").isNotNull(), _LONG).otherwise(_LONGER)
+    before = size - (F.length(t) - point) - 1 - zero
+    date_like = (F.length(t) >= 8) & cast_text(text, T.TimestampNTZType()).isNotNull()
+    return (
+        F.when(t == "", None)
+        .when(bare & (point == 0), found(whole, size - zero, F.lit(0)))
+        .when(bare, found(safe(_FRACTION, _LONG_FRACTION), before, F.length(t) - point))
+        .when(
+            text.rlike(_PLAIN_NUMBER),  # other white space around it
+            found(
+                F.when(~text.rlike(_PLAIN_WHOLE), safe(_FRACTION, _LONG_FRACTION))
+                .when(cast_text(text, T.LongType()).isNull(), _LONGER)
+                .otherwise(safe(_SHORT, _LONG)),
+                _whole_digits(text),
+                _fraction_digits(text),
+            ),
+        )
+        .when(text.rlike(r"^\s*(?:[+]|-?0[0-9])") & text.rlike(NUMBER_TEXT), found(F.lit(_CODE)))
+        .when(text.rlike(NUMBER_TEXT) | t.isin(*NO_NUMBERS), found(safe(_NUMBER, _LONG_NUMBER)))
+        .when(F.lower(t).isin(*TRUE_WORDS, *FALSE_WORDS), found(F.lit(_TRUTH)))
+        .when(date_like, found(F.lit(_MOMENT)))
+        .when(text.isNotNull(), found(F.lit(_TEXT)))
+    )
 
 
 def infer_schema(df: DataFrame) -> T.StructType:
@@ -381,44 +427,41 @@ def infer_schema(df: DataFrame) -> T.StructType:
 
     Whole numbers are bigint, or decimal where they are longer; fractions are double, or decimal where a double
     has too few digits. A column with a plus sign or zeros in front of a number, which codes have, stays text, as does
-    one with values of several kinds. Then come boolean and timestamp. One aggregate, whose row alone reaches the driver.
-    Blank texts count as no value.
+    one with values of several kinds. Then come boolean and timestamp. Every value is classified once, in one aggregate; a row per column
+    reaches the driver. Blank texts count as no value.
     """
-    measures = []
-    for name in df.columns:
-        text = F.when(F.trim(F.col(f"`{name}`")) != "", F.col(f"`{name}`"))
-        there = text.isNotNull()
-        number = cast_text(text, T.DoubleType()).isNotNull()
-        signed = text.rlike(r"^\s*(?:[+]|-?0[0-9])")
-        plain = F.when(text.rlike(_PLAIN_NUMBER), text)
-        moment = cast_text(text, T.TimestampNTZType()).isNotNull()
-        truth = ~number & cast_text(text, T.BooleanType()).isNotNull()
-        measures.append(
-            F.struct(
-                F.bool_and(text.rlike(_PLAIN_WHOLE)).alias("whole"),
-                F.bool_and(F.when(there, cast_text(text, T.LongType()).isNotNull())).alias("short"),
-                F.bool_and(F.when(there, plain.isNotNull())).alias("plain"),
-                F.bool_and(F.when(there, number & ~signed & _fits_double(text))).alias("double"),
-                F.max(_whole_digits(plain)).alias("digits"),
-                F.max(_fraction_digits(plain)).alias("fraction"),
-                F.bool_and(F.when(there, truth)).alias("boolean"),
-                F.bool_and(F.when(there, ~number & ~truth & moment)).alias("timestamp"),
-            )
-        )
-    row = df.agg(F.array(*measures).alias("found")).first()["found"]
-    return T.StructType([T.StructField(name, _type_of(m)) for name, m in zip(df.columns, row)])
+    # Columns are laid under one another, so that the plan is as small for a hundred of them as for one.
+    texts = df.select(F.posexplode(F.array(*[F.col(f"`{name}`").cast("string") for name in df.columns])).alias("at", "text"))
+    # Columns of their own, so that each is worked out once.
+    trimmed = texts.filter("text IS NOT NULL").withColumn("t", F.trim("text"))
+    ready = trimmed.withColumn("bare", F.col("t").rlike(_BARE_NUMBER))
+    told = ready.select("at", _digits_and_kind(F.col("text"), F.col("t"), F.col("bare")).alias("told"))
+    kinds, digits, fraction = (F.get("told", F.lit(i)) for i in range(3))
+    measured = told.groupBy("at").agg(
+        F.bit_or(kinds).alias("kinds"), F.max(digits).alias("digits"), F.max(fraction).alias("fraction")
+    )
+    found = {r["at"]: r for r in measured.collect()}
+    nothing = {"kinds": None, "digits": None, "fraction": None}
+    return T.StructType([T.StructField(name, _type_of(found.get(i, nothing))) for i, name in enumerate(df.columns)])
 
 
 def _type_of(found: Mapping[str, object]) -> T.DataType:
-    if found["whole"]:
-        return T.LongType() if found["short"] else _wide_decimal(found["digits"], 0)
-    if found["double"]:
+    kinds = found["kinds"] or _TEXT
+
+    def only(*some: int) -> bool:
+        return kinds & ~sum(some) == 0
+
+    if only(_SHORT, _LONG):
+        return T.LongType()
+    if only(_SHORT, _LONG, _LONGER):
+        return _wide_decimal(found["digits"], 0)
+    if only(_SHORT, _FRACTION, _NUMBER):
         return T.DoubleType()
-    if found["plain"]:
+    if only(_SHORT, _LONG, _LONGER, _FRACTION, _LONG_FRACTION):
         return _wide_decimal(found["digits"], found["fraction"])
-    if found["boolean"]:
+    if only(_TRUTH):
         return T.BooleanType()
-    return T.TimestampNTZType() if found["timestamp"] else T.StringType()
+    return T.TimestampNTZType() if only(_MOMENT) else T.StringType()
 
 
 def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

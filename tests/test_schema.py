@@ -89,7 +89,10 @@ def test_infer_schema(spark):
         (["123", "00123"], "string"), (["+1"], "string"), (["0", "-7", " 5 "], "bigint"), (["007.5"], "string"),
         (["12345678901234567890", "1"], "decimal(38,0)"), (["1" * 39], "string"), (["0.5", "9007199254740993"], "decimal(38,1)"),
         (["1e5", "2"], "double"), (["0.1234567890123456789"], "decimal(38,19)"), (["1", "yes"], "string"),
-        (["yes", "no", None], "boolean"), ([None, " "], "string"), (["1" * 30 + "." + "1" * 9], "string"),
+        (["9223372036854775807", "-9223372036854775808"], "bigint"), (["9223372036854775808"], "decimal(38,0)"),
+        (["\t5", "-0.5"], "double"), (["\t9007199254740993.5 "], "decimal(38,1)"), (["-0." + "1" * 38], "decimal(38,38)"),
+        (["1." + "1" * 38], "string"), (["NaN", "1.5"], "double"), (["1."], "double"), ([".5", "12"], "double"),
+        (["2024-01-01", "20240101"], "string"), (["yes", "no", None], "boolean"), ([None, " "], "string"), (["1" * 30 + "." + "1" * 9], "string"),
     ],
 )
 def test_inference_keeps_every_digit(spark, values, expected):
