@@ -1,12 +1,14 @@
 """Delimited text, the error log, schemas."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue.base import MESSY_SQL, messy, query, table
+from lakesync.functions.casting import DATE_LAYOUTS
 from lakesync.operators import schema as sc
 from lakesync.plans.publish import SnapshotStore
 from lakesync.plans.repair import copy_into, load_and_validate, load_with_repair, staged_load
@@ -389,3 +391,95 @@ def load_audit_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = store.load_audit("customer").drop("seq", "files")
     ok = all(reports.values()) and not refused.ok
     return audit.withColumns({"ok": F.lit(ok), "table_rows": F.lit(store.read("customer").count()).cast("bigint")})
+
+
+# A word with blanks around it, only blanks, nothing, or a word; and what a broken encoding leaves of one.
+BLANKS_SQL = """
+    SELECT event_id, CASE event_id % 4 WHEN 0 THEN '  ' || event_type || '  ' WHEN 1 THEN '   ' WHEN 2 THEN ''
+                                       ELSE event_type || chr(65533) || user_id END AS word FROM events"""
+BLANK_OPTIONS = {
+    "none": ({}, "word"),
+    "trim_blanks": ({"trim_blanks": True}, "rtrim(word)"),
+    "blanks_as_null": ({"blanks_as_null": True}, "CASE WHEN trim(word) <> '' OR word = '' THEN word END"),
+    "empty_as_null": ({"empty_as_null": True}, "NULLIF(word, '')"),
+    "blanks_and_empty_as_null": ({"blanks_as_null": True, "empty_as_null": True}, "CASE WHEN trim(word) <> '' THEN word END"),
+    "all": ({"trim_blanks": True, "blanks_as_null": True, "empty_as_null": True}, "CASE WHEN trim(word) <> '' THEN rtrim(word) END"),
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS option, event_id, {value} AS word FROM ({BLANKS_SQL}) b WHERE event_id % 4 <> 3"
+    for name, (_, value) in BLANK_OPTIONS.items()
+))
+def load_blank_options_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines under each option for blanks and empty fields; broken characters are refused by all of these."""
+    lines = _blank_lines(spark, sf_dir)
+    schema = T.StructType.fromDDL("event_id bigint, word string")
+    loaded = [
+        dl.good_rows(dl.parse_lines(lines, schema, dl.LoadOptions("|", **options))).select(F.lit(name).alias("option"), "event_id", "word")
+        for name, (options, _) in BLANK_OPTIONS.items()
+    ]
+    return reduce(DataFrame.unionByName, loaded)
+
+
+def _blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    kind = F.pmod("event_id", F.lit(4))
+    broken = F.concat("event_type", F.lit("\ufffd"), F.col("user_id").cast("string"))
+    padded = F.concat(F.lit("  "), "event_type", F.lit("  "))
+    word = F.when(kind == 0, padded).when(kind == 1, "   ").when(kind == 2, "").otherwise(broken)
+    return events.select(F.concat(F.col("event_id").cast("string"), F.lit("|"), word).alias("line"))
+
+
+@query(f"""
+    SELECT 'replaced' AS side, event_id, replace(word, chr(65533), '?') AS word FROM ({BLANKS_SQL}) b
+    UNION ALL SELECT 'refused', event_id, word FROM ({BLANKS_SQL}) b WHERE event_id % 4 = 3""")
+def load_invalid_characters_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken characters replaced, and refused with the line they stand in."""
+    lines = _blank_lines(spark, sf_dir)
+    schema = T.StructType.fromDDL("event_id bigint, word string")
+    replaced = dl.good_rows(dl.parse_lines(lines, schema, dl.LoadOptions("|", replace_invalid=True)))
+    errors = dl.load_errors(dl.parse_lines(lines, schema, dl.LoadOptions("|")), "events_copy")
+    key, word = (F.split_part("raw_line", F.lit("|"), F.lit(i)) for i in (1, 2))
+    refused = errors.filter(F.col("err_reason") == sc.INVALID_CHARACTERS).select(key.cast("bigint").alias("event_id"), word.alias("word"))
+    return replaced.select(F.lit("replaced").alias("side"), "*").unionByName(refused.select(F.lit("refused").alias("side"), "*"))
+
+
+LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", *DATE_LAYOUTS)
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_id % 9 IN (0, 1, 7, 8) THEN date_trunc('second', ts) ELSE date_trunc('day', ts)::TIMESTAMP END AS at,
+           CAST(ts AS DATE) = CAST(ts AS DATE) AS same_day
+    FROM events""")
+def load_date_layouts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments in nine layouts in one column, and their days in a second one, each told by its shape."""
+    events = table(spark, sf_dir, "events")
+    written = [F.when(F.pmod("event_id", F.lit(len(LAYOUTS))) == i, F.date_format("ts", f)) for i, f in enumerate(LAYOUTS)]
+    at = F.coalesce(*written)
+    lines = events.select(F.concat_ws("|", F.col("event_id").cast("string"), at, at).alias("line"))
+    parsed = dl.parse_lines(lines, T.StructType.fromDDL("event_id bigint, at timestamp_ntz, day date"), dl.LoadOptions("|"))
+    return dl.good_rows(parsed).select("event_id", "at", (F.col("day") == F.to_date("at")).alias("same_day"))
+
+
+@query(f"""
+    WITH good AS (SELECT event_id, CAST(f2 AS INTEGER) AS number FROM ({FIELDS_SQL}) f WHERE regexp_full_match(trim(f2), '[+-]?[0-9]+')),
+         bad AS (SELECT event_id FROM ({FIELDS_SQL}) f WHERE trim(f2) <> '' AND NOT regexp_full_match(trim(f2), '[+-]?[0-9]+'))
+    SELECT event_id, CAST(user_id AS INTEGER) AS number, (SELECT COUNT(*) > 0 FROM bad) AS refused FROM events
+    UNION ALL SELECT event_id, number, TRUE FROM good
+    UNION ALL SELECT event_id, NULL, TRUE FROM ({FIELDS_SQL}) f WHERE trim(f2) = ''""")
+def load_max_error_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with more errors than it may have leaves the table alone; one that may have them adds its good rows."""
+    schema = T.StructType.fromDDL("event_id bigint, number int")
+    events = table(spark, sf_dir, "events")
+    store = SnapshotStore(spark, shared_dir(spark, "max-error"))
+    store.replace("copy", events.select("event_id", F.col("user_id").cast("int").alias("number")))
+    folder = shared_dir(spark, "max-error-text")
+    dl.write_delimited(_fields(spark, sf_dir).select("event_id", "f2"), folder)
+    refused = False
+    try:
+        copy_into(store, "copy", folder, schema, dl.LoadOptions("|", max_error=5), dedupe=False)
+    except dl.LoadError:
+        refused = True
+    copy_into(store, "copy", folder, schema, dl.LoadOptions("|", max_error=1 << 40), dedupe=False)
+    return store.read("copy").withColumn("refused", F.lit(refused))

@@ -375,7 +375,7 @@ def error_summary(errors: DataFrame) -> DataFrame:
 
 def check_max_error(errors: DataFrame, max_error: int) -> None:
     """Refuse a load whose errors reach the limit; 0 and 1 both refuse the first one."""
-    limit = max(max_error, 1)
+    limit = min(max(max_error, 1), 2**31 - 1)
     # Counting stops at the limit, whatever the log holds.
     if errors.limit(limit).count() >= limit:
         raise LoadError(f"the load has reached {limit} error(s)")

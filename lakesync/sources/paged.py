@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime, timezone
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,12 @@ PAGE_SCHEMA = "resource string, position string, body string"
 
 
 # Without these a read cannot know where it ends.
-_REQUIRED = {"offset": ("total",), "count": ("pages",), "number": ("data_key", "page_size")}
+_REQUIRED = {
+    "offset": ("total",),
+    "count": ("pages",),
+    "number": ("data_key", "page_size"),
+    "ranges": ("until", "data_key", "time_key"),
+}
 
 
 def fetch_function(name: str) -> Callable[[dict], dict]:
@@ -32,8 +38,10 @@ def fetch_function(name: str) -> Callable[[dict], dict]:
 class PageSlice(InputPartition):
     """A page to request or, with a successor rule, the first page of a chain."""
 
-    def __init__(self, request: dict | None):
+    def __init__(self, request: dict | None, end: int | None = None):
         self.request = request
+        # Where the next range begins.
+        self.end = end
 
 
 def _record_count(page: dict, data_key: str | None) -> int:
@@ -46,10 +54,29 @@ def _dig(page: dict, path: str) -> object:
     return page
 
 
+def _has(page: dict, path: str) -> bool:
+    *parents, last = path.split(".")
+    place = _dig(page, ".".join(parents)) if parents else page
+    return isinstance(place, dict) and last in place
+
+
+def _seconds(moment: object) -> float:
+    """An epoch from a number or from text in ISO form, UTC if it names no zone."""
+    if isinstance(moment, (int, float)):
+        return moment
+    if not isinstance(moment, str):
+        raise ValueError(f"a record without a time: {moment!r}")
+    if moment.replace(".", "", 1).isdigit():
+        return float(moment)
+    told = datetime.fromisoformat(moment)
+    return (told if told.tzinfo else told.replace(tzinfo=timezone.utc)).timestamp()
+
+
 class PageReader(DataSourceReader):
     """Modes: ``offset`` and ``count`` know all pages and read them in parallel; ``number`` asks for
     pages until a short one, ``link`` follows the next link of each page, ``cursor`` continues from the
-    end time of each page. A chain is one task by nature, holding one page at a time.
+    end time of each page. A chain is one task by nature, holding one page at a time. ``ranges`` cuts the time up to ``until`` into
+    ``ranges`` chains, one task each, and is cut finer where records are dense.
     """
 
     def __init__(self, options: dict[str, str]):
@@ -63,7 +90,9 @@ class PageReader(DataSourceReader):
         self.next_key = options.get("next_key", "next_href")
         self.start = options.get("start", "0")
         self.until = options.get("until")
-        if self.mode not in ("offset", "count", "number", "link", "cursor"):
+        self.ranges = int(options.get("ranges", "16"))
+        self.time_key = options.get("time_key")
+        if self.mode not in ("offset", "count", "number", "link", "cursor", "ranges"):
             raise ValueError(f"unknown paging mode: {self.mode}")
         absent = [o for o in _REQUIRED.get(self.mode, ()) if o not in options]
         if absent:
@@ -79,22 +108,64 @@ class PageReader(DataSourceReader):
             return [PageSlice({"page": 1})]
         if self.mode == "cursor":
             return [PageSlice({"start_time": self.start})]
+        if self.mode == "ranges":
+            return [PageSlice({"start_time": a}, b) for a, b in self._ranges()]
         return [PageSlice({})]
 
+    def _ranges(self) -> list[tuple[int, int | None]]:
+        """(begin, end) of the ranges; the last one is open, as a chain's end is.
+
+        Half of them are equal parts of the time. A request at the begin of each tells how far its first page reaches, and so how many
+        it may have; the one that may have most is halved until there are as many as wanted, or all have one page.
+        """
+        start, until = int(self.start), int(self.until)
+        reach: dict[int, int | None] = {}
+
+        def pages(a: int, b: int) -> float:
+            if a not in reach:
+                page = fetch_function(self.fetch_name)({"resource": self.resource, "start_time": a})
+                following = self._following({"start_time": a}, page)
+                reach[a] = int(following["start_time"]) if following else None
+            return 1 if reach[a] is None or reach[a] >= b else (b - a) / max(reach[a] - a, 1)
+
+        first = max(1, self.ranges // 2)
+        cuts = sorted({start + max(until - start, 0) * i // first for i in range(first)})
+        parts = {a: b for a, b in zip(cuts, [*cuts[1:], max(until, start + 1)])}
+        while len(parts) < self.ranges:
+            a = max(parts, key=lambda x: pages(x, parts[x]))
+            if pages(a, parts[a]) <= 1 or parts[a] - a < 2:
+                break
+            middle = (a + parts[a]) // 2
+            parts[middle], parts[a] = parts[a], middle
+        ordered = sorted(parts)
+        return list(zip(ordered, [*ordered[1:], None]))
+
+    def _before(self, page: dict, end: int) -> dict:
+        """A page without the records that the next range has as well: those at its begin or later."""
+        kept = [r for r in page.get(self.data_key) or [] if _seconds(_dig(r, self.time_key)) < end]
+        return {**page, self.data_key: kept}
+
     def _following(self, request: dict, page: dict) -> dict | None:
         if self.mode == "number":
             return {"page": request["page"] + 1} if _record_count(page, self.data_key) >= self.size else None
         if self.mode == "link":
+            if not request and not _has(page, self.next_key):
+                raise ValueError(f"the first page has no {self.next_key}: name the key of the next link as next_key")
             link = _dig(page, self.next_key)
             return {"next": link} if link else None
-        if self.mode == "cursor":
+        if self.mode in ("cursor", "ranges"):
             end = page.get("end_time")
             full = page.get("count", self.size) >= self.size
             if end and str(end) == str(request["start_time"]):
-                if full and "count" in page:
+                known = "count" in page or self.data_key
+                count = page.get("count", _record_count(page, self.data_key))
+                if not known:
+                    raise ValueError(f"the cursor stays at {end}: a data_key must tell the last page from one too small for that second")
+                if count >= self.size:
                     raise ValueError(f"more records at {end} than a page holds: the cursor cannot pass them")
                 return None
-            done = not end or (self.until and int(end) >= int(self.until))
+            # The last of several ranges is open to the end, as one cursor without a bound is.
+            done = not end or (self.mode == "cursor" and self.until and int(end) >= int(self.until))
             return {"start_time": end} if full and not done else None
         return None
 
@@ -104,8 +175,13 @@ class PageReader(DataSourceReader):
         while request is not None:
             page = fetch({"resource": self.resource, **request})
             position = next(iter(request.values()), "first")
+            following = self._following(request, page)
+            if partition.end is not None:
+                page = self._before(page, partition.end)
+                if following and int(following["start_time"]) >= partition.end:
+                    following = None
             yield self.resource, str(position), json.dumps(page)
-            request = self._following(request, page)
+            request = following
 
 
 class PageStreamReader(DataSourceStreamReader):
@@ -165,6 +241,19 @@ def cursor_source(spark: SparkSession, fetch: str, start: int = 0, **options: ob
     return paged_source(spark, fetch, "cursor", start=start, **options)
 
 
+def cursor_ranges(
+    spark: SparkSession, fetch: str, start: int, until: int, data_key: str, time_key: str, ranges: int = 16, **options: object
+) -> DataFrame:
+    """The same export by ``ranges`` tasks, each with a part of the time from ``start`` to ``until``; the last goes on to the end.
+
+    ``time_key`` is the time by which the export is ordered, in each record, as an epoch or ISO text: where two ranges
+    meet, a page reaches over the border, and what lies behind it is left to the next range. Pages of one range may still share
+    records at their ends, as those of one cursor do.
+    """
+    more = {"until": until, "data_key": data_key, "time_key": time_key, "ranges": ranges}
+    return paged_source(spark, fetch, "ranges", start=start, **more, **options)
+
+
 def cursor_stream(spark: SparkSession, fetch: str, start: int = 0, **options: object) -> DataFrame:
     """The same export as a stream."""
     spark.dataSource.register(PageSource)

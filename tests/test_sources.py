@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 
+import fake_api
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from lakesync.sources import jdbc, paged, sheets
@@ -113,3 +115,44 @@ def test_bad_pages_are_not_passed_over(spark, body):
         paged.page_records(pages, "data", "struct<n:int>").collect()
     assert paged.page_records(pages, "data", "struct<n:int>", strict=False).count() == 1
     assert [r.position for r in paged.bad_pages(pages, "data").collect()] == ["2"]
+
+
+def records(pages):
+    return {(r["id"], r["at"]) for r in paged.page_records(pages, "results", "struct<id:int,at:int>").collect()}
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_ranges_give_the_records_of_the_chain(spark, ranges):
+    chain = paged.cursor_source(spark, "fake_api:bursts", 0, page_size=10, data_key="results")
+    pages = paged.cursor_ranges(spark, "fake_api:bursts", 0, 95_000, "results", "at", ranges, page_size=10)
+    assert records(pages) == records(chain) == {(i, t) for i, t in enumerate(fake_api.BURSTS)}
+    assert pages.rdd.getNumPartitions() == ranges
+    # No record comes from two ranges: only pages of one range share what stands at their ends.
+    by_range = pages.withColumn("part", F.spark_partition_id()).select("part", F.from_json("body", "results array<struct<id:int>>").alias("r"))
+    parts = by_range.select("part", F.explode("r.results.id").alias("id")).distinct().groupBy("id").count()
+    assert parts.filter("count > 1").count() == 0
+
+
+def test_ranges_are_finer_where_records_are_dense(spark):
+    read = paged.PageReader({"fetch": "fake_api:bursts", "mode": "ranges", "until": "95000", "data_key": "results", "time_key": "at", "page_size": "10", "ranges": "24"})
+    begins = [a for a, _ in read._ranges()]
+    assert sum(900 <= a <= 1100 for a in begins) >= 2 and read._ranges()[-1][1] is None
+    late = paged.cursor_ranges(spark, "fake_api:bursts", 94_000, 10, "results", "at", 4, page_size=10)
+    assert len(records(late)) == 10
+    with pytest.raises(ValueError, match="time_key"):
+        paged.PageReader({"fetch": "x:y", "mode": "ranges", "until": "1", "data_key": "d"})
+
+
+def test_chains_that_would_end_in_silence(spark):
+    with pytest.raises(Exception, match="next_key"):
+        paged.paged_source(spark, "fake_api:without_link", "link").collect()
+    for options in ({}, {"data_key": "results", "page_size": 10}):
+        with pytest.raises(Exception, match="cursor"):
+            paged.cursor_source(spark, "fake_api:stuck", 5, **options).collect()
+    assert paged.cursor_source(spark, "fake_api:stuck", 5, data_key="results", page_size=11).count() == 1
+
+
+def test_times_of_records():
+    assert paged._seconds("2024-01-01T00:00:00Z") == paged._seconds("2024-01-01 00:00:00") == paged._seconds("1704067200") == 1704067200
+    with pytest.raises(ValueError):
+        paged._seconds(None)
