@@ -89,6 +89,30 @@ def feed_organizations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.organizations(pages)
 
 
+@query("""
+    SELECT s_suppkey AS id, s_name AS name, 'a b' || s_nationkey AS details, '2024-01-02 03:04:05' AS created_at,
+           CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey % 2 = 0 END AS shared,
+           CASE WHEN s_suppkey % 5 = 0 THEN s_acctbal END AS balance,
+           CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) ELSE 'n' || s_nationkey END AS mixed,
+           '["x",' || s_nationkey || ']' AS tags
+    FROM supplier""")
+def feed_organizations_discovered_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that only some have, one with numbers and texts, and lists: all are found, typed by all their values."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey").cast("string")
+    text = F.concat_ws(
+        "",
+        F.lit('{"id":'), key.cast("string"), F.lit(',"name":"'), F.col("s_name"), F.lit('","details":"a, //b'), nation,
+        F.lit('","created_at":"2024-01-02T03:04:05Z"'),
+        F.when(key % 3 == 0, F.concat(F.lit(',"shared":'), (key % 2 == 0).cast("string"))),
+        F.when(key % 5 == 0, F.concat(F.lit(',"balance":'), F.format_string("%.2fe0", "s_acctbal"))),
+        F.concat(F.lit(',"mixed":'), F.when(key % 2 == 0, nation).otherwise(F.concat(F.lit('"n'), nation, F.lit('"')))),
+        F.concat(F.lit(',"tags":["x",'), nation, F.lit("]}")),
+    )
+    listed = table(spark, sf_dir, "supplier").groupBy(F.pmod(key, F.lit(7)).alias("page")).agg(F.concat_ws(",", F.collect_list(text)).alias("all"))
+    pages = listed.select(F.concat(F.lit('{"organizations":['), "all", F.lit("]}")).alias("body"))
+    return feeds.organizations_with_all_fields(pages)
+
+
 EVENT_SQL = {
     "child_events": "child_events",
     "id": "CAST(event_id AS VARCHAR)",

@@ -219,7 +219,7 @@ def _fraction_digits(text: Column) -> Column:
     return F.length(F.regexp_extract(text, r"[.]([0-9]*)", 1))
 
 
-def _fits_double(text: Column) -> Column:
+def fits_double(text: Column) -> Column:
     """Whether a number's text has no more digits than a double gives back."""
     digits = F.regexp_replace(F.regexp_replace(text, r"[eE].*", ""), r"[^0-9]", "")
     return F.length(F.ltrim(digits, F.lit("0"))) <= _DOUBLE_DIGITS
@@ -234,7 +234,7 @@ def error_profile(errors: DataFrame, digits: bool = False) -> DataFrame:
     value = F.col("raw_field_value")
     kind = F.regexp_extract("err_reason", r"^([^,]*)", 1)
     counts = [
-        F.coalesce(F.bool_and(_fits_double(value)), F.lit(False)).alias("double_safe"),
+        F.coalesce(F.bool_and(fits_double(value)), F.lit(False)).alias("double_safe"),
         F.coalesce(F.bool_and(~value.rlike("[eE]")), F.lit(False)).alias("no_exponent"),
         F.max(_whole_digits(value)).alias("whole_digits"),
         F.max(_fraction_digits(value)).alias("fraction_digits"),
@@ -395,7 +395,7 @@ def _digits_and_kind(text: Column, t: Column, bare: Column) -> Column:
 
     def safe(yes: int, no: int) -> Column:
         # A text this short cannot have too many digits.
-        return F.when((F.length(t) <= _DOUBLE_DIGITS) | _fits_double(text), F.lit(yes)).otherwise(F.lit(no))
+        return F.when((F.length(t) <= _DOUBLE_DIGITS) | fits_double(text), F.lit(yes)).otherwise(F.lit(no))
 
     whole = F.when(size <= _DOUBLE_DIGITS, _SHORT).when((size <= 18) | t.try_cast("bigint").isNotNull(), _LONG).otherwise(_LONGER)
     before = size - (F.length(t) - point) - 1 - zero

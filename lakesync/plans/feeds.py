@@ -31,7 +31,7 @@ from lakesync.operators.shape import (
 from lakesync.plans.distinct import append_distinct
 from lakesync.plans.publish import SnapshotStore
 from lakesync.session import shared_dir
-from lakesync.sources.paged import page_records
+from lakesync.sources.paged import discovered_records, page_records
 
 # The columns of each feed.
 TICKET_COLUMNS = (
@@ -104,6 +104,7 @@ TICKET_NUMBERS = (
     "requester_wait_time_in_minutes",
     "resolution_time",
 )
+# The columns of users.
 USER_COLUMNS = (
     "active",
     "alias",
@@ -139,6 +140,7 @@ USER_COLUMNS = (
     "user_fields",
     "verified",
 )
+# The columns of organisations.
 ORGANIZATION_COLUMNS = (
     "created_at",
     "deleted_at",
@@ -156,6 +158,7 @@ ORGANIZATION_COLUMNS = (
     "updated_at",
     "url",
 )
+# The columns of ticket events.
 EVENT_COLUMNS = (
     "child_events",
     "created_at",
@@ -241,6 +244,22 @@ def organizations(pages: DataFrame) -> DataFrame:
     return clean_organizations(dedupe_latest(_landed(records, "organizations"), "id", "updated_at"))
 
 
+def organizations_with_all_fields(pages: DataFrame) -> DataFrame:
+    """All organisations, newest version of each, with every field that any of them has in the type its values need.
+
+    Texts are cleaned as in :func:`organizations`; absent values are NULL.
+    """
+    records = discovered_records(pages, "organizations")
+    times = [c for c in ("created_at", "deleted_at", "updated_at") if c in records.columns]
+    cleaned = records.withColumns({c: iso_to_space(F.col(c)) for c in times})
+    if "details" in records.columns:
+        cleaned = cleaned.withColumn("details", strip_commas_slashes(F.col("details")))
+    if "id" not in records.columns:
+        return cleaned
+    newest = "updated_at" if "updated_at" in records.columns else "id"
+    return dedupe_latest(_landed(cleaned, "organizations"), "id", newest)
+
+
 def ticket_events(pages: DataFrame) -> DataFrame:
     """All ticket events, each once."""
     records = page_records(pages, "ticket_events", text_record(EVENT_COLUMNS[:9]))

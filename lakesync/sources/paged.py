@@ -13,11 +13,14 @@ from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from lakesync.operators.schema import fits_double
+from lakesync.session import shared_dir
+
 PAGE_SCHEMA = "resource string, position string, body string"
 
 
@@ -277,6 +280,50 @@ def page_records(pages: DataFrame, data_key: str, record: str | T.StructType, st
     return rows.select("record.*") if isinstance(rows.schema["record"].dataType, T.StructType) else rows
 
 
+def discovered_schema(records: DataFrame, column: str = "record") -> T.StructType:
+    """The fields that occur in a column of JSON objects (variants), with types that hold all their values.
+
+    One aggregate merges the shapes of all records. A field with values of several kinds is text, as is one without any; lists and
+    objects become JSON text. Numbers with and without exponents are double where a double keeps the digits of all of them, else text.
+    """
+    told = records.agg(F.schema_of_variant_agg(column).alias("shape")).first()["shape"]
+    if told in (None, "VOID"):
+        return T.StructType()
+    if not told.startswith("OBJECT<"):
+        raise ValueError(f"records are no objects: {told[:100]}")
+    shape = T._parse_datatype_string(told.replace("OBJECT<", "STRUCT<"))
+    doubles = [f.name for f in shape.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    safe: dict[str, bool] = {}
+    if doubles:
+        fit = [F.bool_and(fits_double(_field(column, n, "string"))).alias(f"d{i}") for i, n in enumerate(doubles)]
+        safe = dict(zip(doubles, records.agg(*fit).first()))
+    fields = []
+    for f in shape.fields:
+        scalar = isinstance(f.dataType, (T.StringType, T.BooleanType, T.IntegralType, T.DecimalType))
+        kept = scalar or safe.get(f.name)
+        fields.append(T.StructField(f.name, f.dataType if kept else T.StringType()))
+    return T.StructType(fields)
+
+
+def _field(column: str, name: str, kind: str) -> Column:
+    if '"' not in name:
+        return F.try_variant_get(column, f'$["{name}"]', kind)
+    # A path has no way to write such a name.
+    return F.try_variant_get(F.try_element_at(F.col(column).cast("map<string,variant>"), F.lit(name)), "$", kind)
+
+
+def discovered_records(pages: DataFrame, data_key: str) -> DataFrame:
+    """The records of JSON pages with every field that any of them has, in the types of :func:`discovered_schema`.
+
+    Pages are parsed once: their records are written to shared storage, and shapes and fields are read from there.
+    """
+    folder = shared_dir(pages.sparkSession, f"records-{data_key}")
+    page_records(pages, data_key, "variant").write.parquet(folder)
+    records = pages.sparkSession.read.schema("record variant").parquet(folder)
+    schema = discovered_schema(records)
+    return records.select(*[_field("record", f.name, f.dataType.simpleString()).alias(f.name) for f in schema.fields])
+
+
 def bad_pages(pages: DataFrame, data_key: str) -> DataFrame:
     """The pages that :func:`page_records` refuses."""
     return pages.filter(F.from_json("body", f"`{data_key}` array<string>")[data_key].isNull())

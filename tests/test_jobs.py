@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakesync.operators import checks
 from lakesync.plans import feeds, publish, replicate
 from lakesync.plans.changed import ChangedTable
+from lakesync.sources import paged
 from lakesync.spec import HighWaterMark, TableSpec
 from lakesync.streaming.upsert import stream_upsert
 
@@ -353,6 +354,25 @@ def test_organizations_without_id_stay_apart(spark):
     assert sorted((r["id"], r["name"]) for r in out.collect()) == [("", "a"), ("", "b"), ("1", "c")]
 
 
+def test_fields_are_discovered(spark):
+    bodies = [
+        '{"organizations":[{"id":1,"a b":"x","n":1,"d":1.5e3,"w":12345678901234567890.5,"none":null,"o":{"k":[1]}},{"n":2.25,"m":1}]}',
+        '{"organizations":[{"id":2,"m":"t","d":7,"w":1e300,"q\\"":true},{"id":1,"n":3}]}',
+    ]
+    pages = spark.createDataFrame([(b,) for b in bodies], "body string")
+    found = paged.discovered_records(pages, "organizations")
+    kinds = dict(found.dtypes)
+    assert kinds["id"] == "bigint" and kinds["d"] == "double" and kinds["q\""] == "boolean"
+    assert kinds["a b"] == kinds["m"] == kinds["none"] == kinds["o"] == kinds["w"] == "string" and kinds["n"].startswith("decimal")
+    got = found.select("id", "m", "o", F.col("n").cast("double"), "w").collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(
+        map(str, [(1, None, '{"k":[1]}', 1.0, "12345678901234567890.5"), (None, "1", None, 2.25, None), (2, "t", None, None, "1.0E300"), (1, None, None, 3.0, None)])
+    )
+    assert feeds.organizations_with_all_fields(pages).count() == 3
+    nothing = spark.createDataFrame([('{"organizations":[]}',)], "body string")
+    assert feeds.organizations_with_all_fields(nothing).count() == 0
+
+
 def test_sheet_is_refused_without_publishing(spark, store):
     sheet = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b")], "n string, s string")
     feeds.sheet_to_table(store, "sheet", sheet).assert_ok()
