@@ -10,7 +10,8 @@ Queries meet rows by (leaf, block of rows, block of queries); blocks are sized f
 many small tasks' work. Each block pair gives the best k of its own; a window keeps the best k of a query. Scores are summed in one
 order of components in double precision, so equal vectors have equal scores, and ties go to the smaller id.
 
-Vectors that are null, zero or hold a null or non-finite component, or have another length than most, take no part; neither do rows without an id. Rows that repeat an id
+Vectors that are null, zero or hold a null or non-finite component take no part; neither do rows without an id. Vectors meet those of their own length; each length
+is a search of its own. Rows that repeat an id
 are candidates each, save for the query's own id. A query with fewer than k candidates in the visited leaves gets what all leaves
 have. An empty table gives an empty table. Other columns are not read.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,9 +43,7 @@ def usable(vectors: DataFrame, ids: str, vector: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     sound = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = vectors.select(F.col(ids).cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & sound)
-    rows = rows.filter(F.exists("v", lambda x: x != 0))
-    most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("v") == (most["n"] if most else 0))
+    return rows.filter(F.exists("v", lambda x: x != 0))
 
 
 def matrix(column: pa.Array | pd.Series) -> np.ndarray:
@@ -227,20 +227,23 @@ def nearest(
     recall: float = 0.97,
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds; ``score`` is the cosine."""
-    spark = vectors.sparkSession
-    asked = vectors.filter(is_query)
-    rows = usable(vectors, ids, vector)
+    """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds, among rows of the query's length; ``score`` is the cosine."""
+    rows, asked = usable(vectors, ids, vector), usable(vectors.filter(is_query), ids, vector)
+    lengths = sorted(r[0] for r in asked.select(F.size("v")).distinct().collect())
+    found = [_nearest_of_length(*(df.filter(F.size("v") == n) for df in (rows, asked)), k, recall, sample) for n in lengths]
+    nothing = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found) if found else nothing
+
+
+def _nearest_of_length(rows: DataFrame, queries: DataFrame, k: int, recall: float, sample: int) -> DataFrame:
+    spark = rows.sparkSession
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()
-    if not len(drawn):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     m, m_ids = unit(matrix(drawn["v"])), drawn["id"].to_numpy()
     held = max(1, min(TRIALS, len(m) // 4))
     tree = fit_tree(m[held:] if len(m) > held else m)
     shared = spark.sparkContext.broadcast(tree)
     placed = stored(rows.mapInArrow(_put_in_leaves(shared), "id long, v array<double>, leaf long"), "leaves")
     most = calibrate(tree, placed, m_ids[:held], m[:held], k, recall)
-    queries = usable(asked, ids, vector)
     ordered = queries.mapInArrow(_visits(shared, most), "id long, v array<double>, leaves array<long>")
     visits = stored(ordered.select("id", "v", F.explode("leaves").alias("leaf")), "visits")
     found = stored(_search(placed, visits, k), "nearest")

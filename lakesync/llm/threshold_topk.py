@@ -9,14 +9,17 @@ Rows are dealt to blocks by their id's hash and queries to blocks of their own;
 whatever the data look like, and a window keeps the best k of a query. Depths double, so a block costs at most twice its entries.
 
 Components are floor(scale * x), x in double precision. Scores are exact: where doubles might not hold them, a block is scored whole in
-whole numbers, and a score that is no long is an error. Vectors that are null, empty or hold a
-null or non-finite component, or have another length than most, take no part; neither do rows without an id. Equal scores go to the smaller id.
+whole numbers, and a score that is no long is an error, as is a component that is infinite when scaled. Vectors that are null, empty or hold a
+null or non-finite component take no part; neither do rows without an id. Vectors meet those of their own length; each length
+is a search of its own. Equal scores go to the smaller id.
 A query's candidates are all rows but those with its own id; with fewer than k, all are returned. An empty table gives an empty table.
 Other columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -33,11 +36,10 @@ def quantised(vectors: DataFrame, ids: str, vector: str, scale: int) -> DataFram
     """(id, v): whole-number components of the vectors that take part."""
     raw = F.col(vector).cast("array<double>")
     sound = F.forall(raw, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & (F.size(raw) > 0)
-    scaled = lambda x: F.lit(float(scale)) * x
+    told = F.concat(F.lit("a component times the scale is beyond a double, and its scores beyond a long: id "), F.col(ids).cast("string"))
+    scaled = lambda x: F.when(F.abs(F.lit(float(scale)) * x) == float("inf"), F.raise_error(told).cast("double")).otherwise(F.lit(float(scale)) * x)
     whole = F.transform(raw, lambda x: F.when(F.abs(scaled(x)) < _EXACT, F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
-    rows = vectors.filter(F.col(ids).isNotNull() & sound).select(F.col(ids).cast("long").alias("id"), whole.alias("v"))
-    most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("v") == (most["n"] if most else 0))
+    return vectors.filter(F.col(ids).isNotNull() & sound).select(F.col(ids).cast("long").alias("id"), whole.alias("v"))
 
 
 class SortedLists:
@@ -129,11 +131,16 @@ def _search(rows: DataFrame, queries: DataFrame, blocks: int, query_blocks: int,
 def top_k(
     vectors: DataFrame, is_query: Column, ids: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds."""
+    """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds, among rows of the query's length."""
     rows = stored(quantised(vectors, ids, vector, scale), "whole")
     asked = stored(quantised(vectors.filter(is_query), ids, vector, scale), "asked")
-    if asked.isEmpty():
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    lengths = sorted(r[0] for r in asked.select(F.size("v")).distinct().collect())
+    found = [_top_of_length(*(df.filter(F.size("v") == n) for df in (rows, asked)), k) for n in lengths]
+    nothing = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return reduce(DataFrame.unionByName, found) if found else nothing
+
+
+def _top_of_length(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     blocks, query_blocks = -(-rows.count() // ROWS), -(-asked.count() // QUERIES)
     unbounded = asked.withColumn("floor", F.lit(float("-inf")))
     # A k-th score reached by k rows of one block is a lower bound of the k-th score over all.

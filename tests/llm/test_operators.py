@@ -235,6 +235,29 @@ def test_threshold_odd_rows(spark):
     assert threshold_topk.top_k(odd.limit(0), F.lit(True)).count() == 0
 
 
+def test_vectors_meet_those_of_their_length(spark):
+    """Rows of three lengths, queries mostly of another than most rows; columns of other names are ignored."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=2 + i % 3 if i % 50 else 2 + i // 50 % 2).round(3).tolist(), 1.0, "x") for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double, rank string")
+    every = {i: np.array(v) for i, v, _, _ in rows}
+    for search, measure in (
+        (lambda: ann_tree.nearest(frame, F.col("vec_id") % 50 == 0), lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b))),
+        (lambda: threshold_topk.top_k(frame, F.col("vec_id") % 50 == 0), lambda a, b: np.floor(256 * a) @ np.floor(256 * b)),
+    ):
+        got = search().collect()
+        for q in range(0, 400, 50):
+            like = [(-measure(every[q], v), i) for i, v in every.items() if i != q and len(v) == len(every[q])]
+            mine = [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+            assert len(mine) == 5 and np.allclose([x for x, _ in mine], [x for x, _ in sorted(like)[:5]], atol=1e-9)
+
+
+def test_components_beyond_a_long_are_told(spark):
+    frame = spark.createDataFrame([(0, [1e306]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a long: id 0"):
+        threshold_topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+
+
 def test_threshold_scores_of_large_components(spark):
     """Beyond 2^20 and 2^45, where doubles do not hold every score."""
     rng = np.random.default_rng(9)
