@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesync.functions.casting import FALSE_WORDS, NO_NUMBERS, TRUE_WORDS, cast_text, is_text
+from lakesync.functions.casting import FALSE_WORDS, TRUE_WORDS, cast_text, is_text
 from lakesync.functions.names import column_name
 from lakesync.functions.text import NUMBER_TEXT, type_base_name
 
@@ -415,7 +415,7 @@ def _digits_and_kind(text: Column, t: Column, bare: Column) -> Column:
             ),
         )
         .when(text.rlike(r"^\s*(?:[+]|-?0[0-9])") & text.rlike(NUMBER_TEXT), found(F.lit(_CODE)))
-        .when(text.rlike(NUMBER_TEXT) | t.isin(*NO_NUMBERS), found(safe(_NUMBER, _LONG_NUMBER)))
+        .when(text.rlike(NUMBER_TEXT), found(safe(_NUMBER, _LONG_NUMBER)))
         .when(F.lower(t).isin(*TRUE_WORDS, *FALSE_WORDS), found(F.lit(_TRUTH)))
         .when(date_like, found(F.lit(_MOMENT)))
         .when(text.isNotNull(), found(F.lit(_TEXT)))

@@ -14,7 +14,7 @@ from lakesync.operators.merge import keep_latest, reconcile_latest, upsert
 from lakesync.operators.schema import store_as_text
 from lakesync.operators.watermark import read_high_water_mark, since_high_water
 from lakesync.plans.changed import ChangedTable
-from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, publish_swap, side_by_side
+from lakesync.plans.publish import PromotionResult, SnapshotStore, apply_post_load, promote_tables, side_by_side
 from lakesync.plans.touched import merge_touched
 from lakesync.session import shared_dir
 from lakesync.sources.jdbc import JdbcSource, Slices, jdbc_incremental_scan, jdbc_table_scan
@@ -92,22 +92,28 @@ def _staged(spark: SparkSession, spec: TableSpec, since: datetime | None) -> Dat
     return spark.read.parquet(folder)
 
 
-def full_import(store: SnapshotStore, specs: Sequence[TableSpec], on_empty: str = "replace") -> list[TableResult]:
+def full_import(
+    store: SnapshotStore, specs: Sequence[TableSpec], on_empty: str = "replace", workers: int = 8
+) -> list[TableResult]:
     """Copy whole tables and switch all of them together.
 
     An empty source empties its target, or leaves it alone with ``on_empty="skip"``.
     """
-    frames, results = {}, []
-    for spec in specs:
+
+    def staged(spec: TableSpec) -> tuple[str, DataFrame, bool]:
         df = apply_post_load(spec.extract(store.spark, None), spec.post_load)
-        if on_empty == "skip" and df.isEmpty():
-            results.append(TableResult(spec.name, "unchanged"))
-            continue
-        frames[spec.name] = df
-        results.append(TableResult(spec.name, "full"))
-    if frames:
-        publish_swap(store, frames, {s.name: s.key_columns[:1] for s in specs if s.keys})
-    return results
+        path = store.stage(spec.name, df, spec.key_columns[:1] if spec.keys else None)
+        # Told from what was written: the source is asked once.
+        return path, df, on_empty == "skip" and store.spark.read.schema(df.schema).parquet(path).isEmpty()
+
+    found = side_by_side(store.spark, staged, specs, workers)
+    kept = {s.name: (path, df) for s, (path, df, skipped) in zip(specs, found) if not skipped}
+    if kept:
+        store.switch({t: path for t, (path, _) in kept.items()}, {t: df.schema for t, (_, df) in kept.items()})
+    for path, _, skipped in found:
+        if skipped:
+            store.discard(path)
+    return [TableResult(s.name, "full" if s.name in kept else "unchanged") for s in specs]
 
 
 def _merge_import(store: SnapshotStore, spec: TableSpec, merge: Merge) -> TableResult:
@@ -233,7 +239,7 @@ def replicate(
     """Everything: upserts, full copies, promotion of the upserted tables, validation against sources.
 
     ``sources`` holds the source side of tables to validate; ``now`` is the moment freshness is judged at. A table
-    whose upsert fails is reported, and not promoted.
+    whose upsert fails is reported, and not promoted. Full copies that fail are reported together, since they switch together.
     """
     result = ReplicationResult()
     try:
@@ -242,7 +248,10 @@ def replicate(
         result.tables += some.results
     done = {t.table for t in result.tables if t.error is None}
     incremental = [s for s in incremental if s.name in done]
-    result.tables += full_import(public, full)
+    try:
+        result.tables += full_import(public, full)
+    except Exception as failure:  # noqa: BLE001 - the upserts are published, so their results are due
+        result.tables += [TableResult(s.name, "failed", error=f"{type(failure).__name__}: {failure}") for s in full]
     by_name = {s.name: s for s in incremental}
     result.promoted = promote_tables(
         store,

@@ -35,6 +35,8 @@ PLACE = "_place"
 # Put behind every line as one more field: where it lands tells how many fields the line has.
 _END = "\u0001\u0002"
 _WRITTEN_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# What is written for doubles that are no finite numbers.
+NO_NUMBERS = ("NaN", "Infinity", "-Infinity")
 _REPLACEMENT = "�"
 
 _ERROR_TYPE = (
@@ -119,7 +121,10 @@ def _stored(c: Column, kind: T.DataType, options: LoadOptions) -> Column:
             c = F.replace(c, F.lit(_REPLACEMENT), F.lit("?"))
         width = text_width(kind)
         return F.substring(c, 1, width) if width and options.truncate_columns else c
-    return cast_text(c, kind, options.date_layouts)
+    value = cast_text(c, kind, options.date_layouts)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(c.isin(*NO_NUMBERS), c.try_cast(kind)).otherwise(value)
+    return value
 
 
 def _failures(t: Column, v: Column, kind: T.DataType, options: LoadOptions) -> list[tuple[str, Column]]:

@@ -259,6 +259,31 @@ def test_one_failing_table_of_three(spark, store):
     assert content(store.read("a")) == content(store.read("c")) == FIRST
 
 
+def test_failing_full_copies_are_reported_beside_the_upserts(spark, store, tmp_path):
+    def broken(*_):
+        raise OSError("unreachable")
+
+    mark = HighWaterMark("ts")
+    good = TableSpec("t", "id", mark, source(spark, FIRST, mark=mark))
+    full = [TableSpec("w", "id", extract=source(spark, FIRST)), TableSpec("b", "id", extract=broken)]
+    public = publish.SnapshotStore(spark, str(tmp_path / "public"))
+    done = replicate.replicate(store, public, full, [good], {"t": frame(spark, FIRST)}, at(2))
+    assert [(t.table, t.action) for t in done.tables] == [("t", "bootstrap"), ("w", "failed"), ("b", "failed")]
+    assert not done.ok and content(public.read("t")) == FIRST and not public.exists("w")
+
+
+def test_an_empty_source_is_asked_once(spark, store):
+    asked = []
+
+    def extract(*_):
+        asked.append(1)
+        return frame(spark, [])
+
+    store.replace("t", frame(spark, FIRST))
+    assert replicate.full_import(store, [TableSpec("t", "id", extract=extract)], "skip")[0].action == "unchanged"
+    assert asked == [1] and content(store.read("t")) == FIRST
+
+
 def test_without_sources_nothing_is_validated(spark, store, tmp_path):
     spec = TableSpec("t", "id", HighWaterMark("ts"), source(spark, FIRST, mark=HighWaterMark("ts")))
     done = replicate.replicate(store, publish.SnapshotStore(spark, str(tmp_path / "public")), [], [spec])
