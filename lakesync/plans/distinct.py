@@ -30,11 +30,7 @@ _HASH, _BITS, _FOLDER, _WORDS, _WORD = "__hash", "__bits", "__folder", "__words"
 def _place(h: Column, shift: int) -> Column:
     """A word with one bit set, named by six bits of a hash."""
     at = F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63).cast("bigint")).cast("int")
-    return F.element_at(F.array(*[F.lit(_signed(1 << i)).cast("bigint") for i in range(64)]), at + 1)
-
-
-def _signed(n: int) -> int:
-    return n - (1 << 64) if n >= 1 << 63 else n
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
 
 
 def _hashed(df: DataFrame) -> DataFrame:
