@@ -1,12 +1,13 @@
 """Sharding by histogram sort: shards are ranges of one key, cut so that their bytes come out nearly equal.
 
-The key is 64 bits: 40 of the text's hash, then 24 of the id's, so equal texts lie side by side, and even a group of copies larger than a shard
-can be cut. Splitters are found by counting: every round counts the exact bytes and rows below a set of candidate keys
+The key is 64 bits: 40 of the text's hash, then 24 of a hash of the id and the row's own place, so equal texts lie side by side, and even a group of
+copies larger than a shard can be cut, also where all its rows are alike. A row's place is its file and number there; where the rows do not come straight
+from files that tell it, they are written once with a number each, and both passes read that. Splitters are found by counting: every round counts the exact bytes and rows below a set of candidate keys
 in all partitions, then probes finer inside the interval where a target lies, until each splitter is within its tolerance of
 its target or its interval is a single key. Only counts per candidate reach the driver, a few thousand in each round. Then rows are exchanged once, into pieces of shards that are
 ranges themselves; a row's slot is the number of rows before its piece, known from the counts, plus its place in it.
 
-Null texts have size 1 like empty ones. A null id hashes as null. Rows with equal text and equal id have the same key and stay in one piece. An empty table gives
+Null texts have size 1 like empty ones. A null id hashes as null. Repeated rows are told apart by their place and spread like others. An empty table gives
 an empty table. Input columns with the name of an output column are replaced.
 """
 
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +29,20 @@ PROBES = 63
 _MADE = {"size", "shard", "slot"}
 
 
-def shard_key(ids: str, text: str) -> Column:
-    high = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(~((1 << 24) - 1)))
-    return high.bitwiseOR(F.xxhash64(F.col(ids)).bitwiseAND(F.lit((1 << 24) - 1)))
+def placed(docs: DataFrame, ids: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``__place``: a hash of the id and of where the row stands, the same whenever it is read again."""
+    where = ("_metadata.file_path", "_metadata.row_index")
+    try:
+        return docs.select(*keep, F.xxhash64(ids, *where).alias("__place"))
+    except AnalysisException:  # not rows of files that number them
+        numbered = stored(docs.select(*keep, F.monotonically_increasing_id().alias("__row")), "rows")
+        return numbered.select(*keep, F.xxhash64(ids, "__row").alias("__place"))
+
+
+def shard_key(text: str) -> Column:
+    low = (1 << 24) - 1
+    high = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(~low))
+    return high.bitwiseOR(F.col("__place").bitwiseAND(F.lit(low)))
 
 
 def _histogram(probes: np.ndarray):
@@ -116,9 +129,10 @@ def shard_by_bytes(
     all shards together one piece per shuffle partition.
     """
     spark = docs.sparkSession
-    kept = docs.drop(*_MADE)
+    columns = [c for c in docs.columns if c not in _MADE]
+    kept = placed(docs, ids, columns)
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 1
-    keys = stored(kept.select(shard_key(ids, text).alias("key"), size.alias("size")), "keys")
+    keys = stored(kept.select(shard_key(text).alias("key"), size.alias("size")), "keys")
     if pieces_per_shard is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         heavy = (keys.agg(F.sum("size")).first()[0] or 0) // (64 << 20) // shards
@@ -127,11 +141,11 @@ def shard_by_bytes(
     firsts = np.concatenate(([0], below))
     bounds = firsts[:: pieces_per_shard]
     offsets = [int(n - bounds[i // pieces_per_shard]) for i, n in enumerate(firsts)]
-    marked = kept.withColumn("size", size).withColumn("__key", shard_key(ids, text))
+    marked = kept.withColumn("size", size).withColumn("__key", shard_key(text))
     dealt = marked.mapInArrow(_assign(cuts), schema_with(marked, __piece="int"))
     # One exchange, by piece. The offsets are two literal arrays with an entry per piece.
     shard = F.element_at(F.lit([i // pieces_per_shard for i in range(len(offsets))]), F.col("__piece") + 1)
     offset = F.element_at(F.lit(offsets).cast("array<long>"), F.col("__piece") + 1)
-    place = F.row_number().over(Window.partitionBy("__piece").orderBy("__key", ids))
+    place = F.row_number().over(Window.partitionBy("__piece").orderBy("__key", "__place"))
     numbered = dealt.withColumn("slot", offset + place - 1).withColumn("shard", shard.cast("int"))
-    return numbered.select(*kept.columns, "size", "shard", "slot")
+    return numbered.select(*columns, "size", "shard", "slot")
