@@ -5,10 +5,10 @@ languages whose bit is one from the others: a naive Bayes log-odds for every n-g
 gives each bit a margin, the mean log-odds of its n-grams; the loss of a language is the sum over bits of log(1 + exp(-margin
 times the sign its codeword has there)), and the language with the least loss is predicted.
 
-Training counts are added up inside each task, then by key; only one table of ``BUCKETS`` counts per language reaches the driver.
-Its size depends on the number of languages, which is bounded by ``MOST_LANGUAGES``, and not on the number of texts.
+Training counts are added up inside each task, then by key, and turned into log-odds by groups of buckets. The driver gets a total for each
+language, and a table of ``BUCKETS`` weights per bit, of which there are some ten times log2 of the languages; nothing there grows with the texts.
 
-A text that is null or has no letter is ``und`` with score 0. Texts of any length are read whole. Training rows without a language or
+A text that is null or has no letter (superscripts, fractions and numerals are none) is ``und`` with score 0. Texts of any length are read whole. Training rows without a language or
 without a letter teach nothing; without any training row, every text is ``und``. Ties between languages go to the name
 that sorts first. Repeated rows count as often as they occur. Input columns with the name of an output column are replaced.
 """
@@ -21,21 +21,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import add_columns, schema_with
+from lakesync.llm.common import add_columns, schema_with, small, stored
 
 UNDETERMINED = "und"
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
-MOST_LANGUAGES = 512
+# A task hands on its counts when it holds this many languages, and begins anew.
+HELD_LANGUAGES = 256
+_GROUPS = 64
 # Up to this many languages the code has every way to split them in two; beyond, this many times log2 random splits.
 EXHAUSTIVE = 6
 RANDOM_BITS = 10
 # Margins are stretched before the loss, so that a typical text lies on the curved part of it.
 SHARPNESS = 4.0
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _CHUNK = 1 << 20
 
@@ -110,42 +113,66 @@ class LanguageModel:
 
 
 def _count(text: str, lang: str):
+    def totals(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, into in counts.items():
+            some = np.flatnonzero(into)
+            yield pa.RecordBatch.from_pydict(
+                {"lang": pa.array([name] * len(some)), "bucket": pa.array(some.astype(np.int32)), "n": pa.array(into[some])}
+            )
+        counts.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             for t, name in zip(batch.column(text).to_pylist(), batch.column(lang).to_pylist()):
                 if name is None or not has_letter(t):
                     continue
-                if name not in counts and len(counts) >= MOST_LANGUAGES:
-                    raise ValueError(f"more than {MOST_LANGUAGES} languages")
+                if name not in counts and len(counts) >= HELD_LANGUAGES:
+                    yield from totals(counts)
                 into = counts.setdefault(name, np.zeros(BUCKETS, np.int64))
                 for buckets in ngram_buckets(t):
                     into += np.bincount(buckets, minlength=BUCKETS)
-        for name, into in counts.items():
-            some = np.flatnonzero(into)
-            yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array([name] * len(some)), "bucket": pa.array(some.astype(np.int32)), "n": pa.array(into[some])}
-            )
+        yield from totals(counts)
+
+    return run
+
+
+def _log_odds(languages: tuple[str, ...], sums: np.ndarray, code: np.ndarray):
+    """For applyInArrow: the log-odds of each bit for the buckets of a group, which are those with one remainder by ``_GROUPS``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        buckets = group.column("bucket").to_numpy()
+        first = int(buckets[0]) % _GROUPS
+        counts = np.zeros((BUCKETS // _GROUPS, len(languages)))
+        counts[buckets // _GROUPS, np.searchsorted(languages, group.column("lang").to_pylist())] = group.column("n").to_numpy()
+        # Languages weigh alike within a side, whatever the number of their texts.
+        shares = (counts + 0.5) / (sums + 0.5 * BUCKETS)
+        ones = (code > 0).astype(float)
+        means = shares @ (ones / ones.sum(axis=0)), shares @ ((1 - ones) / (1 - ones).sum(axis=0))
+        odds = (np.log(means[0]) - np.log(means[1])).astype(np.float32)
+        return pa.table(
+            {"bucket": pa.array(np.arange(first, BUCKETS, _GROUPS, dtype=np.int32)), "odds": pa.array(list(odds), pa.list_(pa.float32()))}
+        )
 
     return run
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
-    """A model from all rows of ``train`` with a language and a letter; one pass."""
+    """A model from all rows of ``train`` with a language and a letter; one pass over the texts."""
     found = train.select(text, lang).mapInArrow(_count(text, lang), "lang string, bucket int, n long")
-    sums = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = tuple(sorted(sums["lang"].unique()))
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts = np.zeros((len(languages), BUCKETS))
-    counts[np.searchsorted(languages, sums["lang"].to_numpy(str)) if len(sums) else [], sums["bucket"]] = sums["n"]
+    counts = stored(found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "ngrams")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = tuple(sorted(totals))
     code = codewords(len(languages))
-    # Languages weigh alike within a side, whatever the number of their texts.
-    shares = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True) if len(languages) else counts
     weights = np.zeros((BUCKETS, code.shape[1]), np.float32)
-    for bit in range(code.shape[1] if len(languages) > 1 else 0):
-        ones, others = shares[code[:, bit] > 0].mean(axis=0), shares[code[:, bit] < 0].mean(axis=0)
-        weights[:, bit] = np.log(ones) - np.log(others)
+    if len(languages) > 1:
+        sums = np.array([totals[name] for name in languages], float)
+        # Buckets that no text has weigh by the totals alone.
+        empty = pa.table({"bucket": pa.array([0], pa.int32()), "lang": pa.array(languages[:1]), "n": pa.array([0], pa.int64())})
+        weights[:] = _log_odds(languages, sums, code)(empty).column("odds")[0].as_py()
+        by_group = counts.groupBy(F.col("bucket") % _GROUPS)
+        for row in by_group.applyInArrow(_log_odds(languages, sums, code), "bucket int, odds array<float>").toLocalIterator():
+            weights[row["bucket"]] = row["odds"]
     return LanguageModel(languages, code, weights)
 
 
