@@ -15,6 +15,7 @@ from __future__ import annotations
 import array
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import schema_with, stored
+from lakesync.llm.common import schema_with, small, stored
 
-_CACHED = 300_000
+# Words that each process remembers, and their greatest length.
+_CACHED, _CACHED_LENGTH = 300_000, 64
 # A space after white space, which may be one token with it.
 _RUN_OF_SPACE = re.compile(r" (?<=\s\s)")
 _encoders: dict[str, Encoder] = {}
@@ -38,18 +40,39 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _kind(category: str) -> str:
+    return category[0] if category[0] in "LNZ" else "other"
+
+
+def _unsettled() -> re.Pattern:
+    """Characters whose kind (letter, number, space, other) is not the same in the first and last Unicode version that Python has.
+
+    Libraries with tables of different versions may split texts with them differently.
+    """
+    first, last = unicodedata.ucd_3_2_0.category, unicodedata.category
+    ranges, start = [], None
+    for code in range(128, 0x20001):
+        char = chr(code)
+        differs = code == 0x20000 or first(char) == "Cn" or _kind(first(char)) != _kind(last(char))
+        if differs and start is None:
+            start = code
+        elif not differs and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{code - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}\\U{start:08x}-\\U0010ffff]")
+
+
 class Encoder:
     """A tokenizers file, read as it is, with a faster way to the same ids for byte-level BPE files.
 
-    Where the file is byte-level BPE whose ids are its merge ranks, ids come from tiktoken over that file's own
-    vocabulary, and words that follow a single space are remembered, since no token crosses a space after a character that is not
-    white space; texts with other spaces are encoded whole. For other files, and for the first texts of each process as a check, the
-    tokenizers library encodes the text.
+    The faster way is tiktoken over the file's own vocabulary, and words that follow a single space are remembered, since no
+    token crosses a space after a character that is not white space. It is taken where the file proves that ids are the same
+    (:func:`same_merges`); characters that two Unicode tables may see differently, texts with special tokens, and other files go to
+    the tokenizers library.
     """
 
     # Fixed value: the split pattern of this byte-level family.
     PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-    CHECKED = 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -57,55 +80,80 @@ class Encoder:
         self.slow = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        self.fast = self._ranked(model)
         self.specials = [t["content"] for t in model.get("added_tokens", ())]
+        self.fast = self._ranked(model) if same_merges(self.slow, model) else None
+        self.unsettled = _unsettled()
         self.known: dict[str, bytes] = {}
-        self.left = self.CHECKED
 
     def _ranked(self, model: dict):
         import tiktoken
 
-        vocab, pre = model["model"].get("vocab", {}), model.get("pre_tokenizer") or {}
-        if model["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or model.get("normalizer"):
-            return None
-        special = {t["content"]: t["id"] for t in model.get("added_tokens", ())}
         back = _byte_of_char()
-        ranks = {bytes(back[c] for c in word): i for word, i in vocab.items() if word not in special}
-        return tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        words = model["model"]["vocab"].items()
+        ranks = {bytes(back[c] for c in word): i for word, i in words if word not in self.specials}
+        return tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def _exact(self, text: str) -> bytes:
         return array.array("I", self.slow.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _quick(self, text: str) -> bytes:
-        return array.array("I", self.fast.encode(text, allowed_special="all")).tobytes()
+        if self.unsettled.search(text):
+            return self._exact(text)
+        return array.array("I", self.fast.encode_ordinary(text)).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self.fast is None:
+        if self.fast is None or any(s in text for s in self.specials):
             return self._exact(text)
-        if _RUN_OF_SPACE.search(text) or any(s in text for s in self.specials):
-            ids = self._quick(text)
-        else:
-            first, *words = text.split(" ")
-            known = self.known
-            try:
-                ids = b"".join([known[w] for w in words])
-            except KeyError:
-                if len(known) > _CACHED:
-                    known.clear()
-                for w in words:
-                    if w not in known:
-                        known[w] = self._quick(" " + w)
-                ids = b"".join([known[w] for w in words])
-            ids = self._quick(first) + ids
-        if self.left:
-            self.left -= 1
-            if ids != self._exact(text):
-                self.fast = None
-                return self._exact(text)
+        if _RUN_OF_SPACE.search(text):
+            return self._quick(text)
+        first, *words = text.split(" ")
+        known = self.known
+        try:
+            ids = [known[w] for w in words]
+        except KeyError:
+            if len(known) > _CACHED:
+                known.clear()
+            ids = [known.get(w) or self._word(w) for w in words]
+        return self._quick(first) + b"".join(ids)
+
+    def _word(self, word: str) -> bytes:
+        ids = self._quick(" " + word)
+        if len(word) <= _CACHED_LENGTH:
+            self.known[word] = ids
         return ids
 
 
+def same_merges(tokenizer, model: dict) -> bool:
+    """Whether merging any two neighbours into the token of least id, as tiktoken does, gives the ids that the file's merges give.
+
+    It does if the file is byte-level BPE with its own split pattern and nothing besides, every byte is a token, ids rise in the order of
+    the merges, and the merges make of each token's bytes that one token. For then two neighbours that form a token without being one of the merges
+    cannot occur: inside that token's bytes the merges would have stopped there. The whole vocabulary is looked at, once for each process.
+    """
+    bpe, pre, post = model["model"], model.get("pre_tokenizer") or {}, model.get("post_processor") or {}
+    if bpe["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        return False
+    if post.get("type", "ByteLevel") not in ("ByteLevel", "TemplateProcessing") or model.get("normalizer"):
+        return False
+    if any(bpe.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return False
+    if model.get("truncation") or model.get("padding"):
+        return False
+    vocab = bpe["vocab"]
+    special = {t["content"] for t in model.get("added_tokens", ())}
+    chars = _byte_of_char()
+    made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in bpe["merges"]]
+    if any(a >= b for a, b in zip(made, made[1:])) or not all(c in vocab for c in chars):
+        return False
+    for word, i in vocab.items():
+        if word in special:
+            continue
+        if not all(c in chars for c in word) or [t.id for t in tokenizer.model.tokenize(word)] != [i]:
+            return False
+    return True
+
+
 def _encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
@@ -117,7 +165,7 @@ def _encode(path: str, text: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, at = _encoder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in small(batches, 256):
             ids = [encoder.encode(t or "") + end for t in batch.column(text).to_pylist()]
             counts = np.array([len(x) // 4 for x in ids], np.int64)
             starts = at + np.cumsum(counts) - counts
