@@ -1,6 +1,7 @@
 """Each corpus operator against brute force, and its defined results for nulls, empty and repeated rows and clashing columns."""
 
 import html as html_lib
+import json
 import random
 import zlib
 
@@ -138,6 +139,36 @@ def test_language_odd_rows(spark, odd):
     assert language_id.codewords(12).shape[0] == 12
 
 
+def test_signs_that_are_no_letters_are_undetermined(spark):
+    texts = ["²", "½ ①", "Ⅷ 12", "_ ٣", "é", "字"]
+    train = spark.createDataFrame([("some words", "en"), ("andere worte", "de")], "text string, lang string")
+    model = language_id.fit(train)
+    assert [model.predict(t)[0] == "und" for t in texts] == [True, True, True, True, False, False]
+
+
+def test_languages_beyond_those_a_task_holds(spark, monkeypatch):
+    rng = random.Random(3)
+    languages = [f"l{i:02d}" for i in range(20)]
+    words = {name: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(30)] for name in languages}
+    rows = [(" ".join(rng.choices(words[name], k=40)), name) for name in languages for _ in range(6)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    whole = language_id.fit(docs)
+    monkeypatch.setattr(language_id, "HELD_LANGUAGES", 4)
+    parted = language_id.fit(docs)
+    assert parted.languages == whole.languages == tuple(languages)
+    assert (parted.weights == whole.weights).all()
+    # Log-odds as they are defined, from all counts in one place.
+    counts = np.zeros((20, language_id.BUCKETS))
+    for text, name in rows:
+        for buckets in language_id.ngram_buckets(text):
+            np.add.at(counts[languages.index(name)], buckets, 1)
+    shares = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
+    for bit in range(whole.code.shape[1]):
+        ones, others = (shares[whole.code[:, bit] == sign].mean(axis=0) for sign in (1, -1))
+        assert np.allclose(whole.weights[:, bit], np.log(ones) - np.log(others), atol=1e-5)
+    assert sum(whole.predict(t)[0] == name for t, name in rows) >= 110
+
+
 def test_mixing_odd_rows(spark, odd):
     mixed = mixing.replicate_to_weights(odd, total=70.0)
     assert mixed.columns == [*odd.columns, "copy", "order_key"]
@@ -158,6 +189,35 @@ def test_quick_ids_are_the_tokenizers_ids_for_any_white_space():
     assert [t for t in texts if encoder.encode(t) != encoder._exact(t)] == []
 
 
+def test_the_quick_way_is_proved_from_the_file(tmp_path):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        model = json.load(f)
+
+    def quick(**changes) -> bool:
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        path.write_text(json.dumps(model | changes), encoding="utf-8")
+        return packing.Encoder(str(path)).fast is not None
+
+    assert quick()
+    merges = model["model"]["merges"]
+    assert not quick(model=model["model"] | {"merges": [merges[1], merges[0], *merges[2:]]})
+    assert not quick(model=model["model"] | {"merges": merges[:-1]})
+    assert not quick(pre_tokenizer=model["pre_tokenizer"] | {"add_prefix_space": True})
+    assert not quick(pre_tokenizer=model["pre_tokenizer"] | {"use_regex": False})
+    assert not quick(normalizer={"type": "Lowercase"})
+
+
+def test_quick_ids_of_characters_of_any_age():
+    encoder = packing.Encoder(tokenizer_path())
+    rng = random.Random(5)
+    new = "\u180e\u16f1\u1c90\ua7f5\U0001e900\U0001f9ff\U0001fae8\U00031350\u0378"
+    long = "x" * 5000
+    for _ in range(200):
+        text = "".join(rng.choice([*new, "a", "é", "字", "7", " ", "!", "<|endoftext|>", long, "\n"]) for _ in range(12))
+        assert encoder.encode(text) == encoder._exact(text), text
+    assert long not in encoder.known
+
+
 def test_packing_is_the_tokenizers_ids(spark, documents, odd):
     from tokenizers import Tokenizer
 
@@ -200,6 +260,36 @@ def test_shards(spark, documents, odd):
     assert histogram_sort.shard_by_bytes(odd.limit(0)).count() == 0
 
 
+def _shards_are_even(got, shards=16, slack=0.002):
+    sizes = [sum(r["size"] for r in got if r["shard"] == s) for s in range(shards)]
+    slots = [sorted(r["slot"] for r in got if r["shard"] == s) for s in range(shards)]
+    most = max(r["size"] for r in got)
+    assert all(abs(n - sum(sizes) / shards) <= most + slack * sum(sizes) / shards for n in sizes), sizes
+    assert all(each == list(range(len(each))) for each in slots)
+
+
+@pytest.mark.parametrize("from_files", [True, False])
+def test_shards_of_repeated_rows(spark, tmp_path, from_files):
+    rows = [(None, "x" * 199, 1)] * 400 + [(i, f"text {i}", 2) for i in range(400)] + [(7, None, 3)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slot int").repartition(5)
+    if from_files:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    else:
+        docs = docs.filter("slot < 3").union(docs.filter("slot = 3"))
+    got = histogram_sort.shard_by_bytes(docs).collect()
+    assert len(got) == len(rows) and "slot" in docs.columns
+    _shards_are_even(got)
+
+
+def test_shards_with_the_tolerance_of_the_query(spark, documents):
+    got = QUERIES["op6_histogram_sort"](spark, SF_DIR).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.select("doc_id", "text").collect()}
+    assert {r["doc_id"]: r["size"] for r in got} == {d: len(t.encode()) + 1 for d, t in texts.items()}
+    assert {r["doc_id"]: r["text_crc32"] for r in got} == {d: zlib.crc32(t.encode()) for d, t in texts.items()}
+    _shards_are_even(got)
+
+
 VECTORS = [
     (0, [1.0, 2.0, 0.5]), (50, [1.0, 2.0, 0.5]), (1, [2.0, 4.0, 1.0]), (2, None), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 2.0]),
     (5, [float("nan"), 1.0, 1.0]), (6, [-1.0, 0.3, 0.2]), (7, [1.0, 2.0]), (None, [1.0, 1.0, 1.0]), (8, [0.1, 0.0, 0.0]),
@@ -390,6 +480,18 @@ def test_a_dropped_element_is_no_slot_of_its_neighbours():
     assert [wrapper.text(p) for p in pages] == ["a\n\nb\n\nc", "a\n\nb", "a\n\nb"]
 
 
+def test_classes_are_read_by_their_noun():
+    kept = [
+        '<div class="layout has-sidebar"><article><p>Words of it.</p></article></div>',
+        '<article><div class="search-method"><p>Words of it.</p></div></article>',
+        '<div class="no-comments"><p>Words of it.</p></div>',
+        '<div class="menu-engineering"><p>Words of it.</p></div>',
+    ]
+    gone = ["sidebar", "share-buttons", "site-footer", "ad-slot-2", "comment-list", "related_posts", "x cookie-banner y"]
+    assert [wrappers.Wrapper(None).text(page) for page in kept] == ["Words of it."] * len(kept)
+    assert [wrappers.Wrapper(None).text(f'<p>A</p><div class="{g}"><p>B</p></div>') for g in gone] == ["A"] * len(gone)
+
+
 def test_text_of_a_dropped_inline_element_has_slots_of_its_own():
     link, share = "<p><a class=related>Read more</a></p>", "<span class=share>Share</span>"
     leak = [f"<article><p>a</p><p>b</p>{link}<p>c</p></article>"] * 3
