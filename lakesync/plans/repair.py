@@ -17,7 +17,7 @@ from lakesync.plans.distinct import append_distinct, replace_distinct
 from lakesync.plans.publish import SnapshotStore, apply_post_load
 from lakesync.session import shared_dir
 from lakesync.sources.delimited import ERRORS, LoadOptions, check_max_error, good_rows, load_delimited, load_errors
-from lakesync.sources.delimited import numbered, parse_placed, without_headers
+from lakesync.sources.delimited import numbered, parse_placed, repairable_errors, without_headers
 
 
 @dataclass
@@ -29,6 +29,31 @@ class LoadResult:
     schema: T.StructType
     load_id: str | None = None
     changes: list[SchemaChange] = field(default_factory=list)
+    # How often the files were parsed.
+    passes: int = 1
+
+
+def _staged(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, table: str, options: LoadOptions, judge_longer: bool = False
+) -> DataFrame:
+    """The lines of files, parsed once into shared storage and read from there."""
+    folder = shared_dir(spark, f"load-{table}")
+    read = load_delimited if options.multiline else parse_placed
+    wanted = read(spark, paths, schema, options, judge_longer)
+    wanted.write.parquet(folder)
+    return spark.read.schema(wanted.schema).parquet(folder)
+
+
+def _without_headers(parsed: DataFrame, options: LoadOptions) -> DataFrame:
+    return without_headers(parsed) if options.header and not options.multiline else parsed
+
+
+def _result(
+    parsed: DataFrame, schema: T.StructType, table: str, options: LoadOptions, load_start: datetime | None, passes: int = 1
+) -> LoadResult:
+    lines = _without_headers(parsed, options)
+    rejected = lines if options.multiline else numbered(parsed, lines.filter(F.size(ERRORS) > 0))
+    return LoadResult(good_rows(lines), load_errors(rejected, table, load_start), schema, passes=passes)
 
 
 def staged_load(
@@ -44,16 +69,7 @@ def staged_load(
     Records that span lines (``multiline``) have no line numbers.
     """
     options = options or LoadOptions()
-    folder = shared_dir(spark, f"load-{table}")
-    read = load_delimited if options.multiline else parse_placed
-    wanted = read(spark, paths, schema, options)
-    wanted.write.parquet(folder)
-    parsed = spark.read.schema(wanted.schema).parquet(folder)
-    if options.multiline:
-        return LoadResult(good_rows(parsed), load_errors(parsed, table, load_start), schema)
-    lines = without_headers(parsed) if options.header else parsed
-    rejected = numbered(parsed, lines.filter(F.size(ERRORS) > 0))
-    return LoadResult(good_rows(lines), load_errors(rejected, table, load_start), schema)
+    return _result(_staged(spark, paths, schema, table, options), schema, table, options, load_start)
 
 
 def _audit_row(
@@ -145,18 +161,20 @@ def load_with_repair(
     load_start: datetime | None = None,
     load_id: str | None = None,
 ) -> LoadResult:
-    """Load files; as long as there are errors, widen the schema by what failed and parse again.
+    """Load files; if there are errors, widen the schema by what failed and parse again.
 
+    The first pass also judges the fields of lines that have more of them than the table, so it sees all that fails and each column gets
+    the type that holds its old values and all bad ones: files are parsed once if they fit, else twice. Should errors remain, more passes follow.
     Then loaded rows that the table does not hold are added; if its schema got wider, old rows are cast and all are written
-    anew. The version before stays readable. Types only widen and columns are only added, so the passes are few; an error
-    no change can cure raises and publishes nothing.
+    anew. The version before stays readable. An error no change can cure raises and publishes nothing.
     """
-    spark = store.spark
+    spark, options = store.spark, options or LoadOptions()
     changes: list[SchemaChange] = []
     passes = 3 * len(schema.fields) + 10
-    for _ in range(passes):
-        result = staged_load(spark, paths, schema, table, options, load_start)
-        profiles = [r.asDict() for r in error_profile(result.errors, digits=True).collect()]
+    for done in range(1, passes + 1):
+        parsed = _staged(spark, paths, schema, table, options, judge_longer=True)
+        failed = repairable_errors(_without_headers(parsed, options))
+        profiles = [r.asDict() for r in error_profile(failed, digits=True).collect()]
         if not profiles:
             break
         wider, made = evolve_schema(schema, profiles, add_columns, change_types)
@@ -166,6 +184,7 @@ def load_with_repair(
         changes += made
     else:
         raise RepairError(f"{table} still has errors after {passes} passes")
+    result = _result(parsed, schema, table, options, load_start, done)
     load_id = load_id or uuid.uuid4().hex
     audit = _audit_row(table, load_id, paths, result.rows, result.errors, load_start)
     current = store.table_state(table).current
@@ -174,4 +193,4 @@ def load_with_repair(
     else:
         rows = cast_to_schema(store.read_version(current), schema).unionByName(result.rows)
         replace_distinct(store, table, rows, current, audit)
-    return LoadResult(result.rows, result.errors, schema, load_id, changes)
+    return LoadResult(result.rows, result.errors, schema, load_id, changes, done)

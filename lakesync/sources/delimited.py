@@ -26,6 +26,7 @@ from lakesync.operators.schema import (
 )
 
 ERRORS = "_errors"
+LATER = "_later"
 RAW_LINE = "_raw_line"
 FILE = "_file"
 # Where a line stands: the first byte of its split of the file, and a number that rises by one along each split.
@@ -194,11 +195,15 @@ def parse_lines(
     line: str = "line",
     file: str | None = None,
     keep: Sequence[str] = (),
+    judge_longer: bool = False,
 ) -> DataFrame:
     """Lines of delimited text as typed rows, with the errors of each line in an array column.
 
     Adds ``_errors``, ``_raw_line`` (of rejected lines only) and ``_file``, and columns of ``lines`` that ``keep`` names. A line without
     errors is a good row. Nothing is shuffled: every line is parsed once, where it was read.
+
+    A line with more fields than the table has that one error. ``judge_longer`` adds ``_later``: the errors that its fields would have
+    if the table had columns for the others.
     """
     options = options or LoadOptions()
     width = len(schema.fields)
@@ -240,7 +245,8 @@ def parse_lines(
         errors = F.when(F.trim(RAW_LINE) == "", _line_error(BLANK_LINE, F.lit(""), n)).otherwise(errors)
     # Where the fields of a line are not as many as the table's, its end mark stands among them.
     columns = [F.when(n == width, F.col(f"v{i}")).alias(f.name) for i, f in enumerate(schema.fields)]
-    judged = typed.select(F.inline(F.array(F.struct(*columns, errors.alias(ERRORS), RAW_LINE, FILE, *keep))))
+    later = [F.when(too_many, _field_errors(schema, options)).alias(LATER)] if judge_longer else []
+    judged = typed.select(F.inline(F.array(F.struct(*columns, errors.alias(ERRORS), RAW_LINE, FILE, *keep, *later))))
     return judged.withColumn(RAW_LINE, F.when(F.size(ERRORS) > 0, F.col(RAW_LINE)))
 
 
@@ -270,17 +276,28 @@ def _read_lines(spark: SparkSession, paths: str | list[str], width: int, options
 
 
 def load_delimited(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType, options: LoadOptions | None = None
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    options: LoadOptions | None = None,
+    judge_longer: bool = False,
 ) -> DataFrame:
     """Files of delimited text, parsed by :func:`parse_lines`. Gzip is known by the file suffix.
 
     A gzip file is read by one task, so large exports should come in many files.
     """
     options = options or LoadOptions()
-    return parse_lines(_read_lines(spark, paths, len(schema.fields), options), schema, options, "line", "file")
+    lines = _read_lines(spark, paths, len(schema.fields), options)
+    return parse_lines(lines, schema, options, "line", "file", judge_longer=judge_longer)
 
 
-def parse_placed(spark: SparkSession, paths: str | list[str], schema: T.StructType, options: LoadOptions | None = None) -> DataFrame:
+def parse_placed(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    options: LoadOptions | None = None,
+    judge_longer: bool = False,
+) -> DataFrame:
     """All lines of files, parsed in one scan, each with its file, split and place, for :func:`numbered`.
 
     A header is parsed like any other line. Store the result before it is numbered: places are those of one scan.
@@ -294,7 +311,7 @@ def parse_placed(spark: SparkSession, paths: str | list[str], schema: T.StructTy
         F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(PLACE),
     )
-    return parse_lines(lines, schema, options, "line", "file", (SPLIT, PLACE))
+    return parse_lines(lines, schema, options, "line", "file", (SPLIT, PLACE), judge_longer)
 
 
 def _splits(placed: DataFrame) -> DataFrame:
@@ -322,7 +339,15 @@ def numbered(placed: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def good_rows(parsed: DataFrame) -> DataFrame:
     """The rows of a parsed load that have no error."""
-    return parsed.filter(F.size(ERRORS) == 0).drop(ERRORS, RAW_LINE, FILE, SPLIT, PLACE)
+    return parsed.filter(F.size(ERRORS) == 0).drop(ERRORS, LATER, RAW_LINE, FILE, SPLIT, PLACE)
+
+
+def repairable_errors(parsed: DataFrame) -> DataFrame:
+    """The rejected fields of a load parsed with ``judge_longer``, those included that show only once the table has columns for all
+    fields of a line; as :func:`~lakesync.operators.schema.error_profile` takes them."""
+    rejected = parsed.filter(F.size(ERRORS) > 0)
+    every = F.concat(ERRORS, F.coalesce(LATER, F.array().cast(_ERROR_TYPE)))
+    return rejected.select(F.inline(every))
 
 
 def load_errors(parsed: DataFrame, table: str, load_start: datetime | None = None) -> DataFrame:

@@ -234,6 +234,62 @@ def test_repair_of_widths_and_many_columns(spark, store, tmp_path):
     assert result.schema["s"].dataType == T.StringType()
 
 
+@pytest.mark.parametrize(
+    "lines, after, passes",
+    [
+        (["1,2024-01-01", "3,2024-01-02"], "n int, d date", 1),
+        (["1,2024-01-01,", "x,2024-01-02,more"], "n string, d date, new_column_one string", 2),
+        (["1,2024-01-01,a,b", "2.5,2024-01-02 10:00:00,,"], "n double, d date, new_column_one string, new_column_two string", 2),
+        (["9007199254740993,2024-01-01,", "0.5,soon,e"], "n decimal(38,1), d string, new_column_one string", 2),
+        (['"1,2",2024-01-01,a', '7,"2024-01-01, noon",e'], "n string, d string, new_column_one string", 2),
+        (["h1,h2", "1,2024-01-01,a", "x,soon,e"], "n string, d string, new_column_one string", 2),
+        (["h1,h2,h3", "1,2024-01-01", "2,2024-01-01"], "n int, d date", 1),
+        (["1,2024-01-01", "x,2024-01-02,more"], None, None),
+    ],
+)
+@pytest.mark.parametrize("multiline", [False, True])
+def test_repair_sees_all_that_fails_at_once(spark, store, tmp_path, lines, after, passes, multiline):
+    path, header = tmp_path / "in.csv", lines[0].startswith("h")
+    path.write_text("\n".join(lines) + "\n")
+    options = dl.LoadOptions(header=header, multiline=multiline)
+    if after is None:
+        with pytest.raises(sc.RepairError):
+            load_with_repair(store, "t", str(path), ddl("n int, d date"), options)
+        return
+    result = load_with_repair(store, "t", str(path), ddl("n int, d date"), options)
+    assert (result.schema.simpleString(), result.passes) == (ddl(after).simpleString(), passes)
+    assert result.rows.columns == result.schema.names and result.errors.count() == 0
+    assert store.read("t").count() == len(lines) - header
+
+
+def test_repair_keeps_every_text(spark, store, tmp_path):
+    """Whatever the fields of lines with more of them than the table hold: two passes, and each number reads as it was written."""
+    import decimal
+    import random
+
+    rng = random.Random(11)
+    kinds = [
+        lambda: str(rng.randint(-99, 99)),
+        lambda: str(rng.randint(1 << 40, 1 << 62)),
+        lambda: f"{rng.randint(0, 999)}.{rng.randint(1, 99):02d}",
+        lambda: f"{rng.randint(1 << 60, 1 << 62)}.5",
+        lambda: rng.choice(["x", "3e5", "007", "1.2.3"]),
+    ]
+    for case in range(4):
+        some = [rng.choice(kinds[: rng.randint(2, 5)]) for _ in range(3)]
+        lines = [[rng.choice(some)() for _ in range(3)] for _ in range(12)]
+        path = tmp_path / f"{case}.csv"
+        path.write_text("".join(",".join(line) + "\n" for line in lines))
+        result = load_with_repair(store, f"t{case}", str(path), ddl("a int, b bigint"))
+        assert result.passes <= 2
+        for i, kind in enumerate([f.dataType for f in result.schema.fields][:2]):
+            texts = sorted(line[i] for line in lines)
+            got = sorted(str(r[i]) for r in result.rows.collect())
+            if not isinstance(kind, T.StringType):
+                texts, got = (sorted(map(decimal.Decimal, x)) for x in (texts, got))
+            assert got == texts, (case, kind)
+
+
 def test_repair_can_be_limited(spark, store, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text("x\n")
