@@ -171,8 +171,9 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMod
         empty = pa.table({"bucket": pa.array([0], pa.int32()), "lang": pa.array(languages[:1]), "n": pa.array([0], pa.int64())})
         weights[:] = _log_odds(languages, sums, code)(empty).column("odds")[0].as_py()
         by_group = counts.groupBy(F.col("bucket") % _GROUPS)
-        for row in by_group.applyInArrow(_log_odds(languages, sums, code), "bucket int, odds array<float>").toLocalIterator():
-            weights[row["bucket"]] = row["odds"]
+        found = by_group.applyInArrow(_log_odds(languages, sums, code), "bucket int, odds array<float>").toArrow()
+        odds = found.column("odds").combine_chunks().flatten().to_numpy()
+        weights[found.column("bucket").to_numpy()] = odds.reshape(-1, code.shape[1])
     return LanguageModel(languages, code, weights)
 
 
