@@ -8,6 +8,10 @@ candidates together, and each is verified on all 64 bits.
 Equal fingerprints are one row before the index is built, so copies never meet each other there. The fingerprints
 that share a variant give a spanning forest of their verified links, never all pairs.
 
+``keep_one`` looks further: near copies at a Jaccard similarity of 0.8 differ in about ten of 64 bits, more than any few segments
+find. It takes 128 bits, two SimHashes of the distinct shingles of five words, and links at ``NEAR`` or fewer differing bits.
+Six segments with one-wildcard variants find all pairs up to 11 bits, and those beyond with the chance that one of six segments is nearly alike.
+
 Nulls, empty texts and texts without words have fingerprint zero and link like any other. Rows with a null id have
 fingerprint and component; a component's id is its smallest non-null id, null if it has none. Repeated rows are kept.
 Input columns with the name of an output column are replaced.
@@ -19,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +34,13 @@ _BYTE_PLACES = np.arange(8, dtype=np.int64) * 256
 # Rows whose runs of equal variants are linked at a time, and the longest run that is compared pair by pair.
 _BLOCK = 1 << 17
 _SHORT = 48
+# Of 128 bits: the expected difference of two sets of one size at a Jaccard similarity of 0.8 is 19.4.
+NEAR = 20
+_WIDE = ("lo", "hi")
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """Bits set in over half of the text's shingle hashes; zero without words."""
-    hashes = shingle_hashes(text, width)
+def _majority(hashes: np.ndarray) -> int:
+    """Bits set in over half of ``hashes``."""
     ones = np.zeros((8, 256), np.int64)
     for i in range(0, len(hashes), 1 << 16):
         octets = hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -42,6 +49,25 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, width: int = 4) -> int:
+    """Bits set in over half of the text's shingle hashes; zero without words."""
+    return _majority(shingle_hashes(text, width))
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other 64 bits of each hash (the finalizer of SplitMix64)."""
+    x = hashes + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(text: str | None, width: int = 5) -> tuple[int, int]:
+    """128 bits, as two numbers, of the text's distinct shingles; zeros without words."""
+    hashes = np.unique(shingle_hashes(text, width))
+    return _majority(hashes), _majority(_mixed(hashes))
+
+
 def with_fingerprints(docs: DataFrame, text: str = "text", width: int = 4) -> DataFrame:
     """``docs`` with ``simhash`` (long) and ``row_id``, a number of the row that is fixed once this is stored."""
 
@@ -60,17 +86,23 @@ def segments(bits: int) -> list[tuple[int, int]]:
     return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:])]
 
 
-def variants(fp: Column, bits: int) -> Column:
-    """One signature for each of the 64 places: its segment without that place, under the place's number."""
+def variants(fp: Column, bits: int, first: int = 0) -> Column:
+    """One signature for each of the 64 places: its segment without that place, under the place's number, counted from ``first``."""
     out = []
     for lo, length in segments(bits):
         segment = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << length) - 1).cast("long"))
         for place in range(length):
             blanked = segment.bitwiseAND(F.lit(~(1 << place)).cast("long"))
-            out.append(F.xxhash64(F.lit(lo + place), blanked) if length > 56 else F.lit((lo + place) << 56).cast("long").bitwiseOR(blanked))
+            at = first + lo + place
+            out.append(F.xxhash64(F.lit(at), blanked) if length > 56 else F.lit(at << 56).cast("long").bitwiseOR(blanked))
     return F.array(*out)
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, each a row of 64-bit numbers."""
+    return np.bitwise_count(a ^ b).sum(axis=-1)
+
+
 def _short_links(sig: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest over all runs of equal ``sig``, by comparing each row with the following ones of its run."""
     near_a, near_b = [], []
@@ -80,7 +112,7 @@ def _short_links(sig: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray
         here = here[sig[here] == sig[here + step]]
         if not len(here):
             break
-        near = here[np.bitwise_count(fp[here] ^ fp[here + step]) <= bits]
+        near = here[_apart(fp[here], fp[here + step]) <= bits]
         near_a.append(near)
         near_b.append(near + step)
     if not near_a:
@@ -102,16 +134,16 @@ def _long_links(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         hub, left = left[0], left[1:]
         waiting = [hub]
         while waiting and len(left):
-            near = np.bitwise_count(left ^ waiting.pop()) <= bits
+            near = _apart(left, waiting.pop()) <= bits
             if near.any():
                 found, left = left[near], left[~near]
                 a.append(found)
-                b.append(np.full(len(found), hub))
+                b.append(np.repeat(hub[None], len(found), axis=0))
                 waiting.extend(found)
     return (np.concatenate(a), np.concatenate(b)) if a else (fp[:0], fp[:0])
 
 
-def _linker(bits: int):
+def _linker(bits: int, parts: tuple[str, ...]):
     def complete(sig: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         cuts = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]))
         lengths = np.diff(cuts)
@@ -129,15 +161,16 @@ def _linker(bits: int):
                 return
             sig, fp = np.concatenate(sigs), np.concatenate(fps)
             end = len(sig) if whole else int(np.searchsorted(sig, sig[-1]))
-            for a, b in complete(sig[:end], fp[:end].view(np.uint64)):
+            for a, b in complete(sig[:end], fp[:end]):
                 if len(a):
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+                    sides = {f"{side}_{p}": x[:, i] for side, x in (("a", a), ("b", b)) for i, p in enumerate(parts)}
+                    yield pa.RecordBatch.from_pydict({n: pa.array(x.astype(np.int64)) for n, x in sides.items()})
             sigs, fps, held = [sig[end:]], [fp[end:]], len(sig) - end
 
         target = _BLOCK
         for batch in batches:
             sigs.append(batch.column("sig").to_numpy())
-            fps.append(batch.column("fp").to_numpy())
+            fps.append(np.stack([batch.column(p).to_numpy().view(np.uint64) for p in parts], axis=1))
             held += batch.num_rows
             if held >= target:
                 yield from flush(False)
@@ -147,11 +180,27 @@ def _linker(bits: int):
     return run
 
 
+def _linked(signed: DataFrame, bits: int, parts: tuple[str, ...]) -> DataFrame:
+    """Forests of the rows (sig, parts) that share ``sig``, with the parts of both ends."""
+    dealt = signed.repartition("sig").sortWithinPartitions("sig")
+    schema = ", ".join(f"{side}_{p} long" for side in "ab" for p in parts)
+    return dealt.mapInArrow(_linker(bits, parts), schema).distinct()
+
+
 def links(prints: DataFrame, bits: int = 4) -> DataFrame:
     """(a, b): a forest over the distinct ``fp`` of ``prints`` that joins all that differ in at most ``bits`` places."""
     signed = prints.select("fp", F.explode(variants(F.col("fp"), bits)).alias("sig"))
-    dealt = signed.select("sig", "fp").repartition("sig").sortWithinPartitions("sig")
-    return dealt.mapInArrow(_linker(bits), "a long, b long").distinct()
+    return _linked(signed.select("sig", "fp"), bits, ("fp",)).toDF("a", "b")
+
+
+def wide_links(prints: DataFrame, bits: int = NEAR) -> DataFrame:
+    """(a, b), numbers ``node`` of the distinct ``lo``, ``hi`` of ``prints`` (stored): a forest of those that share a variant and differ in at most ``bits`` places."""
+    both = F.concat(*[variants(F.col(p), 4, 64 * i) for i, p in enumerate(_WIDE)])
+    found = _linked(prints.select(F.explode(both).alias("sig"), *_WIDE), bits, _WIDE)
+    for side in "ab":
+        ends = prints.select(F.col("node").alias(side), *[F.col(p).alias(f"{side}_{p}") for p in _WIDE])
+        found = found.join(ends, [f"{side}_{p}" for p in _WIDE])
+    return found.select("a", "b")
 
 
 def fingerprint_components(marked: DataFrame, ids: str = "doc_id", bits: int = 4) -> DataFrame:
@@ -177,12 +226,25 @@ def near_duplicates(docs: DataFrame, ids: str = "doc_id", text: str = "text", wi
     return out.select(ids, F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, ids: str = "doc_id", text: str = "text", width: int = 4, bits: int = 4) -> DataFrame:
-    """One row of each component, the one with the smallest id (a null id last, then the first stored), whole."""
-    marked = stored(with_fingerprints(docs, text, width), "marked")
-    small = marked.select(ids, "simhash", "row_id")
-    classes = fingerprint_components(small, ids, bits)
-    first = F.min(F.struct(F.col(ids).isNull().alias("n"), F.col(ids).alias("i"), F.col("row_id").alias("r")))
-    by_print = stored(small.groupBy("simhash").agg(first.alias("first")), "firsts")
-    chosen = by_print.join(classes, "simhash").groupBy("component").agg(F.min("first").alias("first"))
-    return marked.join(chosen.select(F.col("first.r").alias("row_id")), "row_id", "left_semi").select(*docs.columns)
+def keep_one(docs: DataFrame, ids: str = "doc_id", text: str = "text", width: int = 5, bits: int = NEAR) -> DataFrame:
+    """One row of each group of near copies, the one with the smallest id (a null id last, then the first stored), whole.
+
+    Groups are joined by links of 128-bit fingerprints over distinct shingles of ``width`` words; texts are not compared.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+    def make(batch: pa.RecordBatch, before: int) -> dict[str, pa.Array]:
+        texts = pc.struct_field(batch.column("row"), docs_text).to_pylist()
+        prints = np.array([wide_fingerprint(t, width) for t in texts], np.uint64).reshape(-1, 2).view(np.int64)
+        return {"lo": pa.array(prints[:, 0]), "hi": pa.array(prints[:, 1]), "row_id": pa.array(row_ids(len(prints), before))}
+
+    docs_text = [docs.columns.index(text)]
+    whole = docs.select(row)
+    schema = schema_with(whole, lo="long", hi="long", row_id="long")
+    marked = stored(whole.mapInArrow(add_columns(make), schema), "marked")
+    first = F.min(F.struct(F.col(f"row.`{ids}`").isNull().alias("n"), F.col(f"row.`{ids}`").alias("i"), F.col("row_id").alias("r")))
+    by_print = marked.groupBy(*_WIDE).agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id())
+    prints = stored(by_print, "prints")
+    classes = prints.join(components(wide_links(prints, bits)), "node", "left")
+    chosen = classes.groupBy(F.coalesce("component", "node").alias("class")).agg(F.min("first").alias("first"))
+    return marked.join(chosen.select(F.col("first.r").alias("row_id")), "row_id", "left_semi").select("row.*")

@@ -98,7 +98,7 @@ def test_simhash_links_every_pair_of_four_bits(spark):
 
 def test_long_runs_give_the_same_forest(spark):
     fps = np.unique(np.random.default_rng(3).integers(0, 1 << 12, 300, dtype=np.uint64))
-    a, b = simhash._long_links(fps, 2)
+    a, b = (x[:, 0] for x in simhash._long_links(fps[:, None], 2))
     at = {int(f): i for i, f in enumerate(fps)}
     got = common.lowest_labels(np.array([at[int(x)] for x in a]), np.array([at[int(x)] for x in b]), len(fps))
     x, y = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2)
@@ -106,11 +106,46 @@ def test_long_runs_give_the_same_forest(spark):
 
 
 def test_keep_one(spark, documents, odd):
-    comps = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents).collect()}
-    assert {r.doc_id for r in simhash.keep_one(documents).collect()} == set(comps.values())
+    """Against groups over all pairs of 128-bit fingerprints: as many links as the six segments must find, and none beyond the bound."""
+    rows = documents.select("doc_id", "text").orderBy("doc_id").collect()
+    prints = np.array([simhash.wide_fingerprint(r.text) for r in rows], np.uint64)
+    apart = np.bitwise_count(prints[:, None] ^ prints[None]).sum(axis=-1)
+    segments = [(w, lo, n) for w in (0, 1) for lo, n in simhash.segments(4)]
+    cut = [(prints[:, w] >> np.uint64(lo)) & np.uint64((1 << n) - 1) for w, lo, n in segments]
+    alike = np.any([np.bitwise_count(c[:, None] ^ c[None]) <= 1 for c in cut], axis=0)
+    assert alike[apart <= 11].all()
+    x, y = np.nonzero((apart <= simhash.NEAR) & alike)
+    label = common.lowest_labels(x, y, len(rows))
+    assert {r.doc_id for r in simhash.keep_one(documents).collect()} == {rows[i].doc_id for i in label}
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4"]
+    assert simhash.keep_one(odd.limit(0)).count() == 0
+
+
+def test_keep_one_keeps_columns_named_like_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7, 8, 9, 10)], "doc_id long, text string, row_id long, lo long, hi long, simhash long")
+    assert [tuple(r) for r in simhash.keep_one(docs).collect()] == [(1, "a b c d e f", 7, 8, 9, 10)]
+
+
+def test_keep_one_finds_edited_copies(spark, documents):
+    """Of copies with a similarity of 0.9 or more over shingles of five words, at least nine tenths go; originals stay."""
+    rng = random.Random(5)
+    base = [r for r in simhash.keep_one(documents).collect() if r.text and len(r.text.split()) >= 60][:150]
+    shingles = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+    copies = []
+    for r in base:
+        words = r.text.split()
+        new = list(words)
+        for at in rng.sample(range(len(new)), max(1, len(new) // 120)):
+            new[at] = f"x{rng.randrange(10**6)}"
+        a, b = shingles(words), shingles(new)
+        if len(a & b) / len(a | b) >= 0.9:
+            copies.append((r.doc_id + 10**6, " ".join(new)))
+    assert len(copies) > 50
+    both = spark.createDataFrame([(r.doc_id, r.text) for r in base] + copies, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(both).collect()}
+    assert {r.doc_id for r in base} <= kept and sum(i in kept for i, _ in copies) < len(copies) / 10
 
 
 def test_keep_one_tells_rows_without_ids_apart(spark):
