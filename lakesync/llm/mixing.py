@@ -69,11 +69,9 @@ def replicate_to_weights(
     rates = repetition_rates(docs, tempered_weights(docs, source) if weights is None else weights, source, total)
     identity = F.coalesce(F.col(ids).cast("string"), F.md5(F.col(text).cast("binary")), F.lit(""))
     kept = docs.drop("copy", "order_key").withColumn("__id", identity)
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("pieces")),
-        F.lit(0),
-        lambda n, i: n + F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), i.cast("string"), "__id"))),
-    )
+    # One digest for each piece, outside the comparison with the distribution's entries.
+    draws = F.transform(F.sequence(F.lit(1), F.col("pieces")), lambda i: uniform(F.lit(seed), i.cast("string"), "__id"))
+    drawn = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
     # Left to Spark: a few sources are broadcast by measured size, many are joined by a shuffle that AQE splits.
     counted = kept.join(rates, kept[source].eqNullSafe(rates["__name"])).withColumn("__n", drawn)
     copies = counted.filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
