@@ -2,15 +2,17 @@
 
 Found are e-mail addresses, secrets (``password=``, ``token = "..."``, access key ids), IP addresses, payment cards, other long
 account numbers, phone numbers, social security numbers, and names that follow a title. An entity is its mention
-without what only formats it: the digits of a phone number, an address in lower case, a name without its title. All mentions of an entity, in any
+without what only formats it: the digits of a phone number, an address in lower case, a name without its title. A name under a neutral
+title is the person of the one gender that its other titles tell; if they tell both, the man, the woman and the neutral one are three. All mentions of an entity, in any
 document and format, get one surrogate (coreference); two entities never share one (distinctness); no surrogate is a real entity of the
 table. A surrogate is drawn from SHA-256 over the key, the kind, the entity and an attempt number. All proposals are checked against each other
 and against the real entities; those that collide are drawn again until none does.
 
-Type and format: digits stand where digits stood; cards keep their first digit and a valid check digit; addresses keep the
-shape of the local part's digits and the top-level domain; secrets keep the class of each character, and marks as they are if at least six letters
+Type and format: digits stand where digits stood; cards keep their first digit and a valid check digit; mail addresses keep the
+length, marks, digits' places and script of the local part, and script and top level of the domain, whose second level is the script's word for
+an example, and are in small letters however they are written; secrets keep the class of each character, and marks as they are if at least six letters
 or digits change; names keep title, script (Latin, Cyrillic, Greek), number of parts, and an ending that fits the title's gender. Names and secrets
-that collide grow with each attempt, so their formats never run out of surrogates.
+that collide grow with each attempt, as do domains of addresses, so their formats never run out of surrogates.
 
 Only DataFrame functions are used. Documents without mentions pass through untouched; the others are numbered and written once, their mentions
 are joined with the surrogates, and each text is put together again from the parts between mentions. A document is one group of
@@ -166,19 +168,27 @@ def _new_card(entity: Column, stream: Column) -> Column:
     return F.concat(body, check.cast("string"))
 
 
-def _letters(stream: Column, first: int, count: int) -> Column:
-    """Consonants and vowels by turns."""
-    return F.concat(
-        *[_pick(stream, F.lit(first + i), "aeiou" if i % 2 else "bcdfghjklmnprstv") for i in range(count)]
+def _letter(stream: Column, i: Column, like: Column) -> Column:
+    """A small letter of the script of ``like``."""
+    cyrillic, greek = "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+    return (
+        F.when(like.rlike(r"\p{IsCyrillic}"), _pick(stream, i, cyrillic))
+        .when(like.rlike(r"\p{IsGreek}"), _pick(stream, i, greek))
+        .otherwise(_pick(stream, i, "abcdefghijklmnopqrstuvwxyz"))
     )
 
 
-def _new_email(entity: Column, stream: Column) -> Column:
-    digits = F.regexp_extract(F.substring_index(entity, "@", 1), r"([._+-]?)(\d+)$", 2)
-    mark = F.regexp_extract(F.substring_index(entity, "@", 1), r"([._+-]?)(\d+)$", 1)
-    tail = F.concat(mark, _join(_upto(F.length(digits)), lambda i: _pick(stream, i + 24, "0123456789")))
-    top = F.substring_index(entity, ".", -1)
-    return F.concat(_letters(stream, 0, 10), tail, F.lit("@"), _letters(stream, 12, 8), F.lit(".example."), top)
+def _new_email(entity: Column, stream: Column, attempt: int) -> Column:
+    local, domain, top = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1), F.substring_index(entity, ".", -1)
+
+    def char(i: Column) -> Column:
+        c = F.substr(local, i + 1, F.lit(1))
+        digit = F.when(c.rlike(r"\p{N}"), _pick(stream, i, "0123456789"))
+        return digit.when(c.rlike(r"\p{L}"), _letter(stream, i, c)).otherwise(c)
+
+    label = F.concat(*[_letter(stream, F.length(local) + i, domain) for i in range(8 + attempt)])
+    word = F.when(domain.rlike(r"\p{IsCyrillic}"), "пример").when(domain.rlike(r"\p{IsGreek}"), "παράδειγμα").otherwise("example")
+    return F.concat(_join(_upto(F.length(local)), char), F.lit("@"), label, F.lit("."), word, F.lit("."), top)
 
 
 def _new_ip(stream: Column) -> Column:
@@ -232,7 +242,7 @@ def _new_name(entity: Column, stream: Column, attempt: int) -> Column:
 def propose(kind: Column, entity: Column, stream: Column, attempt: int = 0) -> Column:
     """The surrogate of an entity, from its ``stream``, before collisions are known."""
     return (
-        F.when(kind == "email", _new_email(entity, stream))
+        F.when(kind == "email", _new_email(entity, stream, attempt))
         .when(kind == "card", _new_card(entity, stream))
         .when(kind == "ip", _new_ip(stream))
         .when(kind == "secret", _new_secret(entity, stream, attempt))
@@ -276,7 +286,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """
     left, settled = entities.select("kind", "entity"), None
     for attempt in range(_ATTEMPTS):
-        kind, entity, size = F.col("kind"), F.col("entity"), F.greatest(F.length("entity"), F.lit(64)) + attempt
+        kind, entity, size = F.col("kind"), F.col("entity"), F.greatest(F.length("entity") + 8, F.lit(64)) + attempt
         streams = left.withColumn("stream", _stream(key, kind, entity, F.lit(str(attempt)), size))
         tried = streams.select("kind", "entity", propose(kind, entity, F.col("stream"), attempt).alias("surrogate"))
         taken = entities.select("kind", F.col("entity").alias("surrogate"))
@@ -292,6 +302,18 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     raise ValueError("no free surrogates are left for some format")
 
 
+def one_person(found: DataFrame) -> DataFrame:
+    """(kind, found, entity) of distinct ``found`` (kind, entity): names of a neutral title under the one gender that others tell."""
+    name = F.when(F.col("kind") == "name", F.regexp_replace("entity", r"\A[^:]*:", ""))
+    told = found.withColumn("name", name).withColumn("gender", F.substring_index("entity", ":", 1))
+    tells = lambda g: F.max((F.col("gender") == g).cast("int")).alias(g)
+    genders = told.filter("name IS NOT NULL").groupBy("name").agg(tells("male"), tells("female"))
+    both = told.join(genders, "name", "left")
+    only = F.when(F.col("male") > F.col("female"), "male").when(F.col("female") > F.col("male"), "female")
+    entity = F.when((F.col("gender") == "any") & only.isNotNull() & F.col("name").isNotNull(), F.concat(only, F.lit(":"), "name"))
+    return both.select("kind", F.col("entity").alias("found"), F.coalesce(entity, "entity").alias("entity"))
+
+
 def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every mention in ``text`` replaced, the other columns as they are."""
     body = F.col(text)
@@ -306,7 +328,9 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     each = bearing.select("rid", F.posexplode("m").alias("pos", "mention"))
     each = each.withColumn("kind", kind_of(F.col("mention")))
     each = stored(each.withColumn("entity", entity_of(F.col("mention"), F.col("kind"))), "mentions")
-    settled = stored(assign(stored(each.select("kind", "entity").distinct(), "entities"), key), "settled")
+    people = stored(one_person(stored(each.select("kind", "entity").distinct(), "found")), "people")
+    surrogates = assign(stored(people.select("kind", "entity").distinct(), "entities"), key)
+    settled = stored(people.join(surrogates, ["kind", "entity"]).select("kind", F.col("found").alias("entity"), "surrogate"), "settled")
     shown = each.join(settled, ["kind", "entity"]).select(
         "rid", "pos", render(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("shown")
     )

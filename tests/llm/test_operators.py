@@ -589,6 +589,32 @@ def test_surrogates(spark, odd):
     assert pii.replace_pii(odd.limit(0), "k").count() == 0
 
 
+def test_a_neutral_title_is_the_person_that_others_tell(spark):
+    texts = [
+        "Dr Ana Lopez", "Ms Ana Lopez", "Prof. ANA LOPEZ",
+        "Dr Kim", "Mr Kim", "Mrs Kim",
+        "Dr Stone",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.replace_pii(docs, "k").orderBy("doc_id").collect()]
+    names = [t.split(" ", 1)[1] for t in got]
+    assert names[0] == names[1] and names[2] == names[0].upper() and names[0].split()[0].endswith("nna")
+    assert len({n.lower() for n in names}) == 5
+
+
+def test_mail_addresses_keep_script_and_format(spark):
+    import re
+
+    texts = ["иван.петров@почта.рф", "john.smith-7@mail.com", "JOHN.SMITH-7@MAIL.COM", "John.Smith-7@mail.com", "a@b.de", "νίκος@ταχ.ελ", f"{'long' * 30}@b.de"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.replace_pii(docs, "k").orderBy("doc_id").collect()]
+    assert re.fullmatch(r"[а-я]{4}\.[а-я]{6}@[а-я]{8}\.пример\.рф", got[0])
+    assert re.fullmatch(r"[a-z]{4}\.[a-z]{5}-\d@[a-z]{8}\.example\.com", got[1])
+    assert got[1] == got[2] == got[3]
+    assert re.fullmatch(r"[α-ω]{5}@[α-ω]{8}\.παράδειγμα\.ελ", got[5])
+    assert len(got[6].split("@")[0]) == 120 and len(set(got)) == 5 and not set(got) & set(texts)
+
+
 def test_surrogates_stay_apart(spark):
     """A space of few formats, where first proposals collide."""
     entities = spark.createDataFrame([("ssn", f"{i:03d}") for i in range(400)], "kind string, entity string")
