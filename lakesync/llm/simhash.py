@@ -10,7 +10,8 @@ that share a variant give a spanning forest of their verified links, never all p
 
 ``keep_one`` looks further: near copies at a Jaccard similarity of 0.8 differ in about ten of 64 bits, more than any few segments
 find. It takes 128 bits, two SimHashes of the distinct shingles of five words, and links at ``NEAR`` or fewer differing bits.
-Six segments with one-wildcard variants find all pairs up to 11 bits, and those beyond with the chance that one of six segments is nearly alike.
+Eleven segments, one across both numbers, find every such pair, by the same rule. They have 11 or 12 bits each, so a variant is shared by
+many: the index is linear, the comparisons grow with the square of the distinct fingerprints.
 
 Nulls, empty texts and texts without words have fingerprint zero and link like any other. Rows with a null id have
 fingerprint and component; a component's id is its smallest non-null id, null if it has none. Repeated rows are kept.
@@ -19,7 +20,7 @@ Input columns with the name of an output column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ _BYTE_PLACES = np.arange(8, dtype=np.int64) * 256
 # Rows whose runs of equal variants are linked at a time, and the longest run that is compared pair by pair.
 _BLOCK = 1 << 17
 _SHORT = 48
+# Pairs of a long run that are compared at a time.
+_CELLS = 1 << 17
 # Of 128 bits: the expected difference of two sets of one size at a Jaccard similarity of 0.8 is 19.4.
 NEAR = 20
 _WIDE = ("lo", "hi")
@@ -79,21 +82,25 @@ def with_fingerprints(docs: DataFrame, text: str = "text", width: int = 4) -> Da
     return kept.mapInArrow(add_columns(make), schema_with(kept, simhash="long", row_id="long"))
 
 
-def segments(bits: int) -> list[tuple[int, int]]:
-    """(lowest place, length) of each segment."""
+def segments(bits: int, places: int = 64) -> list[tuple[int, int]]:
+    """(lowest place, length) of each segment of a fingerprint of ``places`` bits."""
     count = (bits + 2) // 2
-    cuts = [64 * i // count for i in range(count + 1)]
+    cuts = [places * i // count for i in range(count + 1)]
     return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:])]
 
 
-def variants(fp: Column, bits: int, first: int = 0) -> Column:
-    """One signature for each of the 64 places: its segment without that place, under the place's number, counted from ``first``."""
+def variants(parts: Sequence[Column], bits: int) -> Column:
+    """One signature for each place of a fingerprint of one or two numbers: its segment without that place, under the place's number."""
     out = []
-    for lo, length in segments(bits):
-        segment = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << length) - 1).cast("long"))
+    for lo, length in segments(bits, 64 * len(parts)):
+        part, shift = divmod(lo, 64)
+        segment = F.shiftrightunsigned(parts[part], shift)
+        if shift + length > 64:  # the rest is in the next number
+            segment = segment.bitwiseOR(F.shiftleft(parts[part + 1], 64 - shift))
+        segment = segment.bitwiseAND(F.lit((1 << length) - 1).cast("long"))
         for place in range(length):
             blanked = segment.bitwiseAND(F.lit(~(1 << place)).cast("long"))
-            at = first + lo + place
+            at = lo + place
             out.append(F.xxhash64(F.lit(at), blanked) if length > 56 else F.lit(at << 56).cast("long").bitwiseOR(blanked))
     return F.array(*out)
 
@@ -103,6 +110,21 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1)
 
 
+def _with_neighbours(fp: np.ndarray, bits: int) -> np.ndarray:
+    """Whether each row has another one at most ``bits`` places apart: all pairs, a bounded block of them at a time."""
+    columns = [np.ascontiguousarray(c) for c in fp.T]
+    found = np.zeros(len(fp), bool)
+    step = max(1, _CELLS // max(len(fp), 1))
+    for i in range(0, len(fp), step):
+        apart = sum(np.bitwise_count(c[i : i + step, None] ^ c[None, i:]) for c in columns)
+        near = apart <= bits
+        np.fill_diagonal(near, False)
+        if near.any():
+            found[i : i + step] |= near.any(axis=1)
+            found[i:] |= near.any(axis=0)
+    return found
+
+
 def _short_links(sig: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest over all runs of equal ``sig``, by comparing each row with the following ones of its run."""
     near_a, near_b = [], []
@@ -129,7 +151,7 @@ def _short_links(sig: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray
 def _long_links(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest over one run, in memory linear in its length: each row found takes its neighbours out of the rest."""
     a, b = [], []
-    left = fp
+    left = fp[_with_neighbours(fp, bits)]
     while len(left):
         hub, left = left[0], left[1:]
         waiting = [hub]
@@ -189,14 +211,14 @@ def _linked(signed: DataFrame, bits: int, parts: tuple[str, ...]) -> DataFrame:
 
 def links(prints: DataFrame, bits: int = 4) -> DataFrame:
     """(a, b): a forest over the distinct ``fp`` of ``prints`` that joins all that differ in at most ``bits`` places."""
-    signed = prints.select("fp", F.explode(variants(F.col("fp"), bits)).alias("sig"))
+    signed = prints.select("fp", F.explode(variants([F.col("fp")], bits)).alias("sig"))
     return _linked(signed.select("sig", "fp"), bits, ("fp",)).toDF("a", "b")
 
 
 def wide_links(prints: DataFrame, bits: int = NEAR) -> DataFrame:
-    """(a, b), numbers ``node`` of the distinct ``lo``, ``hi`` of ``prints`` (stored): a forest of those that share a variant and differ in at most ``bits`` places."""
-    both = F.concat(*[variants(F.col(p), 4, 64 * i) for i, p in enumerate(_WIDE)])
-    found = _linked(prints.select(F.explode(both).alias("sig"), *_WIDE), bits, _WIDE)
+    """(a, b), numbers ``node`` of the distinct ``lo``, ``hi`` of ``prints`` (stored): a forest that joins all that differ in at most ``bits`` places."""
+    signed = prints.select(F.explode(variants([F.col(p) for p in _WIDE], bits)).alias("sig"), *_WIDE)
+    found = _linked(signed, bits, _WIDE)
     for side in "ab":
         ends = prints.select(F.col("node").alias(side), *[F.col(p).alias(f"{side}_{p}") for p in _WIDE])
         found = found.join(ends, [f"{side}_{p}" for p in _WIDE])
