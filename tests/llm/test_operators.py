@@ -1,5 +1,6 @@
 """Each corpus operator against brute force, and its defined results for nulls, empty and repeated rows and clashing columns."""
 
+import functools
 import html as html_lib
 import json
 import random
@@ -570,6 +571,36 @@ def test_slots_are_judged_by_all_pages_of_a_host(spark):
     assert {got[h] for h in chosen[2:]} == {"b"}
 
 
+def test_wrappers_are_learnt_from_all_pages(spark):
+    """Forty templates of one host, each page with tags that no other has: the wrapper knows the tags of all, and of a long page's end."""
+    tags = [f"x{i}" for i in range(40)]
+    rows = [("http://h.example/", f"<article><p>a</p><{t}>b</{t}></article>") for t in tags]
+    rows.append(("http://h.example/", "<article>" + "".join(f"<y{i}>c</y{i}>" for i in range(2000)) + "<last>d</last></article>"))
+    wrapper = wrappers.fit_wrappers(spark.createDataFrame(rows, "url string, html string")).first().wrapper
+    assert all(f'"{t}"' in wrapper for t in [*tags, *(f"y{i}" for i in range(2000)), "last"])
+    read = wrappers.Wrapper(wrapper)
+    assert [read.text(html) for _, html in rows] == ["a\n\nb"] * 40 + ["\n\n".join("c" * 2000) + "\n\nd"]
+
+
+def test_aligned_groups_keep_what_either_allows():
+    page, many = ["p", "#", "/p"], ["p", *["li", "#"] * 3, "/p"]
+    none = ["p", "/p"]
+    for order in ([page, many, none], [none, page, many], [many, none, page], [many, page, none]):
+        wrapper = wrappers.number(functools.reduce(wrappers.align, map(wrappers.fold, order)), [0])
+        assert all(wrappers.match(wrapper, x, 0, []) == len(x) for x in order)
+    # Optional and repeated, on the one side and on the other.
+    assert wrappers.align([["?", ["a"]]], [["?", [["+", ["a"]]]]]) == [["?", [["+", ["a"]]]]]
+
+
+def test_long_lists_are_aligned_in_parts():
+    rng = random.Random(4)
+    a = [f"t{rng.randrange(3000)}" for _ in range(5000)]
+    b = [x for x in a if rng.random() > 0.1]
+    same = wrappers._common(a, b)
+    assert all(a[i : i + n] == b[j : j + n] for i, j, n in same) and sum(n for *_, n in same) > 0.98 * len(b)
+    assert all(i + n <= i2 and j + n <= j2 for (i, j, n), (i2, j2, _) in zip(same, same[1:]))
+
+
 def test_page_wrapper_reads_its_sample(spark):
     pages = [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(16).collect()]
     wrapper = wrappers.Wrapper(wrappers.learn(pages))
