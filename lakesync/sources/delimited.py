@@ -39,6 +39,8 @@ _WRITTEN_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # What is written for doubles that are no finite numbers.
 NO_NUMBERS = ("NaN", "Infinity", "-Infinity")
 _REPLACEMENT = "�"
+# Splits smaller than this share a task, and the file that it writes.
+_TASK_BYTES = 64 << 20
 
 _ERROR_TYPE = (
     "array<struct<err_reason:string,colname:string,type:string,col_length:string,"
@@ -291,6 +293,12 @@ def load_delimited(
     return parse_lines(lines, schema, options, "line", "file", judge_longer=judge_longer)
 
 
+def _tasks(spark: SparkSession, paths: str | list[str]) -> int:
+    """The most tasks that reading files is worth: of ``_TASK_BYTES``, or some for each core. No content is read for it."""
+    size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
+    return max(-(-size // _TASK_BYTES), 4 * spark.sparkContext.defaultParallelism)
+
+
 def parse_placed(
     spark: SparkSession,
     paths: str | list[str],
@@ -309,8 +317,9 @@ def parse_placed(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias(SPLIT),
-        F.monotonically_increasing_id().alias(PLACE),
     )
+    # Many small splits are read by few tasks, each split after another: places rise along each all the same.
+    lines = lines.coalesce(_tasks(spark, paths)).select("*", F.monotonically_increasing_id().alias(PLACE))
     return parse_lines(lines, schema, options, "line", "file", (SPLIT, PLACE), judge_longer)
 
 

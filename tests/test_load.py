@@ -320,6 +320,23 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     assert plan.count("Join") == 1
 
 
+def test_many_small_splits_share_tasks(spark, tmp_path):
+    """Some 300 splits of one file are parsed by no more tasks than the cores are worth, and lines keep their numbers."""
+    (tmp_path / "a.csv").write_text("n,s\n" + "".join(f"{'x' if i % 50 == 0 else i},{'y' * 20}\n" for i in range(6000)))
+    usual = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 250
+        done = staged_load(spark, str(tmp_path), ddl("n int, s string"), "t", dl.LoadOptions(header=True))
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    assert len(done.rows.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism
+    assert done.rows.count() == 6000 - 120
+    assert sorted(r[0] for r in done.errors.select("line_number").collect()) == [i + 2 for i in range(0, 6000, 50)]
+
+
 def test_line_numbers_without_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("1\nx\n\n4\ny")
     done = staged_load(spark, str(tmp_path), ddl("n int"), "t")
