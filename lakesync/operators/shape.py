@@ -103,6 +103,13 @@ class ReportError(ValueError):
     """The report cannot be turned into rows."""
 
 
+def report_names(columns: Sequence[str], labels: Mapping[str, str] | None = None) -> list[str]:
+    """The names of a report's detail columns, those of their display labels if given."""
+    if not columns:
+        raise ReportError("the report has no columns")
+    return [undotted_name(labels[c] if labels else c) for c in columns]
+
+
 def flatten_report(
     df: DataFrame,
     columns: Sequence[str],
@@ -115,9 +122,7 @@ def flatten_report(
     ``fact_map`` is a map from group key to a record with ``rows``, each holding ``dataCells`` with a
     ``label``. ``labels`` renames columns to their display label. The group key stays, as ``group_key``.
     """
-    if not columns:
-        raise ReportError("the report has no columns")
-    names = [undotted_name(labels[c] if labels else c) for c in columns]
+    names = report_names(columns, labels)
     groups = df.select(*keep, F.explode(F.col(fact_map)).alias("group_key", "fact"))
     rows = groups.select(*keep, "group_key", F.explode("fact.rows").alias("row"))
     cell_labels = rows.select(*keep, "group_key", F.transform("row.dataCells", lambda cell: cell["label"]).alias("cells"))
@@ -136,9 +141,26 @@ def report_status(df: DataFrame, fact_map: str = "factMap", keep: Sequence[str]
     )
 
 
+def report_lines(df: DataFrame, width: int, fact_map: str = "factMap") -> DataFrame:
+    """Status and cells of reports in one, to be stored: a row per detail row, with ``detail_rows`` 1, and one with 0 for each empty group or report.
+
+    The cells are ``c0`` to the ``width``-th, as :func:`flatten_report` finds them.
+    """
+    status = (F.col("hasDetailRows").alias("has_details"), F.col("allData").alias("all_data"))
+    groups = df.select(*status, F.explode_outer(F.col(fact_map)).alias("group_key", "fact"))
+    rows = groups.select("has_details", "all_data", F.posexplode_outer("fact.rows").alias("at", "row"))
+    labels = F.transform("row.dataCells", lambda cell: cell["label"]).alias("cells")
+    cells = rows.select("has_details", "all_data", F.col("at").isNotNull().cast("bigint").alias("detail_rows"), labels)
+    return cells.select("has_details", "all_data", "detail_rows", *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(width)])
+
+
 def assert_report(df: DataFrame, fact_map: str = "factMap") -> None:
     """Refuse reports without details, without all data, or without a single row."""
-    status = report_status(df, fact_map)
+    assert_status(report_status(df, fact_map))
+
+
+def assert_status(status: DataFrame) -> None:
+    """As :func:`assert_report`, for the result of :func:`report_status` or of :func:`report_lines`."""
     bad = status.agg(
         F.count_if(~F.coalesce("has_details", F.lit(False))).alias("no_details"),
         F.count_if(~F.coalesce("all_data", F.lit(False))).alias("partial"),

@@ -18,14 +18,15 @@ from lakesync.operators.checks import Report
 from lakesync.operators.merge import dedupe_latest, distinct_rows
 from lakesync.operators.schema import cast_columns, check_structure, infer_schema
 from lakesync.operators.shape import (
-    assert_report,
+    assert_status,
     child_records,
     concat_children,
     drop_all_null_rows,
     first_child_with,
     flatten_paths,
-    flatten_report,
     project_fixed,
+    report_lines,
+    report_names,
     select_fields,
 )
 from lakesync.plans.distinct import append_distinct
@@ -299,9 +300,11 @@ REPORT_TYPE = (
 
 def report_rows(pages: DataFrame, columns: Sequence[str], labels: Mapping[str, str] | None = None) -> DataFrame:
     """Detail rows of grouped reports; refuses a report without details, data or rows."""
+    names = report_names(columns, labels)
     reports = pages.select(F.from_json("body", REPORT_TYPE).alias("report")).select("report.*")
-    assert_report(reports)
-    return distinct_rows(flatten_report(reports, columns, labels=labels).drop("group_key"))
+    lines = _landed(report_lines(reports, len(names)), "report")
+    assert_status(lines)
+    return distinct_rows(lines.filter("detail_rows > 0").drop("has_details", "all_data", "detail_rows").toDF(*names))
 
 
 def sheet_to_table(store: SnapshotStore, table: str, sheet: DataFrame) -> Report:

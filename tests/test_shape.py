@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from lakesync.operators import shape
 from lakesync.operators.filters import filter_spec, report_to_query
 from lakesync.operators.layout import choose_layout_key, clustered_layout
+from lakesync.plans import feeds
 
 
 def test_conform_example(spark):
@@ -78,6 +79,35 @@ def test_report_refused(spark, details, every, facts):
         shape.assert_report(spark.sql(REPORT.format(details=details, every=every, facts=facts)))
 
 
+BODY = '{{"hasDetailRows":{},"allData":{},"factMap":{}}}'
+ROWS = '{"1!T":{"rows":[{"dataCells":[{"label":"a"},{"label":"b"}]},null,{"dataCells":[{"label":"c"}]}]},"T!T":{"rows":[]},"2!T":{}}'
+
+
+def test_report_pages_are_parsed_once(spark):
+    """Rows without cells stay, empty groups and reports give none, and no page is made twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(body):
+        seen.add(1)
+        return body
+
+    bodies = [BODY.format("true", "true", facts) for facts in (ROWS, "{}", ROWS.replace('"a"', '"d"'))]
+    pages = spark.createDataFrame([(b,) for b in bodies], "body string")
+    pages = pages.select(F.udf(told, "string")("body").alias("body"))
+    found = feeds.report_rows(pages, ["x.y", "z"])
+    assert found.columns == ["x_y", "z"]
+    assert rows(found) == [(None, None), ("a", "b"), ("c", None), ("d", "b")]
+    assert seen.value == 3
+
+
+@pytest.mark.parametrize("details, every, facts", [("false", "true", ROWS), ("true", "null", ROWS), ("true", "true", '{"T!T":{"rows":[]}}')])
+def test_report_rows_refused(spark, details, every, facts):
+    good = BODY.format("true", "true", ROWS) if facts == ROWS else BODY.format("true", "true", "null")
+    pages = spark.createDataFrame([(good,), (BODY.format(details, every, facts),)], "body string")
+    with pytest.raises(shape.ReportError):
+        feeds.report_rows(pages, ["x.y", "z"])
+
+
 def test_child_events(spark):
     children = """[{"status":"open"},{"tags":["a"],"added_tags":["a"],"removed_tags":[]},
                    {"comment_public":true},{"comment_public":false},{"status":"late"}]"""
