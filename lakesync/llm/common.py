@@ -37,9 +37,14 @@ def row_ids(n: int, before: int) -> np.ndarray:
     return (np.int64(TaskContext.get().partitionId()) << np.int64(36)) + np.arange(before, before + n, dtype=np.int64)
 
 
+def joined_words(text: str | None) -> bytes:
+    """A-Z lower-cased, words between single spaces."""
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
+
+
 def word_bytes(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """A-Z lower-cased, words between single spaces, and each word's first byte and the byte after it."""
-    joined = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
+    """:func:`joined_words`, and each word's first byte and the byte after it."""
+    joined = joined_words(text)
     if not joined:
         return joined, np.empty(0, np.int64), np.empty(0, np.int64)
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)

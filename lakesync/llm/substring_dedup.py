@@ -5,15 +5,16 @@ hold c: the hash at c is the least of each of them. Windows come from the Cartes
 the shortest passage are kept, about 2n / t for n shingles. Stretches of two texts that are alike share the least hash for most of the hash
 functions, so their windows meet under the same signature (function, least hash).
 
-The windows of a signature are linked to the first of them, so n windows give n - 1 links. Inside a task only windows that share a verbatim
-passage around their centres are dropped for the first. After the shuffle a first window may share no more than the shingle with the others, so the stretches
-of signatures with three windows or more are looked at again: their passages of the least length are linked by the hash of all their words, and their
-windows by the ``CONTEXT`` shingles to each side of the centre. The links of two documents are then joined as intervals: those that overlap and
+The windows of a signature are linked to the first of them, so n windows give n - 1 links. Inside a task only windows are dropped for the
+first that hold no passage around their centres which it does not hold as well. After the shuffle a first window may share no more than the shingle with the others, so
+signatures with three windows or more are looked at again: their windows are linked by the ``CONTEXT`` shingles to each side of the centre, and
+passages of the least length by the hash of all their words. A passage with the centre has half its length on one side of it, so
+only the passages around halves that two documents share are looked at. The links of two documents are then joined as intervals: those that overlap and
 lie on nearly the same diagonal are one candidate, kept if enough hash functions agree or whole passages do. Each candidate is verified on the words themselves: runs of
 shared shingles with a Jaccard similarity of ``similarity`` or more, or verbatim runs, of at least ``least`` words.
 
-Words are as in :func:`word_bytes`. Null, empty and short texts have no passages. Texts of over ``STRETCH`` shingles are windowed in stretches that overlap by a
-passage. Repeated rows, and texts that are equal, share passages like any others; a null id is reported as null. Passages that repeat inside one document only are not reported.
+Words are as in :func:`joined_words`, shingles are compared by 64-bit hashes. Null, empty and short texts have no passages. Texts of over ``STRETCH`` words are windowed in stretches that overlap by two
+passages. Repeated rows, and texts that are equal, share passages like any others; a null id is reported as null. Passages that repeat inside one document only are not reported.
 An empty table gives an empty table. Only the id and the text are read.
 """
 
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from lakesync.llm.common import (
     add_columns,
     components,
+    joined_words,
     row_ids,
     schema_with,
-    shingle_hashes,
     small,
     stored,
     word_bytes,
@@ -52,12 +53,17 @@ CONTEXT, WHOLE = 5, 7
 # Rounds in which the windows of a signature are linked to a first one inside a task; those left are shuffled.
 _ROUNDS = 8
 STRETCH, _CHUNK = 1 << 20, 1 << 16
+# Bytes that are hashed at a time, and windows of one signature that a task holds before it keeps one for each context and half.
+_PIECE, _RUN = 1 << 18, 1 << 18
 _PLACE = np.uint64((1 << 28) - 1)
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, HASHES, dtype=np.uint64)
+_BYTES = np.random.default_rng(6).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 # A window in two numbers: eight times its centre plus its hash function, and its reach to the left and to the right.
 _NAMES = ("rid", "hub", "at", "ext", "hub_at", "hub_ext")
 _LINK = ", ".join(f"{n} long" for n in _NAMES)
 _HELD = 1 << 16
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _mixed(h: np.ndarray, seed: np.uint64) -> np.ndarray:
@@ -67,65 +73,120 @@ def _mixed(h: np.ndarray, seed: np.uint64) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def compact_windows(values: np.ndarray, least: int, longest: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every run of ``length`` places."""
+    if len(hashes) < length:
+        return np.empty(0, np.uint64)
+    seed = lambda n: np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
+    out = np.zeros(len(hashes) - length + 1, np.uint64)
+    # Runs of powers of two, put together from halves.
+    part, size, done = hashes, 1, 0
+    while True:
+        if length & size:
+            out = _mixed(out, seed(2 * size + 1)) ^ part[done : done + len(out)]
+            done += size
+        if done == length:
+            return _mixed(out, seed(length))
+        part = _mixed(part[:-size], seed(2 * size)) ^ part[size:]
+        size *= 2
+
+
+def _word_hashes(joined: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each word; ``starts`` are the first bytes of words that all end with a space: sums of bytes times powers, then mixed."""
+    out = np.empty(len(starts), np.uint64)
+    first = np.unique(np.searchsorted(starts, np.arange(0, len(joined), _PIECE)))
+    first = first[first < len(starts)]
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(starts)]):
+        end = int(starts[j]) if j < len(starts) else len(joined)
+        at, part = starts[i:j] - starts[i], joined[starts[i] : end]
+        lengths = np.diff(at, append=len(part))
+        power = np.full(int(lengths.max()), _BASE)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        place = np.arange(len(part)) - np.repeat(at, lengths)
+        out[i:j] = _mixed(np.add.reduceat(_BYTES[part] * power[place], at), _BASE)
+    return out
+
+
+def shingles(texts: list[bytes]) -> np.ndarray:
+    """Of texts of one word or more, as :func:`joined_words` gives them, one after another: the hash of the five words from each word on, or
+    zero for the last four of a text."""
+    joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    starts = np.concatenate(([0], np.flatnonzero(joined == 32)[:-1] + 1))
+    hashes = _run_hashes(_word_hashes(joined, starts), WIDTH)
+    hashes = np.concatenate((hashes, np.zeros(len(starts) - len(hashes), np.uint64)))
+    ends = np.cumsum([x.count(b" ") + 1 for x in texts])
+    for k in range(1, WIDTH):
+        hashes[ends - k] = 0  # of a text of fewer words, these are the last of the text before
+    return hashes
+
+
+def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r), ends included, of every compact window of at least ``least`` places. A value of zero is a wall.
 
-    Equal values count as smaller on the left. The centres are the places of the least value of each stretch of ``least`` places;
-    the ends are found from minima over powers of two, which is the path to the nearest smaller ancestors in the Cartesian tree.
-    ``longest`` is the length of the longest stretch between walls, if known.
+    Equal values count as smaller on the left. The centres are the places of the least value of each stretch of ``least`` places.
+    A window ends before the nearest smaller values, its ancestors in the Cartesian tree. Those stand for longer windows and so are centres
+    (or walls) themselves: the ends are found among the centres, from minima over powers of two.
     """
     n = len(values)
     none = np.empty(0, np.int64)
     if n < least:
         return none, none, none
     # Value and place in one number: minima then carry their place, and no two are equal.
-    packed = (values & ~_PLACE) | np.arange(n, dtype=np.uint64)
-    minima = [packed]  # minima[j][x]: over the 2^j places that end at x
+    stretch = (values & ~_PLACE) | np.arange(n, dtype=np.uint64)
     size = 1
-    while 2 * size <= max(least, min(n, longest or n)):
-        last = minima[-1]
-        wider = last.copy()
-        np.minimum(last[size:], last[:-size], out=wider[size:])
-        minima.append(wider)
+    while size < least:
+        step = min(size, least - size)
+        stretch = np.minimum(stretch[:-step], stretch[step:])
+        size += step
+    own = stretch[np.concatenate(([True], stretch[1:] != stretch[:-1]))]  # places only go up from stretch to stretch
+    at = (own & _PLACE).astype(np.int64)
+    m = len(own)
+    minima, size = [own], 1  # minima[j][x]: over the 2^j centres from x on
+    while 2 * size <= m:
+        minima.append(np.minimum(minima[-1][:-size], minima[-1][size:]))
         size *= 2
-    j = int(least).bit_length() - 1
-    ends = np.arange(least - 1, n)
-    stretch = np.minimum(minima[j][ends], minima[j][ends - least + (1 << j)])
-    at = (stretch & _PLACE).astype(np.int64)
-    at = at[np.concatenate(([True], at[1:] != at[:-1]))]  # places only go up from stretch to stretch
-    centre = at[values[at] > _PLACE]
-    own = packed[centre]
-    left, right = centre - 1, centre + 1
+    left, right = np.arange(m), np.arange(m)  # the first and the last centre of the window so far
     for j in range(len(minima) - 1, -1, -1):
         step = 1 << j
-        fits = left - step + 1 >= 0
-        clear = fits & (minima[j][np.where(fits, left, 0)] > own)
+        clear = (left >= step) & (minima[j][np.maximum(left - step, 0)] > own)
         left = left - step * clear
-        fits = right + step <= n
-        clear = fits & (minima[j][np.where(fits, right + step - 1, 0)] > own)
+        clear = (right + step < m) & (minima[j][np.minimum(right + 1, m - step)] > own)
         right = right + step * clear
-    return left + 1, centre, right - 1
+    l = np.where(left > 0, at[left - 1] + 1, 0)
+    r = np.where(right + 1 < m, at[np.minimum(right + 1, m - 1)] - 1, n - 1)
+    centre = values[at] > _PLACE
+    return l[centre], at[centre], r[centre]
 
 
 def _chunks(texts: pa.Array, shortest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(hashes, row, place) of many texts in a row, a zero between them."""
-    hashes, row, place, held = [], [], [], 0
+    """(hashes, row, place) of many texts in a row, zeros between them."""
+
+    def chunk(held: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, parts, sizes = zip(*held)
+        return shingles(list(parts)), np.repeat(row, sizes), np.concatenate([np.arange(n) for n in sizes])
+
+    held, words = [], 0
     for i, value in enumerate(texts):
         text = value.as_py()
-        all_ = shingle_hashes(text, WIDTH) if text and len(text) >= 2 * shortest else np.empty(0, np.uint64)
-        if len(all_) < shortest:
+        joined = joined_words(text) if text and len(text) >= 2 * shortest else b""
+        n = joined.count(b" ") + 1
+        if n < shortest + WIDTH - 1:
+            continue
+        if n > STRETCH:
+            hashes = shingles([joined])
+            for at in range(0, n, STRETCH):
+                first = max(0, at - 2 * shortest)
+                part = np.append(hashes[first : at + STRETCH], np.uint64(0))
+                yield part, np.full(len(part), i), np.arange(first, first + len(part))
             continue
-        for at in range(0, len(all_), STRETCH):
-            h = all_[max(0, at - shortest + 1) : at + STRETCH]
-            hashes += [h, np.zeros(1, np.uint64)]
-            row.append(np.full(len(h) + 1, i))
-            place.append(np.arange(len(h) + 1) + max(0, at - shortest + 1))
-            held += len(h) + 1
-            if held >= _CHUNK:
-                yield np.concatenate(hashes), np.concatenate(row), np.concatenate(place)
-                hashes, row, place, held = [], [], [], 0
+        held.append((i, joined, n))
+        words += n
+        if words >= _CHUNK:
+            yield chunk(held)
+            held, words = [], 0
     if held:
-        yield np.concatenate(hashes), np.concatenate(row), np.concatenate(place)
+        yield chunk(held)
 
 
 def _links_of_runs(sig: np.ndarray, rid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,36 +202,57 @@ def _batch(rid, hub, member, first, **key) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({n: pa.array(p) for n, p in parts.items()})
 
 
-def _share_passage(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, shortest: int) -> np.ndarray:
-    """Whether the stretches around places ``a`` and ``b`` share a run of ``shortest`` shingles. Zeros are walls, also at both ends."""
-    run = (hashes[a] == hashes[b]).astype(np.int64)
-    for way in (-1, 1):
-        going = np.arange(len(a))
+def _same_around(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, ext: np.ndarray, shortest: int) -> np.ndarray:
+    """Whether all runs of ``shortest`` shingles around the centre ``a`` of a window of reach ``ext`` are around ``b`` too. Zeros are walls, also at
+    both ends."""
+    same = hashes[a] == hashes[b]
+    for way, reach in ((-1, ext >> 32), (1, ext & ((1 << 32) - 1))):
+        going = np.flatnonzero(same)
         for k in range(1, shortest):
-            x, y = a[going] + way * k, b[going] + way * k
-            # A place beyond a wall is reached only through the wall, where the run has ended.
-            going = going[(hashes[x] == hashes[y]) & (hashes[x] != 0)]
+            going = going[reach[going] >= k]
             if not len(going):
                 break
-            run[going] += 1
-    return run >= shortest
+            equal = hashes[a[going] + way * k] == hashes[b[going] + way * k]
+            same[going[~equal]] = False  # a wall there ends it too, for there is none within the reach
+            going = going[equal]
+    return same
+
+
+def _tell(hashes: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray, shortest: int) -> np.ndarray:
+    """What tells the windows of one signature apart: 32 bits of the ``CONTEXT`` shingles to each side of the centre, 16 bits each of the half passage
+    that ends with the centre and of that which begins with it; zero where there is none."""
+    half, walls = (shortest + 1) // 2, np.concatenate(([0], np.cumsum(hashes == 0)))
+
+    def bits(length: int, start: np.ndarray, there: np.ndarray, n: int) -> np.ndarray:
+        runs, out = _run_hashes(hashes, length), np.zeros(len(start), np.uint64)
+        out[there] = runs[start[there]] >> np.uint64(64 - n) | np.uint64(1)
+        return out
+
+    near = (c >= CONTEXT) & (c + CONTEXT < len(hashes))
+    near[near] = walls[c[near] + CONTEXT + 1] == walls[c[near] - CONTEXT]
+    context = bits(2 * CONTEXT + 1, c - CONTEXT, near, 32)
+    start = np.concatenate((c - half + 1, c))
+    before, after = np.split(bits(half, start, np.concatenate((c - half + 1 >= l, c + half - 1 <= r)), 16), 2)
+    return (context << np.uint64(32) | before << np.uint64(16) | after).view(np.int64)
 
 
 def _windows(shortest: int):
-    """Windows to be shuffled by signature (``hub`` -1), and links already found on the way, dealt out by their document."""
+    """Windows to be shuffled by signature (``hub`` -1, ``hub_at`` as of :func:`_tell`), and links already found on the way, dealt out by their
+    document."""
 
     def linked(found: list[tuple[np.ndarray, ...]], chunks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         hashes = np.concatenate((np.zeros(1, np.uint64), *chunks))
-        sig, rid, at, ext, here = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(sig, kind="stable")  # documents are in order already
-        sig, rid, at, ext, here = (x[order] for x in (sig, rid, at, ext, here))
+        sig, rid, at, ext, here, tell = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(sig, kind="stable")  # documents are in order already, for each hash function
+        sig, rid, at, ext, here, tell = (x[order] for x in (sig, rid, at, ext, here, tell))
         kept, left = np.ones(len(sig), bool), np.arange(len(sig))
         for _ in range(_ROUNDS):
             first = np.concatenate(([True], sig[left[1:]] != sig[left[:-1]]))
             hub, left = left[np.flatnonzero(first)[np.cumsum(first) - 1]][~first], left[~first]
             if not len(left):
                 break
-            alike = _share_passage(hashes, here[left], here[hub], shortest)
+            alike = tell[left] == tell[hub]
+            alike[alike] = _same_around(hashes, here[left[alike]], here[hub[alike]], ext[left[alike]], shortest)
             a, b = left[alike], hub[alike]
             kept[a] = False
             a, b = a[rid[a] != rid[b]], b[rid[a] != rid[b]]
@@ -180,8 +262,10 @@ def _windows(shortest: int):
             left = left[~alike]
             if not len(left):
                 break
-        none = np.full(int(kept.sum()), -1)
-        yield _batch(rid[kept], none, (at[kept], ext[kept]), (none, none), key=sig[kept])
+        kept = np.flatnonzero(kept)
+        kept = kept[np.argsort(here[kept])]  # rows of one text together take less room in the shuffle
+        none = np.full(len(kept), -1)
+        yield _batch(rid[kept], none, (at[kept], ext[kept]), (tell[kept], none), key=sig[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,14 +273,16 @@ def _windows(shortest: int):
             found, chunks, held, before = [], [], 0, 1
             for hashes, row, place in _chunks(batch.column("text"), shortest):
                 wall = hashes == 0
-                longest = int(np.diff(np.flatnonzero(wall), prepend=-1).max())
+                ends = []
                 for f, seed in enumerate(_SEEDS):
                     v = _mixed(hashes, seed)
                     order = v | (_PLACE + np.uint64(1))
                     order[wall] = 0
-                    l, c, r = compact_windows(order, shortest, longest)
-                    found.append((v[c].view(np.int64), rids[row[c]], place[c] * 8 + f, (c - l << 32) + (r - c), c + before))
-                    held += len(c)
+                    l, c, r = compact_windows(order, shortest)
+                    ends.append((l, c, r, v[c].view(np.int64), place[c] * 8 + f))
+                l, c, r, sig, at = (np.concatenate(x) for x in zip(*ends))
+                found.append((sig, rids[row[c]], at, (c - l << 32) + (r - c), c + before, _tell(hashes, c, l, r, shortest)))
+                held += len(c)
                 chunks.append(hashes)
                 before += len(hashes)
                 if held >= _HELD:
@@ -208,56 +294,85 @@ def _windows(shortest: int):
     return run
 
 
-def _run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    """A hash of every run of ``length`` places."""
-    if len(hashes) < length:
-        return np.empty(0, np.uint64)
-    seed = lambda n: np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
-    out = np.zeros(len(hashes) - length + 1, np.uint64)
-    # Runs of powers of two, put together from halves.
-    part, size, done = hashes, 1, 0
-    while True:
-        if length & size:
-            out = _mixed(out, seed(2 * size + 1)) ^ part[done : done + len(out)]
-            done += size
-        if done == length:
-            return _mixed(out, seed(length))
-        part = _mixed(part[:-size], seed(2 * size)) ^ part[size:]
-        size *= 2
-
-
 def _contested(shortest: int):
-    """Windows to be shuffled, from documents with the windows whose signature three or more have: of every run of ``shortest`` shingles
-    that such a window stands for, by all its words; and of the windows, by what is around their centres."""
+    """(key, rid, at) of every run of ``shortest`` shingles around the centre of a window, by all its words, from documents with their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, 64):
-            for rid, text, windows in zip(*(batch.column(n).to_pylist() for n in ("rid", "text", "windows"))):
-                hashes = shingle_hashes(text, WIDTH)
-                at, ext = (np.array([w[n] for w in windows], np.int64) for n in ("at", "ext"))
-                c = at >> 3
-                l, r = c - (ext >> 32), c + (ext & ((1 << 32) - 1))
-                steps = np.zeros(len(hashes) + 1, np.int64)
-                np.add.at(steps, np.maximum(l, c - shortest + 1), 1)
-                np.add.at(steps, np.minimum(c, r - shortest + 1) + 1, -1)
-                whole = _run_hashes(hashes, shortest)
-                start = np.flatnonzero(np.cumsum(steps)[: len(whole)])
-                around = _run_hashes(hashes, 2 * CONTEXT + 1)
-                near = np.flatnonzero((c >= CONTEXT) & (c + CONTEXT < len(hashes)))
-                key = np.concatenate((whole[start], _mixed(around[c[near] - CONTEXT], np.uint64(WHOLE)) + (at[near] & 7).astype(np.uint64)))
-                at = np.concatenate((start * 8 + WHOLE, at[near]))
-                ext = np.concatenate((np.full(len(start), shortest - 1), ext[near]))
-                none = np.full(len(key), -1)
-                yield _batch(np.full(len(key), rid), none, (at, ext), (none, none), key=key.view(np.int64))
+            texts = [joined_words(x) for x in batch.column("text").to_pylist()]
+            hashes, sizes = shingles(texts), np.array([x.count(b" ") + 1 for x in texts])
+            before = np.cumsum(sizes) - sizes
+            windows = batch.column("windows")
+            at, ext = (windows.flatten().field(n).to_numpy() for n in ("at", "ext"))
+            c = (at >> 3) + np.repeat(before, pa.compute.list_value_length(windows).to_numpy())
+            l, r = c - (ext >> 32), c + (ext & ((1 << 32) - 1))
+            steps = np.bincount(np.maximum(l, c - shortest + 1), minlength=len(hashes) + 1)
+            steps -= np.bincount(np.minimum(c, r - shortest + 1) + 1, minlength=len(hashes) + 1)
+            start = np.flatnonzero(np.cumsum(steps)[:-1])
+            doc = np.repeat(np.arange(len(sizes)), sizes)[start]
+            key = _run_hashes(hashes, shortest)[start].view(np.int64)
+            rid, at = batch.column("rid").to_numpy()[doc], (start - before[doc]) * 8 + WHOLE
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key), "rid": pa.array(rid), "at": pa.array(at)})
 
     return run
 
 
-def _link(contest: bool):
-    """Links from rows sorted by (key, hub, rid), and with ``contest`` also the windows (``hub`` -1) of runs of three or more."""
+def _again(sig: np.ndarray, rid: np.ndarray, ext: np.ndarray, tell: np.ndarray, shortest: int):
+    """Of the windows of contested signatures, sorted by (sig, rid): (row, first) of those of one context, and the rows whose passages are to be
+    looked at, with their reach, which is cut to the side of a half that two documents share."""
+    run = np.cumsum(np.concatenate(([0], sig[1:] != sig[:-1])))
+    shared = []
+    for shift in (16, 0):
+        half = run << 16 | tell >> shift & 0xFFFF
+        order = np.argsort(half, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], half[order[1:]] != half[order[:-1]])))
+        ends = np.append(starts[1:], len(order))
+        both = np.empty(len(order), bool)
+        both[order] = np.repeat(rid[order[starts]] != rid[order[ends - 1]], ends - starts)
+        shared.append(both & (tell >> shift & 0xFFFF > 0))
+    most = shortest - (shortest + 1) // 2
+    left, right = ext >> 32, ext & ((1 << 32) - 1)
+    ext = (np.where(shared[0], left, np.minimum(left, most)) << 32) + np.where(shared[1], right, np.minimum(right, most))
+    look = np.flatnonzero(shared[0] | shared[1])
+    near = np.flatnonzero(tell >> 32 != 0)
+    near = near[np.argsort(run[near] << 32 | (tell[near] >> 32 & 0xFFFFFFFF), kind="stable")]
+    context = run[near] << 32 | (tell[near] >> 32 & 0xFFFFFFFF)
+    _, links = _links_of_runs(context, rid[near])
+    return near[links], look, ext[look]
+
+
+def _link_windows(shortest: int):
+    """Links from rows sorted by (key, hub, rid), and the windows (``hub`` -1) of runs of three or more whose passages are to be looked at."""
+
+    def linked(rows: list[np.ndarray], dropped: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        sig, rid, at, ext, tell = rows
+        hubs, (a, b) = _links_of_runs(sig, rid)
+        size = np.diff(np.append(hubs, len(sig)))
+        many = np.flatnonzero(np.repeat(size > 2, size))
+        if len(many):
+            (x, y), look, reach = _again(*(v[many] for v in (sig, rid, ext, tell)), shortest)
+            other = many[y] != np.repeat(hubs, size)[many[x]]
+            a, b = np.append(a, many[x[other]]), np.append(b, many[y[other]])
+            look = many[look]
+            if dropped is not None:
+                more = np.setdiff1d(np.flatnonzero(dropped), look)
+                look, reach = np.append(look, more), np.append(reach, ext[more])
+            if len(look):
+                none = np.full(len(look), -1)
+                yield _batch(rid[look], none, (at[look], reach), (none, none))
+        if len(a):
+            yield _batch(rid[a], rid[b], (at[a], ext[a]), (at[b], ext[b]))
+
+    def firsts(tell: np.ndarray) -> np.ndarray:
+        """Whether a window of one signature is the first, or the first of its context or of a half."""
+        first = np.zeros(len(tell), bool)
+        for part in (tell >> 32, tell >> 16 & 0xFFFF, tell & 0xFFFF):
+            first[np.unique(part, return_index=True)[1]] = True
+        return first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # the first windows, three at most, of the run that the next batch may go on with
+        held: list[list[np.ndarray]] = []  # of the run that the next batch may go on with
+        most = _RUN
         for batch in batches:
             made = batch.filter(pa.compute.greater_equal(batch.column("hub"), 0))
             if made.num_rows:
@@ -265,19 +380,43 @@ def _link(contest: bool):
             new = batch.filter(pa.compute.less(batch.column("hub"), 0))
             if not new.num_rows:
                 continue
-            rows = [new.column(n).to_numpy() for n in ("key", "rid", "at", "ext")]
+            held.append([new.column(n).to_numpy() for n in ("key", "rid", "at", "ext", "hub_at")])
+            key = held[-1][0]
+            if key[-1] != held[0][0][0]:
+                rows = [np.concatenate(x) for x in zip(*held)]
+                end = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1
+                yield from linked([x[:end] for x in rows])
+                held, most = [[x[end:] for x in rows]], _RUN
+            elif sum(len(x[0]) for x in held) > most:
+                # Of a long run stay the windows that later ones may be linked to; what the others share is looked at in any case.
+                rows = [np.concatenate(x) for x in zip(*held)]
+                first = firsts(rows[4])
+                yield from linked(rows, ~first)
+                held = [[x[first] for x in rows]]
+                most = _RUN + 4 * int(first.sum())
+        if held:
+            yield from linked([np.concatenate(x) for x in zip(*held)])
+
+    return run
+
+
+def _link_passages(shortest: int):
+    """Links from rows (key, rid, at) sorted by (key, rid)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[np.ndarray] | None = None  # the first of the run that the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(n).to_numpy() for n in ("key", "rid", "at")]
             if last is not None and last[0][0] == rows[0][0]:
                 rows = [np.concatenate(x) for x in zip(last, rows)]
-            sig, rid, at, ext = rows
-            hubs, (a, b) = _links_of_runs(sig, rid)
-            last = tuple(x[hubs[-1] : hubs[-1] + 3] for x in rows)
+            key, rid, at = rows
+            hubs, (a, b) = _links_of_runs(key, rid)
+            last = [x[hubs[-1] : hubs[-1] + 1] for x in rows]
             if len(a):
-                yield _batch(rid[a], rid[b], (at[a], ext[a]), (at[b], ext[b]))
-            size = np.diff(np.append(hubs, len(sig)))
-            many = np.flatnonzero(np.repeat(size > 2, size))
-            if contest and len(many):
-                none = np.full(len(many), -1)
-                yield _batch(rid[many], none, (at[many], ext[many]), (none, none))
+                ext = np.full(len(a), shortest - 1)
+                yield _batch(rid[a], rid[b], (at[a], ext), (at[b], ext))
 
     return run
 
@@ -348,36 +487,25 @@ def _cut(text: str, first: str, last: str, out: str):
     return add_columns(make)
 
 
-def shared_passages(mine: bytes, theirs: bytes, least: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, start there, end there, similarity) in words, ends excluded, of the passages two spans share."""
-    a, b = (shingle_hashes(x.decode("utf-8", "surrogatepass"), WIDTH) for x in (mine, theirs))
-    shortest = least - WIDTH + 1
+def shared_passages(a: np.ndarray, b: np.ndarray, shortest: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+    """(start, end, start there, end there, similarity) in words, ends excluded, of the passages that two spans, given by their shingles, share."""
     if len(a) < shortest or len(b) < shortest:
         return []
-    places: dict[int, list[int]] = {}
-    for j, h in enumerate(b.tolist()):
-        places.setdefault(h, []).append(j)
-    hit = np.array([h in places for h in a.tolist()])
-    here = np.flatnonzero(hit)
+    _, ids = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = ids[: len(a)], ids[len(a) :]
+    places, count = np.argsort(b, kind="stable"), np.bincount(b, minlength=len(ids))
+    begin = np.cumsum(count) - count
+    here = np.flatnonzero(count[a])
     if not len(here):
         return []
     # Follow the runs of shared shingles; of several places there, the one that goes on best.
-    there = np.empty(len(here), np.int64)
-    expected = places[int(a[here[0]])][0]
-    for i, j in enumerate(here.tolist()):
-        options = places[int(a[j])]
-        expected = expected + (j - int(here[i - 1]) if i else 0)
-        if len(options) == 1:
-            expected = options[0]
-        else:
-            k = bisect_left(options, expected)
-            expected = min(options[max(0, k - 1) : k + 1], key=lambda o: abs(o - expected))
-        there[i] = expected
-
-    def pieces(longest_gap: int) -> list[np.ndarray]:
-        steps, moved = np.diff(here), np.diff(there)
-        cuts = np.flatnonzero((steps > longest_gap + 1) | (moved <= 0) | (moved > longest_gap + 1)) + 1
-        return np.split(np.arange(len(here)), cuts)
+    there, options = places[begin[a[here]]], count[a[here]]
+    several = np.flatnonzero(options[1:] > 1) + 1
+    listed = places.tolist() if len(several) else []
+    for i, first, n, step in zip(*(x.tolist() for x in (several, begin[a[here]][several], options[several], np.diff(here)[several - 1]))):
+        expected = int(there[i - 1]) + step
+        k = bisect_left(listed, expected, first, first + n)
+        there[i] = min(listed[max(first, k - 1) : min(k + 1, first + n)], key=lambda o: abs(o - expected))
 
     def passage(at: np.ndarray) -> tuple[int, int, int, int, float] | None:
         s, e, t, u = int(here[at[0]]), int(here[at[-1]]) + 1, int(there[at[0]]), int(there[at[-1]]) + 1
@@ -387,18 +515,24 @@ def shared_passages(mine: bytes, theirs: bytes, least: int, similarity: float) -
         alike = len(x & y) / len(x | y)
         return (s, e + WIDTH - 1, t, u + WIDTH - 1, alike) if alike >= similarity else None
 
+    steps, moved = np.diff(here), np.diff(there)
+
+    def pieces(first: int, last: int, parted: np.ndarray) -> Iterator[np.ndarray]:
+        """Of shared shingles ``first`` to ``last``, the parts between cuts that can be a passage."""
+        cuts = np.concatenate(([first], first + 1 + np.flatnonzero(parted[first : last - 1]), [last]))
+        long = np.minimum(here[cuts[1:] - 1] - here[cuts[:-1]], there[cuts[1:] - 1] - there[cuts[:-1]]) >= shortest - 1
+        for i, j in zip(cuts[:-1][long].tolist(), cuts[1:][long].tolist()):
+            yield np.arange(i, j)
+
     found = []
-    for wide in pieces(GAP):
+    tight = (steps > 1) | (moved != 1)
+    for wide in pieces(0, len(here), (steps > GAP + 1) | (moved <= 0) | (moved > GAP + 1)):
         one = passage(wide)
         if one:
             found.append(one)
             continue
         # Too many edits on the whole: what is verbatim in it.
-        tight = np.diff(here[wide]), np.diff(there[wide])
-        for run in np.split(wide, np.flatnonzero((tight[0] > 1) | (tight[1] != 1)) + 1):
-            one = passage(run)
-            if one:
-                found.append(one)
+        found += filter(None, map(passage, pieces(int(wide[0]), int(wide[-1]) + 1, tight)))
     return found
 
 
@@ -411,11 +545,18 @@ def _verify(least: int, similarity: float):
     names = [x.split()[0] for x in _FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, 64):
             out = []
-            columns = (batch.column(n).to_pylist() for n in ("rid", "hub", "l", "hl", "mine", "theirs"))
-            for rid, hub, l, hl, mine, theirs in zip(*columns):
-                for s, e, t, u, alike in shared_passages(mine, theirs, least, similarity):
+            columns = zip(*(batch.column(n).to_pylist() for n in ("rid", "hub", "l", "hl", "mine", "theirs")))
+            pairs = [x for x in columns if x[4] and x[5]]
+            if not pairs:
+                continue
+            spans = [s for x in pairs for s in x[4:]]
+            ends = np.cumsum([s.count(b" ") + 1 for s in spans])
+            parts = np.split(shingles(spans), ends[:-1])
+            for (rid, hub, l, hl, *_), mine, theirs in zip(pairs, parts[::2], parts[1::2]):
+                mine, theirs = (x[: max(0, len(x) - WIDTH + 1)] for x in (mine, theirs))
+                for s, e, t, u, alike in shared_passages(mine, theirs, least - WIDTH + 1, similarity):
                     out.append((rid, hub, l + s, l + e, hl + t, hl + u, alike))
             if out:
                 kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
@@ -424,6 +565,17 @@ def _verify(least: int, similarity: float):
     return run
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """As :func:`stored`. Spark drops the shuffle files of the write with its end, not when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, None)
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.unset(_CLEAN_UP) if before is None else conf.set(_CLEAN_UP, before)
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
     make = add_columns(lambda batch, before: {"rid": pa.array(row_ids(batch.num_rows, before))})
     return docs.mapInArrow(make, schema_with(docs, rid="long"))
@@ -441,22 +593,23 @@ def duplicate_passages(
     marked = stored(_numbered(docs.select(F.col(ids).alias("id"), F.col(text).alias("text"))), "numbered")
     windows = marked.select("rid", "text").mapInArrow(_windows(shortest), "key long, " + _LINK)
     dealt = windows.repartition("key").sortWithinPartitions("key", "hub", "rid", "at")
-    links = stored(dealt.mapInArrow(_link(True), _LINK), "window-links")
+    links = _stored(dealt.mapInArrow(_link_windows(shortest), _LINK), "window-links")
     contested = links.filter("hub < 0").groupBy("rid").agg(F.collect_set(F.struct("at", "ext")).alias("windows"))
-    again = stored(contested, "contested").join(marked.select("rid", "text"), "rid").mapInArrow(_contested(shortest), "key long, " + _LINK)
-    dealt = again.repartition("key").sortWithinPartitions("key", "hub", "rid", "at")
-    pairs = links.filter("hub >= 0").unionByName(dealt.mapInArrow(_link(False), _LINK))
+    again = _stored(contested, "contested").join(marked.select("rid", "text"), "rid").mapInArrow(_contested(shortest), "key long, rid long, at long")
+    dealt = again.repartition("key").sortWithinPartitions("key", "rid", "at")
+    pairs = links.filter("hub >= 0").unionByName(dealt.mapInArrow(_link_passages(shortest), _LINK))
     pairs = pairs.repartition("rid", "hub").sortWithinPartitions("rid", "hub")
-    candidates = stored(
+    candidates = _stored(
         pairs.mapInArrow(_join_intervals(enough), "rid long, hub long, l int, r int, hl int, hr int"), "candidates"
     )
-    # The words of both sides; the texts are exchanged once for both joins, and AQE splits the rows of a frequent match.
-    mine = candidates.join(marked.select("rid", "text"), "rid")
-    mine = mine.mapInArrow(_cut("text", "l", "r", "mine"), schema_with(mine, mine="binary", text="string")).drop("text")
-    theirs = marked.select(F.col("rid").alias("hub"), "text")
-    both = mine.join(theirs, "hub")
-    both = both.mapInArrow(_cut("text", "hl", "hr", "theirs"), schema_with(both, theirs="binary", text="string")).drop("text")
-    found = stored(both.mapInArrow(_verify(least, similarity), _FOUND).distinct(), "passages")
+    # The words of both sides. Both joins take the same exchange of the texts, which has to read alike for that; AQE splits the rows of a frequent match.
+    texts = marked.select("rid", "text")
+    cut = candidates.withColumnRenamed("rid", "doc")
+    for doc, first, last, out in (("doc", "l", "r", "mine"), ("hub", "hl", "hr", "theirs")):
+        cut = cut.join(texts, F.col(doc) == F.col("rid")).drop("rid")
+        cut = cut.mapInArrow(_cut("text", first, last, out), schema_with(cut, **{out: "binary", "text": "string"})).drop("text")
+    both = cut.withColumnRenamed("doc", "rid")
+    found = _stored(both.mapInArrow(_verify(least, similarity), _FOUND).distinct(), "passages")
     return _with_classes(found, marked.select("rid", "id"))
 
 

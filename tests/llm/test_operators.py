@@ -487,6 +487,93 @@ def test_passages_behind_a_frequent_line(spark):
         assert {(r.doc_id, r.match_doc_id) for r in got} in ({(20, None), (21, 20)}, {(21, None), (20, 21)})
 
 
+def _least_lines():
+    """Of 4,000 lines of five words, for each hash function the one whose shingle has the least hash."""
+    rng = np.random.default_rng(7)
+    lines = [[f"w{x}" for x in rng.integers(0, 10**7, 5)] for _ in range(4000)]
+    hashes = substring_dedup.shingles([" ".join(x).encode() for x in lines])[::5]
+    return [lines[int(np.argmin(substring_dedup._mixed(hashes, seed)))] for seed in substring_dedup._SEEDS]
+
+
+def test_passages_on_both_sides_of_a_frequent_line(spark):
+    """The second shares a passage before the lines with one document and behind them with another; those two share the lines only."""
+    rng = np.random.default_rng(9)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**7, n)]
+    least, before, behind = [w for line in _least_lines() for w in line], words(40), words(40)
+    texts = [words(60) + least + behind, before + least + behind, before + least + words(60)]
+    texts += [words(60) + least + words(60) for _ in range(8)]
+    for order, parts in (((0, 1, 2), 1), ((2, 1, 0), 1), ((0, 2, 1), 4)):
+        docs = [(i, " ".join(texts[x])) for i, x in enumerate((*order, *range(3, 11)))]
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(parts, "doc_id")
+        got = substring_dedup.duplicate_passages(frame).collect()
+        assert {(r.doc_id, r.class_id) for r in got} == {(0, 0), (1, 0), (2, 0)}
+        pairs = {frozenset((order[r.doc_id], order[r.match_doc_id])) for r in got if r.match_doc_id is not None}
+        assert pairs == {frozenset((0, 1)), frozenset((1, 2))}
+
+
+def test_verbatim_passages_for_any_dealing(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    runs = {}
+    for r in docs.collect():
+        words = common.joined_words(r.text).split()
+        for i in range(len(words) - 49):
+            if len(set(words[i : i + 50])) > 5:  # not one word repeated
+                runs.setdefault(tuple(words[i : i + 50]), set()).add(r.doc_id)
+    shared = [x for x in runs.values() if len(x) > 1]
+    assert shared
+    found = []
+    for parts in (1, 7):
+        got = substring_dedup.duplicate_passages(docs.repartition(parts, "doc_id")).collect()
+        found.append({r.doc_id: r.class_id for r in got})
+        assert all(len({found[-1][i] for i in x}) == 1 for x in shared)
+    assert found[0] == found[1]
+
+
+def test_shingles_are_equal_where_words_are(monkeypatch):
+    rng = np.random.default_rng(10)
+    for piece in (3, 17, 1 << 18):
+        monkeypatch.setattr(substring_dedup, "_PIECE", piece)
+        texts = [" ".join(f"{x}" for x in rng.integers(0, 4, n)).encode() for n in rng.integers(1, 40, 60)]
+        words = [x.split() for x in texts]
+        want = [tuple(w[i : i + 5]) if i + 5 <= len(w) else None for w in words for i in range(len(w))]
+        got = substring_dedup.shingles(texts).tolist()
+        assert [x == 0 for x in got] == [x is None for x in want]
+        assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
+def _window_rows(rows):
+    names = ("key", *substring_dedup._NAMES)
+    return pa.RecordBatch.from_pylist([dict(zip(names, (k, r, -1, at, ext, tell, -1))) for k, r, at, ext, tell in rows], pa.schema([(n, pa.int64()) for n in names]))
+
+
+def test_only_shared_halves_are_looked_at():
+    """Three windows of a signature: of the second the half before the centre is shared with the first, of the third nothing."""
+    tell = lambda context, before, after: context << 32 | before << 16 | after
+    reach = (60 << 32) + 50
+    rows = [(5, 1, 800, reach, tell(1, 3, 5)), (5, 2, 1600, reach, tell(2, 3, 7)), (5, 3, 2400, reach, tell(2, 9, 11))]
+    got = [r for b in substring_dedup._link_windows(46)(iter([_window_rows(rows)])) for r in b.to_pylist()]
+    assert [(r["rid"], r["at"], r["ext"]) for r in got if r["hub"] < 0] == [(1, 800, (60 << 32) + 23), (2, 1600, (60 << 32) + 23)]
+    assert sorted((r["rid"], r["hub"]) for r in got if r["hub"] >= 0) == [(2, 1), (3, 1), (3, 2)]  # by the signature, and by their context
+
+
+def test_a_long_run_of_windows_is_not_held_whole(monkeypatch):
+    rng = np.random.default_rng(11)
+    n, reach = 900, (60 << 32) + 50
+    tells = [int(a) << 32 | int(b) << 16 | int(c) for a, b, c in rng.integers(1, 30, (n, 3))]
+    rows = [(1, -1, 8, reach, 1 << 32), *((4, i // 3, 8 * i, reach, x) for i, x in enumerate(tells)), (9, 1000, 8, reach, 1 << 32)]
+
+    def linked(most, size):
+        monkeypatch.setattr(substring_dedup, "_RUN", most)
+        batches = iter([_window_rows(rows[i : i + size]) for i in range(0, len(rows), size)])
+        got = [r for b in substring_dedup._link_windows(46)(batches) for r in b.to_pylist()]
+        return {(r["at"], r["hub_at"] // 8) for r in got if r["hub"] >= 0}, {r["at"] for r in got if r["hub"] < 0}
+
+    links, looked = linked(1 << 18, 2000)
+    for most, size in ((40, 7), (40, 300), (300, 11)):
+        some, more = linked(most, size)
+        assert some == links and more >= looked
+
+
 def test_run_hashes():
     values = np.random.default_rng(8).integers(1, 3, 600).astype(np.uint64)
     for length in (1, 2, 7, 11, 46):
